@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def fitted(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Pin a small fitted table on the driver if it has at most ``max_rows`` rows.
+    """Pin a small fitted table on the driver if its size, in rows and bytes, allows it.
 
     Returns the table and whether it is pinned. A larger one is returned as it
     is, so that it stays distributed.
     """
     rows = table.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > MAX_BROADCAST_BYTES:
         return table, False
     return table.sparkSession.createDataFrame(rows, table.schema), True
 

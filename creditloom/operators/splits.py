@@ -34,7 +34,7 @@ def stratified_split(df: DataFrame, key: str = "loan_id", label: str = "target",
     sizes are rounded up.
     """
     _, val, test = fractions
-    ranks = {"test": f"ceil(n * {test}D)", "val": f"ceil(n * {test}D) + ceil(n * {val}D)"}
+    ranks = {"test": f"ceil(n * {test})", "val": f"ceil(n * {test}) + ceil(n * {val})"}
     joined, passed = _assign(df, key, label, seed, ranks)
     split = F.when(passed == 0, "test").when(passed == 1, "val").otherwise("train")
     return joined.withColumn("split", split).drop("__cuts")
@@ -51,7 +51,7 @@ def stratified_folds(df: DataFrame, k: int = 5, key: str = "loan_id", label: str
 def early_stop_holdout(df: DataFrame, share: float = 0.1, key: str = "loan_id", label: str = "target",
                        seed: int | str = "holdout") -> DataFrame:
     """Add ``is_holdout``: the first ``share`` of every stratum, in an order of its own."""
-    joined, passed = _assign(df, key, label, seed, {"holdout": f"ceil(n * {share}D)"})
+    joined, passed = _assign(df, key, label, seed, {"holdout": f"ceil(n * {share})"})
     return joined.withColumn("is_holdout", passed == 0).drop("__cuts")
 
 

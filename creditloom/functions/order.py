@@ -120,6 +120,10 @@ def running_totals(df: DataFrame, order: str, sums: list[str], by: list[str] = (
         *[F.coalesce(f"prev_{c}", f"{c}_carried").alias(f"prev_{c}") for c in last])
 
 
+def _literal(x: float) -> str:
+    return f"double('{x!r}')"
+
+
 def exact_medians(df: DataFrame, cols: list[str], direct_rows: int = 1_000_000) -> dict[str, float | None]:
     """Exact medians (mean of the two middle values) of many columns at once.
 
@@ -127,47 +131,43 @@ def exact_medians(df: DataFrame, cols: list[str], direct_rows: int = 1_000_000)
     inside the bracket are counted by value. Brackets are narrowed until they
     hold at most ``direct_rows`` rows or a single value.
     """
-    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    counts = df.agg(*[F.expr(f"count({c}) AS {c}") for c in cols]).first()
     ranks = {c: ((counts[c] - 1) // 2 + 1, counts[c] // 2 + 1) for c in cols if counts[c]}
     bracket = {c: (float("-inf"), float("inf")) for c in ranks}
     below = dict.fromkeys(ranks, 0)
     inside = {c: counts[c] for c in ranks}
+    settled: set[str] = set()
+
+    def within(c: str, low: float, high: float) -> str:
+        return f"{c} BETWEEN {_literal(low)} AND {_literal(high)}"
 
-    while wide := [c for c in ranks if inside[c] > direct_rows and bracket[c][0] < bracket[c][1]]:
-        step = 2 / SKETCH_ACCURACY
+    while wide := [c for c in ranks if c not in settled and inside[c] > direct_rows and bracket[c][0] < bracket[c][1]]:
         sketches = []
         for c in wide:
             low, high = ((r - below[c]) / inside[c] for r in ranks[c])
-            points = [max(0.0, low - step), min(1.0, high + step)]
-            value = F.when(F.col(c).between(*map(F.lit, bracket[c])), F.col(c).cast("double"))
-            sketches.append(F.percentile_approx(value, points, SKETCH_ACCURACY).alias(c))
-        narrowed = df.agg(*sketches).first()
-        sizes = df.agg(*[e for c in wide for e in (
-            F.count_if(F.col(c) < narrowed[c][0]).alias(f"{c}:below"),
-            F.count_if(F.col(c).between(F.lit(narrowed[c][0]), F.lit(narrowed[c][1]))).alias(f"{c}:inside"))]).first()
+            points = f"{max(0.0, low - 2 / SKETCH_ACCURACY)!r}D, {min(1.0, high + 2 / SKETCH_ACCURACY)!r}D"
+            sketches.append(F.expr(f"percentile_approx(CAST({c} AS DOUBLE), array({points}), {SKETCH_ACCURACY}) "
+                                   f"FILTER (WHERE {within(c, *bracket[c])}) AS {c}"))
+        found = df.agg(*sketches).first()
+        sizes = df.agg(*[F.expr(text) for c in wide for text in (
+            f"count_if({c} < {_literal(found[c][0])}) AS {c}_below", f"count_if({within(c, *found[c])}) AS {c}_inside")]).first()
         for c in wide:
-            first, second = ranks[c]
-            held = sizes[f"{c}:below"] < first and second <= sizes[f"{c}:below"] + sizes[f"{c}:inside"]
-            if not held or sizes[f"{c}:inside"] >= inside[c]:
-                direct_rows = max(direct_rows, inside[c])
-                continue
-            bracket[c] = tuple(narrowed[c])
-            below[c], inside[c] = sizes[f"{c}:below"], sizes[f"{c}:inside"]
+            under, held = sizes[f"{c}_below"], sizes[f"{c}_inside"]
+            if held < inside[c] and under < ranks[c][0] and ranks[c][1] <= under + held:
+                bracket[c], below[c], inside[c] = tuple(found[c]), under, held
+            else:
+                settled.add(c)
 
     if not ranks:
         return dict.fromkeys(cols)
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("name"),
-                 F.when(F.col(c).between(F.lit(bracket[c][0]), F.lit(bracket[c][1])), F.col(c).cast("double")).alias("v"))
-        for c in ranks])
-    values = (df.select(F.explode(pairs).alias("p")).select("p.*").where("v IS NOT NULL")
+    pairs = ", ".join(f"struct('{c}' AS name, if({within(c, *bracket[c])}, CAST({c} AS DOUBLE), NULL) AS v)" for c in ranks)
+    values = (df.selectExpr(f"inline(array({pairs}))").where("v IS NOT NULL")
               .groupBy("name", "v").agg(F.count("*").alias("copies")))
     upto = W.partitionBy("name").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    limits = F.create_map(*[x for c in ranks for x in (
-        F.lit(c), F.array(*[F.lit(r - below[c]) for r in ranks[c]]))])
+    wanted = ", ".join(f"'{c}', array({ranks[c][0] - below[c]}L, {ranks[c][1] - below[c]}L)" for c in ranks)
     middle = (values.withColumn("through", F.sum("copies").over(upto))
-              .withColumn("rank", F.explode(limits[F.col("name")]))
+              .withColumn("rank", F.expr(f"explode(map({wanted})[name])"))
               .where("rank > through - copies AND rank <= through")
               .groupBy("name").agg(F.avg("v").alias("median")))
-    found = {r["name"]: r["median"] for r in middle.collect()}
-    return {c: found.get(c) for c in cols}
+    medians = {r["name"]: r["median"] for r in middle.collect()}
+    return {c: medians.get(c) for c in cols}

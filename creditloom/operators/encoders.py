@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lookup import lookup_join
+from ..functions.lookup import fitted, lookup_join
 from ..functions.order import exact_medians
 from .profiling import string_columns
 
@@ -48,6 +48,11 @@ class TargetEncoder:
         return df
 
 
+    def pinned(self) -> TargetEncoder:
+        """The same encoder with its statistics held on the driver if their size allows."""
+        return replace(self, stats=fitted(self.stats)[0])
+
+
 def fit_target_encoder(df: DataFrame, label: str = "target", cols: list[str] | None = None,
                        smoothing: float = SMOOTHING, min_samples: float = MIN_SAMPLES) -> TargetEncoder:
     """Category statistics of all columns from one scan; NULL is a category of its own."""
@@ -77,22 +82,19 @@ def fit_medians(df: DataFrame, cols: list[str]) -> ColumnValues:
     return ColumnValues(exact_medians(df, cols))
 
 
-def impute_median(df: DataFrame, fitted: ColumnValues) -> DataFrame:
+def impute_median(df: DataFrame, medians: ColumnValues) -> DataFrame:
     """Fill NULLs with the fitted medians; a column without any value when fitting becomes 0."""
     return df.withColumns({
-        c: F.coalesce(F.col(c).cast("double"), F.lit(float(m or 0.0))) for c, m in fitted.values.items()})
+        c: F.expr(f"coalesce(CAST({c} AS DOUBLE), {float(m or 0.0)!r}D)") for c, m in medians.values.items()})
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> ColumnValues:
     """Mean and population standard deviation of every column, in one aggregate."""
-    row = df.agg(*[e for c in cols for e in (F.avg(c), F.stddev_pop(c))]).first()
+    row = df.agg(*[F.expr(text) for c in cols for text in (f"avg({c})", f"stddev_pop({c})")]).first()
     return ColumnValues({c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(cols)})
 
 
-def _scaled(col: str, mean: float, sd: float) -> Column:
-    """A constant column is only centred."""
-    return (F.col(col) - F.lit(mean)) / F.lit(sd or 1.0)
-
-
-def standardize(df: DataFrame, fitted: ColumnValues) -> DataFrame:
-    return df.withColumns({c: _scaled(c, m, s) for c, (m, s) in fitted.values.items() if m is not None})
+def standardize(df: DataFrame, scaler: ColumnValues) -> DataFrame:
+    """Centre and scale with the fitted values; a constant column is only centred."""
+    return df.withColumns({
+        c: F.expr(f"({c} - {mean!r}D) / {sd or 1.0!r}D") for c, (mean, sd) in scaler.values.items() if mean is not None})

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from ..functions.lookup import lookup_join
-from ..functions.numeric import duck_round
+from ..functions.numeric import duck_round, named
 
 # Age bucket limits in years of 365 days, right-closed, and the overall rate drawn as a reference line.
 AGE_BUCKETS = ((25, "<25"), (35, "25-35"), (45, "35-45"), (55, "45-55"), (100, ">55"))
@@ -102,11 +102,12 @@ def correlations_with(df: DataFrame, label: str, cols: list[str] | None = None,
     Rounded before ranking, so that equal correlations rank by name on any partitioning.
     """
     cols = cols or [c for c in numeric_columns(df) if c != label]
-    facts = ", ".join(f"struct('{c}' AS column_name, {correlation(c, label)} AS raw, "
-                      f"avg(int({c} IS NULL)) AS missing_rate)" for c in cols)
-    rows = df.agg(F.expr(f"array({facts})").alias("facts")).selectExpr("inline(facts)")
-    return rows.select("column_name", F.expr(duck_round("raw", digits)).alias("abs_corr"), "missing_rate").withColumn(
-        "abs_corr", F.abs("abs_corr")).orderBy(F.desc_nulls_last("abs_corr"), "column_name")
+    wide = df.agg(*named({f"r{i}": correlation(c, label) for i, c in enumerate(cols)}
+                         | {f"m{i}": f"avg(int({c} IS NULL))" for i, c in enumerate(cols)}))
+    entries = ", ".join(f"'{c}', r{i}, m{i}" for i, c in enumerate(cols))
+    rows = wide.selectExpr(f"stack({len(cols)}, {entries}) AS (column_name, raw, missing_rate)")
+    return rows.select("column_name", F.expr(duck_round("abs(raw)", digits)).alias("abs_corr"), "missing_rate").orderBy(
+        F.desc_nulls_last("abs_corr"), "column_name")
 
 
 def top_correlations(df: DataFrame, label: str, n: int = 20) -> DataFrame:
@@ -116,10 +117,10 @@ def top_correlations(df: DataFrame, label: str, n: int = 20) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 2) -> DataFrame:
     """Pearson correlation of every pair, each over rows where both are known, from one aggregate."""
     pairs = [*combinations(cols, 2), *[(c, c) for c in cols]]
-    cells = ", ".join(f"struct('{a}' AS a, '{b}' AS b, {correlation(a, b)} AS raw)" for a, b in pairs)
-    upper = df.agg(F.expr(f"array({cells})").alias("cells")).selectExpr("inline(cells)")
-    lower = upper.where("a <> b").selectExpr("b AS a", "a AS b", "raw")
-    return upper.unionByName(lower).select("a", "b", F.expr(duck_round("raw", digits)).alias("corr"))
+    wide = df.agg(*named({f"r{i}": duck_round(correlation(a, b), digits) for i, (a, b) in enumerate(pairs)}))
+    cells = [f"'{a}', '{b}', r{i}" for i, (a, b) in enumerate(pairs)]
+    cells += [f"'{b}', '{a}', r{i}" for i, (a, b) in enumerate(pairs) if a != b]
+    return wide.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (a, b, corr)")
 
 
 def category_spread(df: DataFrame, label: str = "target", cols: list[str] | None = None) -> DataFrame:

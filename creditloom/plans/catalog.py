@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import duck_round
-from ..operators import (application, balances, bureau, encoders, evaluation, importance, installments, previous,
-                         profiling, quality, scoring, splits)
+from ..operators import (application, balances, bureau, encoders, evaluation, importance, installments, learners,
+                         previous, profiling, quality, scoring, splits, stacking, tuning)
 from ..session import scratch_path
 from ..sources.schemas import RAW_TABLES
 from ..sources.standins import given_table, read_standin
@@ -26,6 +26,10 @@ COEFFICIENTS = {
     "ratio_annuity_income": 0.8, "cnt_children": 0.1,
 }
 
+# Small trees keep the model queries short; full settings are the defaults of the learners.
+SMALL = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.05, "seed": 42}
+FITS = stacking.stacked_fits(SMALL, SMALL)
+
 # Names of staged tables as the declared checks use them.
 CHECKED_AS = {
     "application": "stg_application_train", "bureau": "stg_bureau", "bureau_balance": "stg_bureau_balance",
@@ -50,11 +54,19 @@ def settled(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 
 class Tables:
-    """The stand-in tables below one folder."""
+    """The stand-in tables below one folder, and the models fitted on them."""
+
+    _open: dict[tuple[str, str], Tables] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    @classmethod
+    def of(cls, spark: SparkSession, folder: str) -> Tables:
+        """One object per session and folder, so that queries share the written mart and the folds."""
+        key = (spark.sparkContext.applicationId, folder)
+        return cls._open.setdefault(key, cls(spark, folder))
+
     def raw(self, name: str) -> DataFrame:
         return read_standin(self.spark, self.folder, name)
 
@@ -77,6 +89,22 @@ class Tables:
     def requests(self) -> DataFrame:
         return scoring.as_requests(self.stg("application"), "loan_id")
 
+    @cached_property
+    def split_mart(self) -> DataFrame:
+        """The mart as a written table with its split; training reads it many times."""
+        return splits.stratified_split(written(self.mart(), "mart"))
+
+    def part_of_mart(self, split: str) -> DataFrame:
+        return self.split_mart.where(F.col("split") == split).drop("split")
+
+    @cached_property
+    def oof(self) -> DataFrame:
+        return written(stacking.out_of_fold(self.part_of_mart("train"), FITS, k=3), "oof")
+
+    @cached_property
+    def stack(self) -> stacking.StackedScorer:
+        return stacking.fit_stack(self.part_of_mart("train"), self.oof, FITS)
+
 
 def _scan_tables(t: Tables) -> DataFrame:
     """Rows and sum of the first key of every raw table."""
@@ -152,6 +180,48 @@ def _dictionary_search(t: Tables) -> DataFrame:
                                        one_of={"p_brand": ["Brand#2", "Brand#4", "Brand#17"]})
 
 
+def _fit_report(t: Tables, scorer: learners.Scorer) -> DataFrame:
+    """AUC of a model on the rows it was trained on and on the validation rows."""
+    parts = [evaluation.auc(scorer.score(t.part_of_mart(s))).withColumn("split", F.lit(s)) for s in ("train", "val")]
+    return parts[0].unionByName(parts[1])
+
+
+def _lr_baseline(t: Tables) -> DataFrame:
+    return _fit_report(t, learners.fit_logistic(t.part_of_mart("train"), max_iter=50))
+
+
+def _gbt_model(t: Tables) -> DataFrame:
+    return _fit_report(t, learners.fit_boosted(t.part_of_mart("train"), t.part_of_mart("val"), learners.BOOSTED | SMALL))
+
+
+def _tree_cat_model(t: Tables) -> DataFrame:
+    train, val = t.part_of_mart("train"), t.part_of_mart("val")
+    return _fit_report(t, learners.fit_categorical(train, val, learners.CATEGORICAL | SMALL))
+
+
+def _stacking_meta(t: Tables) -> DataFrame:
+    """Weights of the meta model next to the out-of-fold AUC of its two inputs."""
+    regression = t.stack.meta.stages[-1]
+    weights = zip(stacking.BASE, map(float, regression.coefficients))
+    table = t.spark.createDataFrame([(n, w, float(regression.intercept)) for n, w in weights],
+                                    "learner string, weight double, intercept double")
+    return stacking.fold_aucs(t.oof).where("fold IS NULL").drop("fold").join(table, "learner")
+
+
+def _stacking_score(t: Tables) -> DataFrame:
+    return t.stack.predict(t.part_of_mart("test")).select("loan_id", "target", "score", "prediction")
+
+
+def _tune_cv(t: Tables) -> DataFrame:
+    return tuning.search(t.part_of_mart("train"), tuning.draw_trials(2), k=2, shared=SMALL)
+
+
+def _importance_permutation(t: Tables) -> DataFrame:
+    features = ["ext_source_mean", "age_years", "income_type", "credit_to_annuity_ratio", "inst_late_ratio",
+                "prev_credit_ratio", "occupation_type", "years_employed"]
+    return importance.permutation_importance(t.part_of_mart("test"), t.stack.second.score, features)
+
+
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "scan_tables": _scan_tables,
     "stg_application": lambda t: t.stg("application"),
@@ -235,12 +305,22 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "score_decision": lambda t: scoring.score_decision(t.scored(), THRESHOLD),
     "quick_ratios": lambda t: scoring.quick_ratios(t.stg("application")).select(
         "loan_id", "ratio_income_credit", "credit_to_annuity_ratio", "credit_to_goods_ratio"),
+
+    "lr_baseline": _lr_baseline,
+    "gbt_model": _gbt_model,
+    "tree_cat_model": _tree_cat_model,
+    "stacking_oof": lambda t: t.oof,
+    "stacking_fold_auc": lambda t: stacking.fold_aucs(t.oof),
+    "stacking_meta": _stacking_meta,
+    "stacking_score": _stacking_score,
+    "tune_cv": _tune_cv,
+    "importance_permutation": _importance_permutation,
 }
 
 
 def registered() -> dict[str, Query]:
     """All queries as functions of a session and a folder of given tables."""
     def bound(build: Callable[[Tables], DataFrame]) -> Query:
-        return lambda spark, folder: build(Tables(spark, folder))
+        return lambda spark, folder: build(Tables.of(spark, folder))
 
     return {name: bound(build) for name, build in _QUERIES.items()}

@@ -89,10 +89,14 @@ class Tables:
     def requests(self) -> DataFrame:
         return scoring.as_requests(self.stg("application"), "loan_id")
 
+    @cached_property
+    def mart_table(self) -> DataFrame:
+        """The mart as a written table, for work that reads it more than once."""
+        return written(self.mart(), "mart")
+
     @cached_property
     def split_mart(self) -> DataFrame:
-        """The mart as a written table with its split; training reads it many times."""
-        return splits.stratified_split(written(self.mart(), "mart"))
+        return splits.stratified_split(self.mart_table)
 
     def part_of_mart(self, split: str) -> DataFrame:
         return self.split_mart.where(F.col("split") == split).drop("split")
@@ -124,7 +128,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def _checked_tables(t: Tables) -> dict[str, DataFrame]:
     raw = {name: t.raw(name) for name in RAW_TABLES}
     stg = {CHECKED_AS[name]: t.stg(name) for name in STAGED}
-    return raw | stg | {"mart_credit_features": t.mart()}
+    return raw | stg | {"mart_credit_features": t.mart_table}
 
 
 def _checks(t: Tables, kind: str) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def oracle_connection(folder: str = FOLDER) -> duckdb.DuckDBPyConnection:
@@ -30,7 +31,16 @@ def _rows(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
-def differences(query, sql: str, spark, con, folder: str = FOLDER) -> str | None:
+def _equal(a: str, b: str, tolerance: float) -> bool:
+    if a == b:
+        return True
+    try:
+        return tolerance > 0 and abs(float(a) - float(b)) <= tolerance
+    except ValueError:
+        return False
+
+
+def differences(query, sql: str, spark, con, folder: str = FOLDER, tolerance: float = 0.0) -> str | None:
     """A description of the first difference, or None if both results are equal."""
     df = query(spark, folder)
     result = con.execute(sql)
@@ -44,7 +54,7 @@ def differences(query, sql: str, spark, con, folder: str = FOLDER) -> str | None
     spark_kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     odd = {f.name: (f.dataType.simpleString(), kinds[f.name]) for f in df.schema
            if spark_kinds.get(f.dataType.simpleString(), "?") != kinds[f.name]}
-    wrong = [(a, b) for a, b in zip(mine, theirs) if a != b]
+    wrong = [(a, b) for a, b in zip(mine, theirs) if not all(_equal(x, y, tolerance) for x, y in zip(a, b))]
     if wrong:
         cols = sorted(names)
         a, b = wrong[0]

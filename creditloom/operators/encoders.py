@@ -56,7 +56,7 @@ class TargetEncoder:
 def fit_target_encoder(df: DataFrame, label: str = "target", cols: list[str] | None = None,
                        smoothing: float = SMOOTHING, min_samples: float = MIN_SAMPLES) -> TargetEncoder:
     """Category statistics of all columns from one scan; NULL is a category of its own."""
-    cols = cols or TARGET_ENCODED
+    cols = TARGET_ENCODED if cols is None else cols
     prior = df.agg(F.avg(label)).first()[0]
     long = df.select(label, *cols).unpivot([label], cols, "column_name", "category")
     stats = long.groupBy("column_name", "category").agg(F.count("*").alias("n"), F.avg(label).alias("mean"))

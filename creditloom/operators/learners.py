@@ -50,7 +50,7 @@ def with_class_weight(df: DataFrame, positive: float = POSITIVE_WEIGHT) -> DataF
 class Scorer:
     """A fitted model with the fitted preparation of its input."""
 
-    model: PipelineModel
+    model: PipelineModel | None
     numbers: list[str]
     ordinal: bool = False
     target_encoder: TargetEncoder | None = None
@@ -58,11 +58,13 @@ class Scorer:
     scaler: ColumnValues | None = None
     categories: list[str] = field(default_factory=list)
 
-    def prepare(self, df: DataFrame) -> DataFrame:
+    def encode(self, df: DataFrame) -> DataFrame:
         if self.ordinal:
             df = encoders.ordinal_encode(df)
-        if self.target_encoder:
-            df = self.target_encoder.transform(df)
+        return self.target_encoder.transform(df) if self.target_encoder else df
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        df = self.encode(df)
         if self.categories:
             df = encoders.fill_unknown(df, self.categories)
         if self.medians:
@@ -103,9 +105,11 @@ class Scorer:
                       facts["scaler"] and ColumnValues(facts["scaler"]), facts["categories"])
 
 
-def _target_encoder(train: DataFrame) -> TargetEncoder:
+def _encoding(train: DataFrame) -> dict:
+    """Fitted encoders for the categories present, as :class:`Scorer` fields."""
     present = [c for c in encoders.TARGET_ENCODED if c in train.columns]
-    return encoders.fit_target_encoder(train, LABEL, present).pinned()
+    return {"ordinal": "age_group" in train.columns,
+            "target_encoder": encoders.fit_target_encoder(train, LABEL, present).pinned() if present else None}
 
 
 def _encoded_features(df: DataFrame) -> list[str]:
@@ -116,8 +120,8 @@ def _encoded_features(df: DataFrame) -> list[str]:
 def fit_logistic(train: DataFrame, max_iter: int = 1000) -> Scorer:
     """Logistic regression on encoded, median-imputed, standardised features, with an L2 penalty of C = 1."""
     features = _encoded_features(train)
-    encoder = _target_encoder(train)
-    encoded = encoder.transform(encoders.ordinal_encode(train)).select(LABEL, *features)
+    encoding = _encoding(train)
+    encoded = Scorer(None, features, **encoding).encode(train).select(LABEL, *features)
     encoded.persist(StorageLevel.MEMORY_AND_DISK)
     medians = encoders.fit_medians(encoded, features)
     imputed = encoders.impute_median(encoded, medians)
@@ -127,7 +131,7 @@ def fit_logistic(train: DataFrame, max_iter: int = 1000) -> Scorer:
     pipeline = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), regression])
     model = pipeline.fit(encoders.standardize(imputed, scaler))
     encoded.unpersist()
-    return Scorer(model, features, ordinal=True, target_encoder=encoder, medians=medians, scaler=scaler)
+    return Scorer(model, features, medians=medians, scaler=scaler, **encoding)
 
 
 def _with_holdout(train: DataFrame, holdout: DataFrame) -> DataFrame:
@@ -145,12 +149,12 @@ def fit_boosted(train: DataFrame, holdout: DataFrame, params: dict = BOOSTED, po
     """Boosted trees on encoded features; stops when the holdout no longer improves."""
     enable_checkpoints(train.sparkSession)
     features = _encoded_features(train)
-    encoder = _target_encoder(train)
-    unfitted = Scorer(None, features, ordinal=True, target_encoder=encoder)
+    encoding = _encoding(train)
+    unfitted = Scorer(None, features, **encoding)
     rows = unfitted.prepare(with_class_weight(_with_holdout(train, holdout), positive_weight))
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     model = Pipeline(stages=[assembler, _boosting(params)]).fit(rows.select(LABEL, "weight", "is_holdout", *features))
-    return Scorer(model, features, ordinal=True, target_encoder=encoder)
+    return Scorer(model, features, **encoding)
 
 
 def fit_categorical(train: DataFrame, holdout: DataFrame, params: dict = CATEGORICAL,

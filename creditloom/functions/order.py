@@ -133,7 +133,8 @@ def exact_medians(df: DataFrame, cols: list[str], direct_rows: int = 1_000_000)
     """
     counts = df.agg(*[F.expr(f"count({c}) AS {c}") for c in cols]).first()
     ranks = {c: ((counts[c] - 1) // 2 + 1, counts[c] // 2 + 1) for c in cols if counts[c]}
-    bracket = {c: (float("-inf"), float("inf")) for c in ranks}
+    everything = (float("-inf"), float("inf"))
+    bracket = dict.fromkeys(ranks, everything)
     below = dict.fromkeys(ranks, 0)
     inside = {c: counts[c] for c in ranks}
     settled: set[str] = set()
@@ -160,8 +161,9 @@ def exact_medians(df: DataFrame, cols: list[str], direct_rows: int = 1_000_000)
 
     if not ranks:
         return dict.fromkeys(cols)
-    pairs = ", ".join(f"struct('{c}' AS name, if({within(c, *bracket[c])}, CAST({c} AS DOUBLE), NULL) AS v)" for c in ranks)
-    values = (df.selectExpr(f"inline(array({pairs}))").where("v IS NOT NULL")
+    held = [F.expr(f"CAST({c} AS DOUBLE) AS {c}" if bracket[c] == everything
+                   else f"CASE WHEN {within(c, *bracket[c])} THEN CAST({c} AS DOUBLE) END AS {c}") for c in ranks]
+    values = (df.select(*held).unpivot([], list(ranks), "name", "v").where("v IS NOT NULL")
               .groupBy("name", "v").agg(F.count("*").alias("copies")))
     upto = W.partitionBy("name").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     wanted = ", ".join(f"'{c}', array({ranks[c][0] - below[c]}L, {ranks[c][1] - below[c]}L)" for c in ranks)

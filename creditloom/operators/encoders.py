@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lookup import fitted, lookup_join
+from ..functions.numeric import aggregate
 from ..functions.order import exact_medians
 from .profiling import string_columns
 
@@ -48,11 +50,6 @@ class TargetEncoder:
         return df
 
 
-    def pinned(self) -> TargetEncoder:
-        """The same encoder with its statistics held on the driver if their size allows."""
-        return replace(self, stats=fitted(self.stats)[0])
-
-
 def fit_target_encoder(df: DataFrame, label: str = "target", cols: list[str] | None = None,
                        smoothing: float = SMOOTHING, min_samples: float = MIN_SAMPLES) -> TargetEncoder:
     """Category statistics of all columns from one scan; NULL is a category of its own."""
@@ -62,7 +59,9 @@ def fit_target_encoder(df: DataFrame, label: str = "target", cols: list[str] | N
     stats = long.groupBy("column_name", "category").agg(F.count("*").alias("n"), F.avg(label).alias("mean"))
     weight = 1 / (1 + F.exp(-(F.col("n") - min_samples) / smoothing))
     stats = stats.withColumn("encoded", F.lit(prior) * (1 - weight) + F.col("mean") * weight)
-    return TargetEncoder(stats, prior, cols)
+    small, pinned = fitted(stats)
+    # Too many categories for the driver: keep them distributed, computed once.
+    return TargetEncoder(small if pinned else stats.persist(StorageLevel.MEMORY_AND_DISK), prior, cols)
 
 
 def fill_unknown(df: DataFrame, cols: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
@@ -89,9 +88,11 @@ def impute_median(df: DataFrame, medians: ColumnValues) -> DataFrame:
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> ColumnValues:
-    """Mean and population standard deviation of every column, in one aggregate."""
-    row = df.agg(*[F.expr(text) for c in cols for text in (f"avg({c})", f"stddev_pop({c})")]).first()
-    return ColumnValues({c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(cols)})
+    """Mean and population standard deviation of every column; columns become rows of one aggregate."""
+    doubles = df.select(*[F.expr(f"CAST({c} AS DOUBLE) AS {c}") for c in cols])
+    rows = aggregate(doubles.unpivot([], cols, "name", "x"), ["name"], {"mean": "avg(x)", "sd": "stddev_pop(x)"})
+    found = {r["name"]: (r["mean"], r["sd"]) for r in rows.collect()}
+    return ColumnValues({c: found.get(c, (None, None)) for c in cols})
 
 
 def standardize(df: DataFrame, scaler: ColumnValues) -> DataFrame:

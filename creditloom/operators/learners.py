@@ -109,7 +109,7 @@ def _encoding(train: DataFrame) -> dict:
     """Fitted encoders for the categories present, as :class:`Scorer` fields."""
     present = [c for c in encoders.TARGET_ENCODED if c in train.columns]
     return {"ordinal": "age_group" in train.columns,
-            "target_encoder": encoders.fit_target_encoder(train, LABEL, present).pinned() if present else None}
+            "target_encoder": encoders.fit_target_encoder(train, LABEL, present) if present else None}
 
 
 def _encoded_features(df: DataFrame) -> list[str]:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from ..functions.lookup import lookup_join
-from ..functions.numeric import duck_round, named
+from ..functions.numeric import aggregate, duck_round
 
 # Age bucket limits in years of 365 days, right-closed, and the overall rate drawn as a reference line.
 AGE_BUCKETS = ((25, "<25"), (35, "25-35"), (45, "35-45"), (55, "45-55"), (100, ">55"))
@@ -87,25 +87,24 @@ def rate_by_age_bucket(df: DataFrame, days_birth: str = "days_birth", label: str
     return rate_by_group(df.withColumn("age_bucket", age_bucket(days_birth)), ["age_bucket"], label, 3)
 
 
-def correlation(a: str, b: str) -> str:
-    """Pearson correlation over rows where both are known; NULL where one of them is constant there.
-
-    Spelled out because ``corr`` fails the job on a constant column in ANSI mode.
-    """
-    spread = f"stddev_pop({a}) FILTER (WHERE {b} IS NOT NULL) * stddev_pop({b}) FILTER (WHERE {a} IS NOT NULL)"
-    return f"covar_pop({a}, {b}) / nullif({spread}, 0e0)"
+# Pearson correlation of x and y over rows where both are known; NULL where one
+# of them is constant there. Spelled out because ``corr`` fails the job on a
+# constant column in ANSI mode.
+CORRELATION = ("covar_pop(x, y) / nullif(stddev_pop(x) FILTER (WHERE y IS NOT NULL) "
+               "* stddev_pop(y) FILTER (WHERE x IS NOT NULL), 0e0)")
 
 
 def correlations_with(df: DataFrame, label: str, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
     """Absolute Pearson correlation with the label over rows where both are known, and the share of NULLs.
 
-    Rounded before ranking, so that equal correlations rank by name on any partitioning.
+    Columns become rows, so that one small generated aggregate handles any
+    number of them; it combines map-side to one row per column. Rounded before
+    ranking, so that equal correlations rank by name on any partitioning.
     """
     cols = cols or [c for c in numeric_columns(df) if c != label]
-    wide = df.agg(*named({f"r{i}": correlation(c, label) for i, c in enumerate(cols)}
-                         | {f"m{i}": f"avg(int({c} IS NULL))" for i, c in enumerate(cols)}))
-    entries = ", ".join(f"'{c}', r{i}, m{i}" for i, c in enumerate(cols))
-    rows = wide.selectExpr(f"stack({len(cols)}, {entries}) AS (column_name, raw, missing_rate)")
+    doubles = df.select(F.col(label).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in cols])
+    rows = aggregate(doubles.unpivot(["y"], cols, "column_name", "x"), ["column_name"], {
+        "raw": CORRELATION, "missing_rate": "avg(int(x IS NULL))"})
     return rows.select("column_name", F.expr(duck_round("abs(raw)", digits)).alias("abs_corr"), "missing_rate").orderBy(
         F.desc_nulls_last("abs_corr"), "column_name")
 
@@ -115,12 +114,15 @@ def top_correlations(df: DataFrame, label: str, n: int = 20) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 2) -> DataFrame:
-    """Pearson correlation of every pair, each over rows where both are known, from one aggregate."""
-    pairs = [*combinations(cols, 2), *[(c, c) for c in cols]]
-    wide = df.agg(*named({f"r{i}": duck_round(correlation(a, b), digits) for i, (a, b) in enumerate(pairs)}))
-    cells = [f"'{a}', '{b}', r{i}" for i, (a, b) in enumerate(pairs)]
-    cells += [f"'{b}', '{a}', r{i}" for i, (a, b) in enumerate(pairs) if a != b]
-    return wide.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (a, b, corr)")
+    """Pearson correlation of every pair of columns, each over rows where both are known; one scan."""
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    pairs = ", ".join(f"({a}, {b}) AS `{a}|{b}`" for a, b in combinations_with_replacement(cols, 2))
+    long = df.sparkSession.sql(f"SELECT * FROM {{wide}} UNPIVOT ((x, y) FOR pair IN ({pairs}))", wide=doubles)
+    upper = aggregate(long, ["pair"], {"corr": duck_round(CORRELATION, digits)})
+    mirrored = upper.selectExpr(
+        "inline(filter(array(struct(split_part(pair, '|', 1) AS a, split_part(pair, '|', 2) AS b, corr), "
+        "struct(split_part(pair, '|', 2) AS a, split_part(pair, '|', 1) AS b, corr)), (e, i) -> i = 0 OR e.a <> e.b))")
+    return mirrored.select("a", "b", "corr")
 
 
 def category_spread(df: DataFrame, label: str = "target", cols: list[str] | None = None) -> DataFrame:

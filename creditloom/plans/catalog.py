@@ -169,7 +169,7 @@ def _linear_importance(t: Tables) -> DataFrame:
 
 
 def _evaluation_report(t: Tables) -> DataFrame:
-    scored = splits.stratified_split(t.scored())
+    scored = splits.stratified_split(written(t.scored(), "scored"))
     report = evaluation_report(scored.where("split = 'val'"), scored.where("split = 'test'"), _linear_importance(t))
     return settled(report, {"value": 9})
 

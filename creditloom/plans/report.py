@@ -20,8 +20,9 @@ def _facts(df: DataFrame, section: str, cols: list[str], subject: str | None = N
 def evaluation_report(tune_on: DataFrame, report_on: DataFrame, importance: DataFrame | None = None) -> DataFrame:
     """Tune the threshold on one scored table and report on another.
 
-    The same threshold is used for every section. ``importance`` is an optional
-    ranking with ``feature`` first and its measure second.
+    The same threshold is used for every section. Both tables are scanned several
+    times: pass stored scores, so that the model runs once. ``importance`` is an
+    optional ranking with ``feature`` first and its measure second.
     """
     best = ev.best_threshold(ev.threshold_sweep(tune_on)).first()
     threshold = best["threshold"]

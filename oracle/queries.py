@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from creditloom.operators.profiling import ALREADY_USED, KEY_FEATURES
 from creditloom.operators.quality import DECLARED
+from creditloom.operators.scoring import DEFAULTS, REQUIRED
+from creditloom.operators.staging import APPLICATION_NAMES
 from creditloom.plans import catalog
+from creditloom.sources.schemas import APPLICATION, RAW_TABLES
 
-from .statements import (AUC_OF, DEFAULTS, NUMERIC, PARTS, RAW_TABLES, REQUEST_TYPES, REQUIRED, TEXT, confusion,
-                         raw_facts, statement)
-from creditloom.operators.profiling import ALREADY_USED, KEY_FEATURES
-from creditloom.operators.staging import APPLICATION_NAMES
-from creditloom.sources.schemas import APPLICATION
+from .statements import AUC_OF, NUMERIC, PARTS, REQUEST_TYPES, TEXT, confusion, raw_facts, statement
 
 
 def _rounded(source: str, digits: dict[str, int]) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from creditloom.operators import staging
-from creditloom.operators.scoring import DEFAULTS, REQUEST_SCHEMA, REQUIRED
+from creditloom.operators.scoring import REQUEST_SCHEMA
 from creditloom.plans.mart import MART_COLUMNS
 from creditloom.sources.schemas import APPLICATION, RAW_TABLES
 from creditloom.sources.standins import standin_sql

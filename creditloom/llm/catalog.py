@@ -7,10 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, sql
+from . import host_reputation, quality_rules, sql
 from .tables import given
 
 
+URL_RULES = [
+    host_reputation.UrlRule("block", "net", "/"),
+    host_reputation.UrlRule("allow", "example.net", "/en/"),
+    host_reputation.UrlRule("block", "example.com", "/de/"),
+    host_reputation.UrlRule("allow", "org", "/fr/"),
+]
+
+
+def op1_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule and verdict of every page. A page's outcome is the quality label of the document its url numbers."""
+    pages, labels = given(spark, folder, "pages"), given(spark, folder, "labels")
+    numbered = pages.select("url", F.expr(r"try_cast(regexp_extract(url, '/(\\d+)', 1) AS BIGINT)").alias("doc_id"))
+    outcomes = numbered.join(labels, "doc_id").select("url", F.col("quality").alias("good"))
+    return host_reputation.judged(pages, outcomes, URL_RULES)
+
+
 def op7_rule_bitmask_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements, base verdict and strict verdict of every document."""
     table = quality_rules.ledger(given(spark, folder, "documents"))
@@ -19,7 +35,7 @@ def op7_rule_bitmask_ledger(spark: SparkSession, folder: str) -> DataFrame:
                         (~base).alias("base_failed"), (base & strict).alias("kept"), "failure_bits")
 
 
-QUERIES = (op7_rule_bitmask_ledger,)
+QUERIES = (op1_host_reputation, op7_rule_bitmask_ledger,)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

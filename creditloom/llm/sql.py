@@ -2,6 +2,47 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH p AS (SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+o AS (SELECT p.host, CAST(l.quality AS BIGINT) AS good
+      FROM p JOIN labels l ON l.doc_id = TRY_CAST(regexp_extract(p.url, '/(\d+)', 1) AS BIGINT)
+      WHERE l.quality IS NOT NULL),
+h AS (SELECT host, string_split(regexp_replace(host, ':\d*$', ''), '.') AS parts,
+             (SELECT count(*) FROM o WHERE o.host = u.host) AS n,
+             (SELECT CAST(coalesce(sum(good), 0) AS BIGINT) FROM o WHERE o.host = u.host) AS good
+      FROM (SELECT DISTINCT host FROM p) u),
+t AS (SELECT host, n, good, array_to_string(parts[-2:], '.') AS domain, parts[-1] AS suffix FROM h),
+g AS (SELECT (sum(good) + 1.0::DOUBLE) / (sum(n) + 2.0::DOUBLE) AS m FROM t),
+s AS (SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(g.m) AS m FROM t, g GROUP BY suffix),
+sx AS (SELECT sum(n * pow(good / n - m, 2) / (m * (1 - m))) AS x2, count(*) AS k, sum(n) AS total FROM s WHERE n > 0),
+ss AS (SELECT CASE WHEN total > k AND x2 > k - 1
+                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) ELSE 1000.0 END AS c FROM sx),
+sp AS (SELECT suffix, (c * m + good) / (c + n) AS m FROM s, ss),
+d AS (SELECT t.suffix, t.domain, sum(n) AS n, sum(good) AS good, any_value(sp.m) AS m
+      FROM t JOIN sp USING (suffix) GROUP BY t.suffix, t.domain),
+dx AS (SELECT sum(n * pow(good / n - m, 2) / (m * (1 - m))) AS x2, count(*) AS k, sum(n) AS total FROM d WHERE n > 0),
+ds AS (SELECT CASE WHEN total > k AND x2 > k - 1
+                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) ELSE 1000.0 END AS c FROM dx),
+dp AS (SELECT suffix, domain, (c * m + good) / (c + n) AS m FROM d, ds),
+e AS (SELECT t.host, n, good, m FROM t JOIN dp USING (suffix, domain)),
+ex AS (SELECT sum(n * pow(good / n - m, 2) / (m * (1 - m))) AS x2, count(*) AS k, sum(n) AS total FROM e WHERE n > 0),
+es AS (SELECT CASE WHEN total > k AND x2 > k - 1
+                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) ELSE 1000.0 END AS c FROM ex),
+b AS (SELECT host, n, good, c * m + good AS a, c * (1 - m) + n - good AS b FROM e, es),
+v AS (SELECT host, n, good, a / (a + b) + 2.0 * sqrt(a * b / (a + b + 1)) / (a + b) AS upper FROM b),
+r AS (SELECT p.*, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+                       WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+                       WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+                       WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule FROM p)
+SELECT page_id, r.host, path, rule,
+       CASE rule WHEN 'net/' THEN 'block' WHEN 'example.net/en/' THEN 'allow' WHEN 'example.com/de/' THEN 'block'
+                 WHEN 'org/fr/' THEN 'allow' ELSE CASE WHEN upper < 0.75 THEN 'block' ELSE 'allow' END END AS verdict,
+       n AS host_labelled, good AS host_good
+FROM r JOIN v USING (host)
+"""
+
 OP7 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
 w AS (SELECT r, t, doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -33,4 +74,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 
 def statements() -> dict[str, str]:
     """One statement per query name."""
-    return {"op7_rule_bitmask_ledger": OP7}
+    return {"op1_host_reputation": OP1, "op7_rule_bitmask_ledger": OP7}

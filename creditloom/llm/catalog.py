@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, quality_rules, sql
+from creditloom.session import scratch_path
+
+from . import host_reputation, pseudonyms, quality_rules, sql, warc
 from .tables import given
 
 
@@ -27,6 +29,27 @@ def op1_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return host_reputation.judged(pages, outcomes, URL_RULES)
 
 
+# The key of the registered query; a deployment passes its own, kept secret.
+PSEUDONYM_KEY = b"registered query"
+
+
+def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its personal values replaced by pseudonyms."""
+    docs = given(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymised(docs, PSEUDONYM_KEY)
+
+
+def op6_warc_revisit(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as the written archives give it back."""
+    path = scratch_path(spark, "archives")
+    pages = given(spark, folder, "pages")
+    mean_bytes = pages.agg(F.avg(F.octet_length("html"))).first()[0]
+    warc.write_archives(warc.resolved(pages), path, mean_bytes or 0)
+    records = warc.resolve_revisits(warc.read_archives(spark, path))
+    return records.select(F.expr("try_cast(record_id AS BIGINT)").alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op7_rule_bitmask_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements, base verdict and strict verdict of every document."""
     table = quality_rules.ledger(given(spark, folder, "documents"))
@@ -35,7 +58,7 @@ def op7_rule_bitmask_ledger(spark: SparkSession, folder: str) -> DataFrame:
                         (~base).alias("base_failed"), (base & strict).alias("kept"), "failure_bits")
 
 
-QUERIES = (op1_host_reputation, op7_rule_bitmask_ledger,)
+QUERIES = (op1_host_reputation, op3_feistel_pseudonyms, op6_warc_revisit, op7_rule_bitmask_ledger,)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -43,6 +43,23 @@ SELECT page_id, r.host, path, rule,
 FROM r JOIN v USING (host)
 """
 
+# Base32 from the bits of the digest: 160 bits in 32 groups of 5.
+OP6 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+h AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, hex, max(page_id) OVER (PARTITION BY hex) AS original FROM p),
+b AS (SELECT DISTINCT hex, (SELECT string_agg(right(bin(instr('0123456789abcdef', hex[i]) - 1 + 16), 4), '' ORDER BY i)
+                   FROM (SELECT unnest(range(1, 41)) AS i)) AS bits FROM h),
+c AS (SELECT hex, (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+                     + 16 * CAST(bits[5 * i + 1] AS INTEGER) + 8 * CAST(bits[5 * i + 2] AS INTEGER)
+                     + 4 * CAST(bits[5 * i + 3] AS INTEGER) + 2 * CAST(bits[5 * i + 4] AS INTEGER)
+                     + CAST(bits[5 * i + 5] AS INTEGER), 1), '' ORDER BY i)
+                   FROM (SELECT unnest(range(0, 32)) AS i)) AS payload_digest FROM b)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM h JOIN c USING (hex)
+"""
+
 OP7 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
 w AS (SELECT r, t, doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -74,4 +91,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 
 def statements() -> dict[str, str]:
     """One statement per query name."""
-    return {"op1_host_reputation": OP1, "op7_rule_bitmask_ledger": OP7}
+    return {"op1_host_reputation": OP1, "op6_warc_revisit": OP6, "op7_rule_bitmask_ledger": OP7}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from creditloom.session import scratch_path
 
-from . import host_reputation, pseudonyms, quality_rules, sql, warc
+from . import host_reputation, pseudonyms, quality_rules, rule_ensemble, sql, warc
 from .tables import given
 
 
@@ -58,7 +58,19 @@ def op7_rule_bitmask_ledger(spark: SparkSession, folder: str) -> DataFrame:
                         (~base).alias("base_failed"), (base & strict).alias("kept"), "failure_bits")
 
 
-QUERIES = (op1_host_reputation, op3_feistel_pseudonyms, op6_warc_revisit, op7_rule_bitmask_ledger,)
+def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document; rows whose id hashes to 0 modulo 5 are never learned from."""
+    def held_out(column: str):
+        return F.coalesce(F.crc32(F.col(column).cast("string")) % 5 == 0, F.lit(False))
+
+    labels = given(spark, folder, "labels").where(~held_out("doc_id"))
+    scores, _ = rule_ensemble.scored(given(spark, folder, "documents"), labels.select("doc_id", F.col("quality").alias("label")))
+    return scores.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = (op1_host_reputation, op3_feistel_pseudonyms, op6_warc_revisit, op7_rule_bitmask_ledger,
+           op9_rule_ensemble)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

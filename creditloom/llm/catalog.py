@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.session import scratch_path
 
-from . import host_reputation, pseudonyms, quality_rules, rule_ensemble, sql, warc
+from . import host_reputation, packing, pseudonyms, quality_rules, rule_ensemble, sql, warc
 from .tables import given
 
 
@@ -29,6 +30,12 @@ def op1_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return host_reputation.judged(pages, outcomes, URL_RULES)
 
 
+def op2_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document, packed into windows of 1024 ids."""
+    pieces = packing.packed(given(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 # The key of the registered query; a deployment passes its own, kept secret.
 PSEUDONYM_KEY = b"registered query"
 
@@ -69,7 +76,7 @@ def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = (op1_host_reputation, op3_feistel_pseudonyms, op6_warc_revisit, op7_rule_bitmask_ledger,
+QUERIES = (op1_host_reputation, op2_minimum_bin_slack, op3_feistel_pseudonyms, op6_warc_revisit, op7_rule_bitmask_ledger,
            op9_rule_ensemble)
 
 

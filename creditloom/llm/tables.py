@@ -12,10 +12,10 @@ def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The same rows, written to the shared folder: computed once, and safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

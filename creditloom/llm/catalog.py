@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.session import scratch_path
 
-from . import host_reputation, packing, pseudonyms, quality_rules, rule_ensemble, sql, warc
+from . import host_reputation, huffman, packing, pseudonyms, quality_rules, rule_ensemble, sql, warc
 from .tables import given
 
 
@@ -46,6 +46,13 @@ def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.pseudonymised(docs, PSEUDONYM_KEY)
 
 
+def op4_huffman_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids as the written files give them back."""
+    path = scratch_path(spark, "coded")
+    huffman.write(given(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return huffman.read(spark, path).select("doc_id", "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_warc_revisit(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as the written archives give it back."""
     path = scratch_path(spark, "archives")
@@ -76,7 +83,8 @@ def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = (op1_host_reputation, op2_minimum_bin_slack, op3_feistel_pseudonyms, op6_warc_revisit, op7_rule_bitmask_ledger,
+QUERIES = (op1_host_reputation, op2_minimum_bin_slack, op3_feistel_pseudonyms, op4_huffman_blocks,
+           op6_warc_revisit, op7_rule_bitmask_ledger,
            op9_rule_ensemble)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.session import scratch_path
 
-from . import host_reputation, huffman, packing, pseudonyms, quality_rules, rule_ensemble, sql, warc
+from . import host_reputation, huffman, mixing, packing, pseudonyms, quality_rules, rule_ensemble, sql, warc
 from .tables import given
 
 
@@ -72,6 +72,12 @@ def op7_rule_bitmask_ledger(spark: SparkSession, folder: str) -> DataFrame:
                         (~base).alias("base_failed"), (base & strict).alias("kept"), "failure_bits")
 
 
+def op8_mixed_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Size, target and words taken of every document."""
+    table = mixing.taken_words(*mixing.mix(given(spark, folder, "documents")))
+    return table.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document; rows whose id hashes to 0 modulo 5 are never learned from."""
     def held_out(column: str):
@@ -85,7 +91,7 @@ def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = (op1_host_reputation, op2_minimum_bin_slack, op3_feistel_pseudonyms, op4_huffman_blocks,
            op6_warc_revisit, op7_rule_bitmask_ledger,
-           op9_rule_ensemble)
+           op8_mixed_blocks, op9_rule_ensemble)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.session import scratch_path
 
-from . import host_reputation, huffman, mixing, packing, pseudonyms, quality_rules, rule_ensemble, sql, warc
+from . import host_reputation, huffman, mixing, packing, pseudonyms, quality_rules, rule_ensemble, signature_tree, sql, warc
 from .tables import given
 
 
@@ -89,9 +89,14 @@ def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Set size and component of every document: three-word shingles, similarity of at least 0.9."""
+    return signature_tree.jaccard_components(given(spark, folder, "documents"), words=3, percent=90)
+
+
 QUERIES = (op1_host_reputation, op2_minimum_bin_slack, op3_feistel_pseudonyms, op4_huffman_blocks,
            op6_warc_revisit, op7_rule_bitmask_ledger,
-           op8_mixed_blocks, op9_rule_ensemble)
+           op8_mixed_blocks, op9_rule_ensemble, op10_signature_trees)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

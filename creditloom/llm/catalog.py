@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.session import scratch_path
 
-from . import host_reputation, huffman, mixing, packing, pseudonyms, quality_rules, rule_ensemble, signature_tree, sql, warc
+from . import host_reputation, huffman, mixing, packing, pseudonyms, quality_rules, rule_ensemble, signature_tree, sql, vector_graph, warc
 from .tables import given
 
 
@@ -53,6 +53,11 @@ def op4_huffman_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return huffman.read(spark, path).select("doc_id", "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_pruned_graph(spark: SparkSession, folder: str) -> DataFrame:
+    """Direct links, component and verdict of every vector."""
+    return vector_graph.near_duplicates(given(spark, folder, "embeddings"))
+
+
 def op6_warc_revisit(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as the written archives give it back."""
     path = scratch_path(spark, "archives")
@@ -95,7 +100,7 @@ def op10_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = (op1_host_reputation, op2_minimum_bin_slack, op3_feistel_pseudonyms, op4_huffman_blocks,
-           op6_warc_revisit, op7_rule_bitmask_ledger,
+           op5_pruned_graph, op6_warc_revisit, op7_rule_bitmask_ledger,
            op8_mixed_blocks, op9_rule_ensemble, op10_signature_trees)
 
 

@@ -18,7 +18,8 @@ from tokenizers import Tokenizer
 
 MAX_PIECES = 600_000
 LONGEST_PIECE = 40
-_VISIBLE = frozenset(string.ascii_letters + string.digits + string.punctuation)
+_VISIBLE = frozenset(string.ascii_letters + string.digits + string.punctuation) | {
+    c for c in map(chr, range(0xC0, 0x250)) if c.isalpha()}
 _workers: dict[str, Pieces] = {}
 
 
@@ -36,13 +37,16 @@ class Pieces:
         self.parted = Tokenizer.from_file(path)
         self.mark, part = max(self.parted.get_added_tokens_decoder().items())
         self.part = part.content
+        self.parted.model._resize_cache(0)  # every piece is given once
         self.known: dict[str, bytes] = {}
 
     def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        plain, odd = [], []
-        for p in pieces:
-            (odd if "<|" in p else plain).append(p)
-        learned = {p: np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in odd}
+        pieces = list(pieces)
+        learned = dict.fromkeys(pieces, b"")  # in the given order
+        plain = [p for p in pieces if "<|" not in p]
+        if len(plain) < len(pieces):
+            for p in set(pieces).difference(plain):
+                learned[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
         for at in range(0, len(plain), 20_000):
             some = plain[at:at + 20_000]
             [found] = self.parted.encode_batch_fast([self.part.join(some)], add_special_tokens=False)
@@ -54,41 +58,47 @@ class Pieces:
                 start = end + 1
         return learned
 
-    def _remember(self, words: set[str]) -> None:
+    def _remember(self, words: list[str]) -> None:
         """Learn words that follow a space. A last full stop or comma after a letter is always a piece of its own."""
-        stems = {w: w[:-1] for w in words if w[-1] in ".," and w[-2:-1].isalpha()}
-        needed = (words - stems.keys()) | (set(stems.values()) - self.known.keys())
-        learned = self._learn([" " + w for w in needed])
-        self.known.update((w, learned[" " + w]) for w in needed)
+        known, stems, needed = self.known, [], []
+        for w in words:
+            (stems if w[-1] in ".," and w[-2:-1].isalpha() else needed).append(w)
+        needed += {w[:-1] for w in stems}.difference(known, needed)
+        known.update(zip(needed, self._learn([" " + w for w in needed]).values()))
         if stems:
             marks = {m: self._learn([m])[m] for m in ".,"}
-            self.known.update((w, self.known[stem] + marks[w[-1]]) for w, stem in stems.items())
+            for w in stems:
+                known[w] = known[w[:-1]] + marks[w[-1]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text; a null text has none."""
-        split = [(t or "").split(" ") for t in texts]
         if len(self.known) > MAX_PIECES:
             self.known.clear()
-        known = self.known
-        new = set()
-        for words in split:
-            new.update(set(words[1:]).difference(known))
-        odd = {w for w in new if not (w and _visible(w[0]) and _visible(w[-1]) and len(w) <= LONGEST_PIECE)}
-        self._remember(new - odd)
-        heads = self._learn({words[0] for words in split if words[0]})
-        heads[""] = b""
-        out, whole = [], []
-        for i, words in enumerate(split):
-            if odd.isdisjoint(words[1:]) and (len(words) == 1 or (words[0] and _visible(words[0][-1]))):
-                out.append(heads[words[0]] + b"".join([known[w] for w in words[1:]]))
+        known, visible = self.known, _VISIBLE
+        heads, rests, new, unknown = [], [], set(), []
+        for text in texts:
+            head, *rest = (text or "").split(" ")
+            heads.append(head)
+            rests.append(rest)
+            missing = set(rest).difference(known)
+            unknown.append(missing)
+            new |= missing
+        odd = {w for w in new if not w or len(w) > LONGEST_PIECE or not (
+            (w[0] in visible or w[0].isalpha()) and (w[-1] in visible or w[-1].isalpha()))}
+        self._remember(list(new - odd))
+        first = self._learn({h for h in heads if h})
+        first[""] = b""
+        out, whole = [], {}
+        for i, (head, rest) in enumerate(zip(heads, rests)):
+            if odd.isdisjoint(unknown[i]) and (not rest or (head and _visible(head[-1]))):
+                out.append(first[head] + b"".join(map(known.__getitem__, rest)))
             else:
-                out.append(None)
-                whole.append(i)
-        pieces = {i: _cut(texts[i]) for i in whole}
+                out.append(b"")
+                whole[i] = _cut(texts[i])
         if whole:
-            learned = self._learn({p for i in whole for p in pieces[i] if p[1:] not in known or p[0] != " "})
-            for i in whole:
-                out[i] = b"".join([learned[p] if p in learned else known[p[1:]] for p in pieces[i]])
+            learned = self._learn({p for pieces in whole.values() for p in pieces if p[0] != " " or p[1:] not in known})
+            for i, pieces in whole.items():
+                out[i] = b"".join([learned[p] if p in learned else known[p[1:]] for p in pieces])
         return out
 
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from creditloom.session import scratch_path
 
 from . import host_reputation, huffman, mixing, packing, pseudonyms, quality_rules, rule_ensemble, signature_tree, sql, vector_graph, warc
@@ -96,12 +97,17 @@ def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
     """Set size and component of every document: three-word shingles, similarity of at least 0.9."""
-    return signature_tree.jaccard_components(given(spark, folder, "documents"), words=3, percent=90)
+    return signature_tree.jaccard_components(given(spark, folder, "documents"), words=3, percent=90).drop("node", "class")
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Packed pieces of what all stages of the corpus pipeline keep."""
+    return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = (op1_host_reputation, op2_minimum_bin_slack, op3_feistel_pseudonyms, op4_huffman_blocks,
            op5_pruned_graph, op6_warc_revisit, op7_rule_bitmask_ledger,
-           op8_mixed_blocks, op9_rule_ensemble, op10_signature_trees)
+           op8_mixed_blocks, op9_rule_ensemble, op10_signature_trees, pipeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

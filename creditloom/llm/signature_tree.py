@@ -35,6 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from creditloom.functions.lookup import lookup_join
 
@@ -294,7 +295,7 @@ def verified_edges(docs: DataFrame, table: DataFrame, rough: DataFrame, words: i
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
                        text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every text."""
+    """``doc_id, n_shingles, component_id`` of every text, ``node``, the hash of its set, and ``class``, that of its component."""
     table = set_table(docs, words, doc_id, text)
     rough = components(candidate_edges(docs, words, percent, text))
     exact = components(verified_edges(docs, table, rough, words, percent, doc_id, text))
@@ -303,4 +304,40 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, doc_i
     least = found.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     return lookup_join(found, least, ["class"]).select(
-        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "node", "class")
+
+
+def with_node(rows: DataFrame, words: int, text: str) -> DataFrame:
+    """Adds ``node``, the hash of the text's set."""
+    at = rows.columns.index(text)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch.column(at)):
+                part = batch.slice(a, b - a)
+                nodes = shingle_sets(part.column(at), words).signature().view(np.int64)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes)], names=[*part.schema.names, "node"])
+
+    return rows.mapInArrow(add, StructType([*rows.schema.fields, StructField("node", LongType())]))
+
+
+def representatives(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of every component only the row of the smallest id.
+
+    Texts without words and rows without an id stay. Where rows of a component
+    share its smallest id, one of them stays.
+    """
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*columns)
+    key, body = (columns[docs.columns.index(c)] for c in (doc_id, text))
+    found = kept(jaccard_components(rows, words, percent, key, body).where("doc_id IS NOT NULL AND n_shingles > 0"), "classes")
+    marked = found.groupBy(F.col("doc_id").alias(key)).agg(
+        F.min("component_id").alias("c"), F.count("*").alias("n")).where(f"c <> {key} OR n > 1").select(key, "n")
+    joined = lookup_join(rows, marked, [key])
+    single = joined.where("n IS NULL").select(*columns)
+    # Rows that share their id are told apart by their sets.
+    chosen = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key), "class").agg(
+        F.min("node").alias("node")).drop("class")
+    repeated = with_node(joined.where("n > 1").select(*columns), words, body)
+    repeated = repeated.join(chosen, [key, "node"]).dropDuplicates([key, "node"]).select(*columns)
+    return single.unionByName(repeated).toDF(*docs.columns)

@@ -98,7 +98,8 @@ def _strength(children: DataFrame, mean: Column, settings: Settings) -> Column:
         F.count("*").alias("k"), F.sum("n").alias("total"))
     r = F.expr("(x2 - (k - 1)) / (total - k)")
     kept = F.least(F.greatest(1 / r - 1, F.lit(settings.weakest)), F.lit(settings.strongest))
-    return parts.select(F.when(F.expr("total > k AND x2 > k - 1"), kept).otherwise(settings.strongest).alias("strength"))
+    alike = F.when(F.expr("total > k"), settings.strongest).otherwise(settings.weakest)  # or nothing to judge it by
+    return parts.select(F.when(F.expr("total > k AND x2 > k - 1"), kept).otherwise(alike).alias("strength"))
 
 
 def host_posteriors(outcomes: DataFrame, hosts: DataFrame, settings: Settings = Settings()) -> DataFrame:

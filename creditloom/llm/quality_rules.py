@@ -120,6 +120,15 @@ def passes(policy: Policy, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.col("failure_bits").bitwiseAND(F.lit(mask(policy, rules)).cast("long")) == 0
 
 
+def passing(docs: DataFrame, policies: tuple[Policy, ...], text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that pass every policy."""
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    judged = ledger(docs.toDF(*columns), columns[docs.columns.index(text)], tuple(columns), rules)
+    for policy in policies:
+        judged = judged.where(passes(policy, rules))
+    return judged.select(*columns).toDF(*docs.columns)
+
+
 def ablations(table: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """What each rule of a policy does: one row per rule.
 

@@ -18,18 +18,18 @@ g AS (SELECT (sum(good) + 1.0::DOUBLE) / (sum(n) + 2.0::DOUBLE) AS m FROM t),
 s AS (SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(g.m) AS m FROM t, g GROUP BY suffix),
 sx AS (SELECT sum(n * pow(good / n - m, 2) / (m * (1 - m))) AS x2, count(*) AS k, sum(n) AS total FROM s WHERE n > 0),
 ss AS (SELECT CASE WHEN total > k AND x2 > k - 1
-                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) ELSE 1000.0 END AS c FROM sx),
+                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) WHEN total > k THEN 1000.0 ELSE 2.0 END AS c FROM sx),
 sp AS (SELECT suffix, (c * m + good) / (c + n) AS m FROM s, ss),
 d AS (SELECT t.suffix, t.domain, sum(n) AS n, sum(good) AS good, any_value(sp.m) AS m
       FROM t JOIN sp USING (suffix) GROUP BY t.suffix, t.domain),
 dx AS (SELECT sum(n * pow(good / n - m, 2) / (m * (1 - m))) AS x2, count(*) AS k, sum(n) AS total FROM d WHERE n > 0),
 ds AS (SELECT CASE WHEN total > k AND x2 > k - 1
-                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) ELSE 1000.0 END AS c FROM dx),
+                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) WHEN total > k THEN 1000.0 ELSE 2.0 END AS c FROM dx),
 dp AS (SELECT suffix, domain, (c * m + good) / (c + n) AS m FROM d, ds),
 e AS (SELECT t.host, n, good, m FROM t JOIN dp USING (suffix, domain)),
 ex AS (SELECT sum(n * pow(good / n - m, 2) / (m * (1 - m))) AS x2, count(*) AS k, sum(n) AS total FROM e WHERE n > 0),
 es AS (SELECT CASE WHEN total > k AND x2 > k - 1
-                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) ELSE 1000.0 END AS c FROM ex),
+                   THEN least(greatest(1 / ((x2 - (k - 1)) / (total - k)) - 1, 2.0), 1000.0) WHEN total > k THEN 1000.0 ELSE 2.0 END AS c FROM ex),
 b AS (SELECT host, n, good, c * m + good AS a, c * (1 - m) + n - good AS b FROM e, es),
 v AS (SELECT host, n, good, a / (a + b) + 2.0 * sqrt(a * b / (a + b + 1)) / (a + b) AS upper FROM b),
 r AS (SELECT p.*, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'

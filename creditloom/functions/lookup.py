@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 << 20
+VARIABLE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 
 
 def fitted(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -15,7 +17,12 @@ def fitted(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFr
     Returns the table and whether it is pinned. A larger one is returned as it
     is, so that it stays distributed.
     """
-    rows = table.limit(max_rows + 1).toArrow()
+    first = table.limit(max_rows + 1)
+    if any(isinstance(f.dataType, VARIABLE) for f in table.schema):  # rows of any width are weighed before they are pulled
+        weight = first.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+        if (weight or 0) > MAX_BROADCAST_BYTES:
+            return table, False
+    rows = first.toArrow()
     if rows.num_rows > max_rows or rows.nbytes > MAX_BROADCAST_BYTES:
         return table, False
     return table.sparkSession.createDataFrame(rows, table.schema), True

@@ -63,6 +63,26 @@ def hash_rank_cuts(df: DataFrame, key: str, strata: list[str], seed: int | str,
     return at_rank.select(*strata, "cut", F.col("h").alias("cut_hash"), F.col("k").alias("cut_key"))
 
 
+def hash_places(df: DataFrame, key: str, seed: int | str, rows_per_cell: int = 50_000) -> DataFrame:
+    """Adds ``place``, the position 1..n of a row in hash order of its key.
+
+    Rows are counted in cells of their first hash digits, whose number follows
+    from the row count, and every cell starts after the rows of the cells before.
+    """
+    rows = df.withColumn("__h", key_hash(key, seed))
+    digits = 1
+    n = rows.count()
+    while 16 ** digits * rows_per_cell < n:
+        digits += 1
+    rows = rows.withColumn("__cell", F.substring("__h", 1, digits))
+    before = W.orderBy("__cell").rowsBetween(W.unboundedPreceding, -1)
+    starts = rows.groupBy("__cell").agg(F.count("*").alias("__n")).select(
+        "__cell", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(W.partitionBy("__cell").orderBy("__h", key))
+    return rows.withColumn("place", inside).join(starts, "__cell").withColumn(
+        "place", F.col("place") + F.col("__start")).drop("__h", "__cell", "__start")
+
+
 def quantile_edges(df: DataFrame, col: str, cells: int) -> list[float]:
     """Distinct boundaries that cut ``col`` into about ``cells`` equally heavy cells."""
     points = [i / cells for i in range(1, cells)]

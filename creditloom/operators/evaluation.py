@@ -20,16 +20,21 @@ def _or_zero(num: str, den: str) -> str:
     return f"coalesce({num} / nullif({den}, 0), 0e0)"
 
 
+def judged(scored: DataFrame) -> DataFrame:
+    """The rows that every metric is about: those with a score and a target. The others are left out everywhere."""
+    return scored.where("score IS NOT NULL AND target IS NOT NULL")
+
+
 # ---------------------------------------------------------------- ranking curves
 
 def _score_counts(scored: DataFrame, by: list[str]) -> DataFrame:
     """Positives and negatives per distinct score; combined map-side before the shuffle."""
-    return scored.groupBy(*by, "score").agg(
+    return judged(scored).groupBy(*by, "score").agg(
         F.count_if(F.col("target") == 1).alias("pos"), F.count_if(F.col("target") == 0).alias("neg"))
 
 
 def _cumulative(scored: DataFrame, by: list[str] = (), neighbours: bool = False) -> DataFrame:
-    edges = quantile_edges(scored, "score", default_cells(scored))
+    edges = quantile_edges(judged(scored), "score", default_cells(scored))
     return running_totals(_score_counts(scored, list(by)), "score", ["pos", "neg"], by=list(by), edges=edges,
                           last=["pos", "neg"] if neighbours else [])
 
@@ -102,7 +107,7 @@ def pr_curve(scored: DataFrame) -> DataFrame:
 
 
 def prevalence(scored: DataFrame) -> DataFrame:
-    return scored.agg(F.avg("target").alias("prevalence"))
+    return judged(scored).agg(F.avg("target").alias("prevalence"))
 
 
 # ---------------------------------------------------------------- thresholds
@@ -120,7 +125,7 @@ def threshold_sweep(scored: DataFrame) -> DataFrame:
     One pass counts rows per interval between thresholds; the sums over the
     intervals above a threshold then run over at most 99 rows.
     """
-    met = scored.groupBy(_thresholds_met(F.col("score")).alias("step")).agg(
+    met = judged(scored).groupBy(_thresholds_met(F.col("score")).alias("step")).agg(
         F.count_if(F.col("target") == 1).alias("pos"), F.count_if(F.col("target") == 0).alias("neg"))
     steps = scored.sparkSession.range(LAST_THRESHOLD + 1).select(F.col("id").cast("int").alias("step"))
     filled = steps.join(met, "step", "left").na.fill(0, ["pos", "neg"])
@@ -172,12 +177,12 @@ def rates(counts: DataFrame) -> DataFrame:
 
 
 def confusion_metrics(scored: DataFrame, threshold: float) -> DataFrame:
-    return rates(scored.agg(*named(_confusion(threshold))))
+    return rates(judged(scored).agg(*named(_confusion(threshold))))
 
 
 def class_report(scored: DataFrame, threshold: float) -> DataFrame:
     """Precision, recall, F1 and support per class, with accuracy, macro and weighted average."""
-    c = scored.agg(*named(_confusion(threshold)))
+    c = judged(scored).agg(*named(_confusion(threshold)))
     per_class = c.select(*named({
         "zero": "struct(tn AS hit, tn + fn AS predicted, tn + fp AS support)",
         "one": "struct(tp AS hit, tp + fp AS predicted, tp + fn AS support)",
@@ -205,7 +210,7 @@ def class_report(scored: DataFrame, threshold: float) -> DataFrame:
 def fairness_by_group(scored: DataFrame, threshold: float, group: str = "gender_clean",
                       groups: tuple[str, ...] = GROUPS) -> DataFrame:
     """Selection rate, false positive and false negative rate of the audited groups; undefined rates are 0."""
-    counts = scored.where(F.col(group).isin(*groups)).groupBy(group).agg(*named(_confusion(threshold)))
+    counts = judged(scored).where(F.col(group).isin(*groups)).groupBy(group).agg(*named(_confusion(threshold)))
     return counts.select(group, *named({
         "n_rows": "tn + fp + fn + tp",
         "selection_rate": _or_zero("(fp + tp)", "(tn + fp + fn + tp)"),

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +31,18 @@ MISSING = -1e9
 
 # Settings of the single models and of the models inside the stack.
 BOOSTED = {"maxIter": 2500, "maxDepth": 3, "stepSize": 0.05, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.8",
-           "maxBins": 512, "seed": 42}
+           "maxBins": 512, "minSplitGain": 0.5, "seed": 42}
 CATEGORICAL = {"maxIter": 1000, "maxDepth": 6, "stepSize": 0.05, "seed": 42}
 STACKED_BOOSTED = {"maxIter": 500, "maxDepth": 5, "stepSize": 0.05, "minInstancesPerNode": 20, "seed": 42}
 STACKED_CATEGORICAL = {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "seed": 42}
 POSITIVE_WEIGHT = 3.0
 
+# Rounds without gain on the holdout after which boosting stops.
+PATIENCE, STACKED_PATIENCE, CATEGORICAL_PATIENCE = 100, 50, 50
+
+# Rounds fitted before the holdout is looked at for the first time; doubled until patience runs out.
+FIRST_ROUNDS = 64
+
 
 def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in NOT_FEATURES]
@@ -134,31 +140,63 @@ def fit_logistic(train: DataFrame, max_iter: int = 1000) -> Scorer:
     return Scorer(model, features, medians=medians, scaler=scaler, **encoding)
 
 
-def _with_holdout(train: DataFrame, holdout: DataFrame) -> DataFrame:
+def _with_holdout(train: DataFrame, holdout: DataFrame | None) -> DataFrame:
+    if holdout is None:
+        return train.withColumn("is_holdout", F.lit(False))
     shared = [c for c in train.columns if c in holdout.columns and c != "is_holdout"]
     return (train.select(*shared, F.lit(False).alias("is_holdout"))
             .unionByName(holdout.select(*shared, F.lit(True).alias("is_holdout"))))
 
 
-def _boosting(params: dict, **columns: str) -> GBTClassifier:
-    return GBTClassifier(labelCol=LABEL, featuresCol="features", validationIndicatorCol="is_holdout",
-                         weightCol="weight", checkpointInterval=10, **columns, **params)
-
-
-def fit_boosted(train: DataFrame, holdout: DataFrame, params: dict = BOOSTED, positive_weight: float = 1.0) -> Scorer:
-    """Boosted trees on encoded features; stops when the holdout no longer improves."""
+def _boosting(params: dict, rows: int) -> GBTClassifier:
+    """The learner; ``minSplitGain`` is a total over the rows of a node's tree, spark.ml's ``minInfoGain`` a mean."""
+    params = dict(params)
+    if "minSplitGain" in params:
+        params["minInfoGain"] = params.pop("minSplitGain") / max(rows, 1)
+    return GBTClassifier(labelCol=LABEL, featuresCol="features", weightCol="weight", checkpointInterval=10, **params)
+
+
+def _boosted(rows: DataFrame, params: dict, patience: int) -> GBTClassificationModel:
+    """Boost on the rows outside the holdout and keep the round with the least loss on it.
+
+    Rounds are added until ``patience`` of them brought no gain. Fits with the
+    same seed share their first trees, so the kept model is the one that was
+    judged. Without holdout rows all ``maxIter`` rounds are kept.
+    """
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    seen, held = rows.where("NOT is_holdout"), rows.where("is_holdout")
+    n, most = seen.count(), params.get("maxIter", 20)
+    rounds = most if held.isEmpty() else min(most, FIRST_ROUNDS)
+    while True:
+        model = _boosting(params | {"maxIter": rounds}, n).fit(seen)
+        if held.isEmpty():
+            break
+        losses = model.evaluateEachIteration(held)
+        best = losses.index(min(losses)) + 1
+        if rounds == most or rounds - best >= patience:
+            if best < rounds:
+                model = _boosting(params | {"maxIter": best}, n).fit(seen)
+            break
+        rounds = min(most, 2 * rounds)
+    rows.unpersist()
+    return model
+
+
+def fit_boosted(train: DataFrame, holdout: DataFrame | None, params: dict = BOOSTED, positive_weight: float = 1.0,
+                patience: int = PATIENCE) -> Scorer:
+    """Boosted trees on encoded features; stops when the holdout has not improved for ``patience`` rounds."""
     enable_checkpoints(train.sparkSession)
     features = _encoded_features(train)
     encoding = _encoding(train)
     unfitted = Scorer(None, features, **encoding)
     rows = unfitted.prepare(with_class_weight(_with_holdout(train, holdout), positive_weight))
     assembler = VectorAssembler(inputCols=features, outputCol="features")
-    model = Pipeline(stages=[assembler, _boosting(params)]).fit(rows.select(LABEL, "weight", "is_holdout", *features))
-    return Scorer(model, features, **encoding)
+    vectors = assembler.transform(rows.select(LABEL, "weight", "is_holdout", *features)).drop(*features)
+    return Scorer(PipelineModel([assembler, _boosted(vectors, params, patience)]), features, **encoding)
 
 
-def fit_categorical(train: DataFrame, holdout: DataFrame, params: dict = CATEGORICAL,
-                    positive_weight: float = POSITIVE_WEIGHT) -> Scorer:
+def fit_categorical(train: DataFrame, holdout: DataFrame | None, params: dict = CATEGORICAL,
+                    positive_weight: float = POSITIVE_WEIGHT, patience: int = CATEGORICAL_PATIENCE) -> Scorer:
     """Boosted trees that split on the categories themselves; positives weigh more."""
     enable_checkpoints(train.sparkSession)
     features = feature_columns(train)
@@ -172,6 +210,6 @@ def fit_categorical(train: DataFrame, holdout: DataFrame, params: dict = CATEGOR
     largest = max([len(labels) + 1 for labels in indexer.labelsArray], default=2)
     settings = params | {"maxBins": max(params.get("maxBins", 32), largest)}
     assembler = VectorAssembler(inputCols=numbers + indexed, outputCol="features")
-    model = Pipeline(stages=[indexer, assembler, _boosting(settings)]).fit(
-        rows.select(LABEL, "weight", "is_holdout", *features))
-    return Scorer(model, numbers, categories=categories)
+    vectors = assembler.transform(indexer.transform(rows.select(LABEL, "weight", "is_holdout", *features)))
+    vectors = vectors.select(LABEL, "weight", "is_holdout", "features")
+    return Scorer(PipelineModel([indexer, assembler, _boosted(vectors, settings, patience)]), numbers, categories=categories)

@@ -139,7 +139,8 @@ def density_histogram(df: DataFrame, col: str, label: str = "target", bins: int
     """Equal-width histogram per class on the class's own range, as a density.
 
     Rows with a NULL in any of ``complete`` are left out; the last bin includes
-    the maximum; a constant class gets a range of one around its value.
+    the maximum; a constant class gets a range of one around its value; empty
+    bins have density 0.
     """
     rows = df.select(label, F.col(col).cast("double").alias("x"), *[c for c in complete or [] if c not in (col, label)])
     rows = rows.na.drop("any").select(label, "x")
@@ -152,7 +153,9 @@ def density_histogram(df: DataFrame, col: str, label: str = "target", bins: int
     counts = placed.selectExpr(label, "low", "width", "n", "x", f"{guess} AS g").selectExpr(
         label, "low", "width", "n",
         f"g - int(x < low + g * width) + int(g < {bins - 1} AND x >= low + (g + 1) * width) AS bin")
-    grouped = counts.groupBy(label, "bin", "low", "width", "n").agg(F.count("*").alias("n_rows"))
+    filled = counts.groupBy(F.col(label).alias("__label"), F.col("bin").alias("__bin")).agg(F.count("*").alias("n_rows"))
+    every = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    grouped = every.join(filled, F.expr(f"{label} <=> __label AND bin = __bin"), "left").na.fill(0, ["n_rows"])
     return grouped.selectExpr(label, "bin", "low + bin * width AS bin_start", "n_rows", "n_rows / (n * width) AS density")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import duck_round
 from .application import age_group, financial_ratios, score_features
+from .encoders import AGE_GROUPS
 
 REQUIRED = ("income_amount", "credit_amount", "annuity_amount", "age_years")
 
@@ -114,9 +115,15 @@ def score_decision(scored: DataFrame, threshold: float, score: str = "score") ->
 def score_requests(requests: DataFrame, model: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
     """Answer requests: ``model`` adds ``score`` to rows with defaults and derived features filled.
 
-    Requests with a missing required field keep their ``error`` and get no score.
+    Requests with a missing required field or an unknown age group get an
+    ``error`` and no score; valid ones in the same batch are answered.
     """
     prepared = score_backfill(score_defaults(requests))
+    group = F.col("age_group")
+    odd = F.when(group.isNull(), "missing: age_group").when(~group.isin(*AGE_GROUPS), F.concat(F.lit("unknown age_group: "), group))
+    prepared = prepared.withColumn("error", F.coalesce("error", odd))
+    # The model sees a neutral group on rows that are answered with an error.
+    prepared = prepared.withColumn("age_group", F.when(F.col("error").isNull(), group).otherwise(F.lit(AGE_GROUPS[1])))
     scored = model(prepared).withColumn("score", F.when(F.col("error").isNull(), F.col("score")))
     return score_decision(scored, threshold).select(
         "request_id", "default_probability", "threshold", "decision", "risk_level", "error")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -31,7 +34,10 @@ def local_session(cores: str = "*", name: str = "creditloom", **extra: str) -> S
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="creditloom-")
+    """One folder for a process whose session is local and names none; removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="creditloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # one machine only
         return _local_folder()
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 

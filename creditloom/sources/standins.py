@@ -95,7 +95,7 @@ STANDINS: dict[str, tuple[Origin, dict[str, str]]] = {
         "AMT_REQ_CREDIT_BUREAU_QRT": "1e0 * (c_custkey % 6)",
         "AMT_REQ_CREDIT_BUREAU_YEAR": "1e0 * (c_custkey % 9)",
     }),
-    "bureau": (Origin("orders", where="o_custkey % 10 <> 9"), {
+    "bureau": (Origin("orders"), {
         "SK_ID_CURR": "o_custkey",
         "SK_ID_BUREAU": "o_orderkey",
         "CREDIT_ACTIVE": "CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Active' ELSE 'Sold' END",

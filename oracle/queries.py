@@ -64,8 +64,7 @@ for _col in catalog.encoders.TARGET_ENCODED:
     PARTS[f"encoded_{_col}"] = _encoded(_col)
 PARTS["contributions"] = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(avg(ifnull(abs(({c} - m) * {w!r}), 0)), 9) AS mean_abs_contribution "
-    f"FROM (SELECT {c}, (SELECT avg({c}) FROM app_features) AS m FROM app_features "
-    f"ORDER BY md5('42|' || loan_id), loan_id LIMIT 2000)"
+    f"FROM (SELECT {c}, (SELECT avg({c}) FROM app_features) AS m FROM app_features)"
     for c, w in catalog.COEFFICIENTS.items())
 
 # Sweep on validation rows, then all sections on test rows at the best threshold.
@@ -239,9 +238,9 @@ FINAL: dict[str, str] = {
           r AS (SELECT TARGET, min(x) AS lo, (max(x) - min(x)) / 50 AS w, count(*) AS n FROM k GROUP BY TARGET),
           bins AS (SELECT TARGET, CAST(b AS INTEGER) AS bin, lo + b * w AS edge,
                      CASE WHEN b < 49 THEN lo + (b + 1) * w END AS upper, w, n FROM r, range(50) t(b))
-        SELECT b.TARGET, b.bin, round(any_value(edge), 9) AS bin_start, count(*) AS n_rows,
-          round(count(*) / any_value(n * w), 9) AS density
-        FROM bins b JOIN k ON k.TARGET = b.TARGET AND x >= edge AND (x < upper OR upper IS NULL)
+        SELECT b.TARGET, b.bin, round(any_value(edge), 9) AS bin_start, count(x) AS n_rows,
+          round(count(x) / any_value(n * w), 9) AS density
+        FROM bins b LEFT JOIN k ON k.TARGET = b.TARGET AND x >= edge AND (x < upper OR upper IS NULL)
         GROUP BY b.TARGET, b.bin)""",
     "rate_vs_average": "SELECT income_type, round(avg(target), 9) AS rate, avg(target) > 0.081 AS above_average "
                        "FROM stg_application WHERE income_type IN ('Working', 'Commercial associate', 'State servant', "

@@ -77,7 +77,7 @@ def test_search_and_refit(parts):
     assert tuning.draw_trials(3) == tuning.draw_trials(3) and len(tuning.draw_trials()) == 25
     ranked = tuning.search(train, tuning.draw_trials(1), k=2, shared=SMALL)
     assert 0.5 < ranked.first()["mean_auc"] <= 1
-    assert tuning.fit_best(train, val, ranked, SMALL).trees() >= 1
+    assert tuning.fit_best(train, ranked, SMALL).trees() == max(1, int(ranked.first()["mean_trees"] * 1.1))
 
 
 def test_permutation_finds_the_used_feature(parts):
@@ -93,3 +93,13 @@ def test_sample_is_fixed_by_the_key(learnable):
     one = importance.hash_sample(learnable, 100)
     other = importance.hash_sample(learnable.orderBy(F.desc("loan_id")).repartition(7), 100)
     assert {r["loan_id"] for r in one.collect()} == {r["loan_id"] for r in other.collect()} and one.count() == 100
+
+
+def test_boosting_waits_for_gain(parts):
+    train, val = parts
+    settings = {"maxIter": 40, "maxDepth": 3, "stepSize": 0.1, "seed": 42, "minSplitGain": 0.5}
+    many = learners.fit_boosted(train, val, settings, patience=15)
+    one = learners.fit_boosted(train, val, settings | {"maxIter": 1})
+    assert many.trees() > 10 and one.trees() == 1
+    assert quality(many, val) > quality(one, val)
+    assert learners.fit_boosted(train, None, settings | {"maxIter": 5}).trees() == 5

@@ -126,6 +126,18 @@ PARTS["requests"] = f"""
       'missing: ' || nullif(concat_ws(', ', {_missing}), '') AS error
     FROM stg_application"""
 
+PARTS["with_score"] = "SELECT * FROM scored WHERE loan_id % 13 <> 0"
+PARTS["sweep_with_score"] = PARTS["sweep"].replace("FROM scored", "FROM with_score")
+_asked = _missing.replace("income_amount IS NULL", "(income_amount IS NULL OR request_id % 11 = 0)")
+PARTS["answered"] = f"""
+    SELECT request_id, coalesce('missing: ' || nullif(concat_ws(', ', {_asked}), ''),
+             CASE WHEN request_id % 7 = 0 THEN 'unknown age_group: old' END) AS error,
+      1 / (1 + exp(-(1 - 2.5e0 * ifnull(mean_source, 0.5e0) + 0.05e0 * ifnull(pace, 0e0)
+        - 0.4e0 * CASE age_group WHEN 'young' THEN 0 WHEN 'adult' THEN 1 ELSE 2 END))) AS score
+    FROM (SELECT *, round(credit_amount / nullif(annuity_amount, 0), 4) AS pace,
+            round((ifnull(ext_source_1, 0) + ext_source_2 + ifnull(ext_source_3, 0))
+              / list_count([ext_source_1, ext_source_2, ext_source_3]), 4) AS mean_source FROM requests)"""
+
 CORR = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, abs(corr({c}, TARGET)) AS raw, avg(CAST({c} IS NULL AS INTEGER)) AS missing_rate "
     f"FROM raw_application_train" for c in NUMERIC if c != "TARGET")
@@ -247,6 +259,14 @@ FINAL: dict[str, str] = {
                        "'Pensioner') GROUP BY income_type",
     "dictionary_search": "SELECT * FROM part WHERE p_type = 'ECONOMY' AND regexp_matches(lower(p_name), 'ring|bolt') "
                          "AND p_brand IN ('Brand#2', 'Brand#4', 'Brand#17')",
+    "score_requests": """
+        SELECT request_id, CASE WHEN error IS NULL THEN round(score, 4) END AS default_probability, 0.3e0 AS threshold,
+          CASE WHEN error IS NULL THEN CAST(score >= 0.3 AS INTEGER) END AS decision,
+          CASE WHEN error IS NULL THEN CASE WHEN score >= 0.5 THEN 'high' WHEN score >= 0.3 THEN 'medium' ELSE 'low' END END
+            AS risk_level, error FROM answered""",
+    "confusion_partly_scored": f"SELECT * EXCLUDE (total) FROM ({confusion('with_score', '0.3')})",
+    "sweep_partly_scored": _rounded("sweep_with_score", MEASURES),
+    "auc_partly_scored": f"SELECT n_rows, round(auc, 12) AS auc FROM ({AUC_OF.format(rows='with_score')})",
     "score_defaults": "SELECT * FROM requests",
     "score_backfill": """
         SELECT * REPLACE (

@@ -88,3 +88,11 @@ def test_gap_names_the_higher_group(rows):
                   "gender_clean string, selection_rate double, false_positive_rate double, false_negative_rate double")
     got = {r["metric"]: r["higher_group"] for r in ev.fairness_gap(groups).collect()}
     assert got == {"selection_rate": "M", "false_positive_rate": None, "false_negative_rate": "F"}
+
+
+def test_rows_without_a_score_count_nowhere(rows):
+    scored = rows([(1, .9), (1, .6), (0, .4), (0, .2), (0, None), (None, .5)], SCORED)
+    complete = scored.na.drop()
+    for metric in (ev.auc, ev.roc_curve, ev.pr_curve, ev.threshold_sweep, ev.prevalence,
+                   lambda df: ev.confusion_metrics(df, 0.5), lambda df: ev.class_report(df, 0.5)):
+        assert sorted(map(str, metric(scored).collect())) == sorted(map(str, metric(complete).collect()))

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from creditloom.operators import scoring
+from creditloom.operators import encoders, scoring
 from creditloom.operators.application import application_features
 from creditloom.streaming.scoring_stream import start_scoring
 
@@ -65,3 +65,15 @@ def test_stream_scores_each_request_once(spark, tmp_path):
     got = {r["request_id"]: (r["decision"], r["risk_level"], r["error"]) for r in spark.read.parquet(out).collect()}
     assert got == {1: (1, "high", None), 3: (0, "low", None),
                    2: (None, None, "missing: income_amount, credit_amount, annuity_amount")}
+
+
+def test_bad_requests_do_not_stop_good_ones(spark):
+    """The model's encoder fails the job on an age group it does not know; such requests never reach it."""
+    def model(df):
+        return fixed_model(encoders.ordinal_encode(df))
+
+    asked = requests(spark, COMPLETE, COMPLETE | {"age_group": "old"}, {k: v for k, v in COMPLETE.items() if k != "age_years"})
+    good, odd, missing = scoring.score_requests(asked, model, 0.3).collect()
+    assert good["error"] is None and good["decision"] == 1
+    assert odd["error"] == "unknown age_group: old" and missing["error"] == "missing: age_years"
+    assert odd["default_probability"] is None and missing["decision"] is None

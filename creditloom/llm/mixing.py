@@ -154,22 +154,21 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", keep: tuple
         [(j, s, int(blocks[i]), int(drawn[j, i]), int(first[j, i]), int(inside[j, i]), int(drawn[j].sum()))
          for j in range(len(drawn)) for i, s in enumerate(names) if drawn[j, i]],
         "shard long, source string, blocks long, n long, first long, inside long, slots long")
-    numbered = draws.repartition("shard", "source").withColumn("o", F.explode(F.expr("sequence(0L, n - 1)")))
-
-    @F.pandas_udf("long")
-    def place(index: pd.Series, size: pd.Series, name: pd.Series) -> pd.Series:
-        keys = pd.util.hash_array(name.to_numpy(object), categorize=True)
-        return pd.Series(permuted(index.to_numpy(), size.to_numpy(), keys))
-
-    drawn_slots = numbered.select(
-        "shard", "source", F.expr("(first + o) div blocks").alias("pass"), "o", "first", "inside", "slots", "blocks")
-    drawn_slots = drawn_slots.select(
-        "shard", "source", "pass",
-        place((F.col("first") + F.col("o")) % F.col("blocks"), "blocks",
-              F.concat_ws("|", F.lit(str(seed)), F.coalesce("source", F.lit("")), F.col("source").isNull().cast("string"),
-                          F.col("pass").cast("string"))).alias("block"),
-        place(F.col("inside") + F.col("o"), "slots", F.concat_ws("|", F.lit(f"slot{seed}"), F.col("shard").cast(
-            "string"))).alias("slot"))
+    numbered = draws.repartition(shards).withColumn("o", F.explode(F.expr("sequence(0L, n - 1)")))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            k = rows["first"] + rows["o"]
+            turn = k // rows["blocks"]
+            names = rows["source"].map(lambda s: "null" if s is None else f"'{s}'")
+            stream = pd.util.hash_array((names + f"|{seed}|" + turn.astype(str)).to_numpy(object))
+            shard = pd.util.hash_array((f"slot|{seed}|" + rows["shard"].astype(str)).to_numpy(object))
+            yield pd.DataFrame({
+                "shard": rows["shard"], "source": rows["source"], "pass": turn,
+                "block": permuted((k % rows["blocks"]).to_numpy(), rows["blocks"].to_numpy(), stream),
+                "slot": permuted((rows["inside"] + rows["o"]).to_numpy(), rows["slots"].to_numpy(), shard)})
+
+    drawn_slots = numbered.mapInPandas(place, "shard long, source string, pass long, block long, slot long")
 
     before = "PARTITION BY source ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     shifts = per_task.select("part", "source", F.expr(f"coalesce(sum(n) OVER ({before}), 0)").alias("shift"))
@@ -180,7 +179,8 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", keep: tuple
         F.col("source").alias("__s"), F.col("block").alias("__b"), "row",
         F.expr(f"greatest(block * {b} - start, 0)").alias("from_word"),
         F.expr(f"least((block + 1) * {b} - start, size)").alias("to_word"))
-    filled = drawn_slots.join(pieces, F.expr("block = __b AND source <=> __s")).select(
+    # Both sides grow with the corpus, whatever their estimates before the expansion say: never broadcast.
+    filled = drawn_slots.hint("merge").join(pieces, F.expr("block = __b AND source <=> __s")).select(
         "shard", "slot", "source", "pass", "block", "row", "from_word", "to_word")
     return known.select(*keep, "row", "source", "size", "source_size", "target"), filled
 

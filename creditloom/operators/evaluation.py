@@ -45,9 +45,11 @@ def auc(scored: DataFrame, by: list[str] = (), min_rows: int = 0) -> DataFrame:
     Pairs are won inside score cells first, then between cells, over one row per
     cell. They are counted in decimals: exact up to the last division.
     """
-    by = list(by)
-    counts = with_cells(_score_counts(scored, by), "score",
-                        quantile_edges(scored, "score", default_cells(scored)))
+    return _auc_of_counts(_score_counts(scored, list(by)), list(by), min_rows)
+
+
+def _auc_of_counts(counts: DataFrame, by: list[str], min_rows: int) -> DataFrame:
+    counts = with_cells(counts, "score", quantile_edges(counts, "score", default_cells(counts)))
     inside = W.partitionBy(*by, "cell").orderBy("score").rowsBetween(W.unboundedPreceding, 0)
     before = W.partitionBy(*by).orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     won = "sum(CAST({pos} AS DECIMAL(18, 0)) * CAST({beaten} AS DECIMAL(19, 0)))"
@@ -66,10 +68,11 @@ def auc(scored: DataFrame, by: list[str] = (), min_rows: int = 0) -> DataFrame:
 def auc_by_group(scored: DataFrame, group: str = "gender_clean", groups: tuple[str, ...] = GROUPS,
                  min_rows: int = MIN_GROUP_ROWS) -> DataFrame:
     """AUC of every audited group with enough rows, and of the audited rows together (``all``)."""
-    audited = scored.where(F.col(group).isin(*groups))
+    counts = _score_counts(scored.where(F.col(group).isin(*groups)), [group])
     once = F.explode(F.array(F.col(group), F.lit("all"))).alias(group)
-    both = audited.select("score", "target", once)
-    return auc(both, [group], min_rows)
+    both = counts.select("score", "pos", "neg", once).groupBy(group, "score").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return _auc_of_counts(both, [group], min_rows)
 
 
 def roc_curve(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:

@@ -147,8 +147,15 @@ def _target_encode(t: Tables) -> DataFrame:
     return settled(encoded, dict.fromkeys(encoders.TARGET_ENCODED, 9))
 
 
-IMPUTED = ["annuity_amount", "ext_source_1", "ext_source_3", "own_car_age", "cnt_fam_members", "days_employed"]
-SCALED = ["income_amount", "credit_amount", "days_birth", "region_rating", "has_mobile"]
+# Every number of the staged application.
+NUMBERS = [
+    "income_amount", "credit_amount", "annuity_amount", "goods_price", "age_years", "days_birth", "days_employed",
+    "region_rating", "days_id_publish", "days_registration", "reg_city_not_work_city", "flag_document_3", "has_mobile",
+    "has_email", "ext_source_1", "ext_source_2", "ext_source_3", "cnt_children", "cnt_fam_members", "own_car_age",
+    "days_last_phone_change", "obs_30_social_circle", "def_30_social_circle", "obs_60_social_circle", "def_60_social_circle",
+    "req_bureau_hour", "req_bureau_day", "req_bureau_week", "req_bureau_mon", "req_bureau_qrt", "req_bureau_year",
+]
+IMPUTED = SCALED = NUMBERS
 
 
 def _impute_median(t: Tables) -> DataFrame:

@@ -131,6 +131,10 @@ STANDINS: dict[str, tuple[Origin, dict[str, str]]] = {
         "DAYS_DECISION": "{days(o_orderdate)}",
         "CNT_PAYMENT": "1e0 * (o_orderkey % 60)",
         "DAYS_FIRST_DRAWING": "CASE WHEN o_orderkey % 4 = 0 THEN 365243e0 ELSE -1e0 * (o_orderkey % 2900) END",
+        "DAYS_FIRST_DUE": "CASE WHEN o_orderkey % 5 = 0 THEN 365243e0 ELSE -1e0 * (o_orderkey % 2801) END",
+        "DAYS_LAST_DUE_1ST_VERSION": "CASE WHEN o_orderkey % 6 = 0 THEN 365243e0 ELSE -1e0 * (o_orderkey % 2702) END",
+        "DAYS_LAST_DUE": "CASE WHEN o_orderkey % 7 = 0 THEN 365243e0 ELSE -1e0 * (o_orderkey % 2603) END",
+        "DAYS_TERMINATION": "CASE WHEN o_orderkey % 8 = 0 THEN 365243e0 ELSE -1e0 * (o_orderkey % 2504) END",
     }),
     "installments_payments": (Origin("lineitem", join=("orders", "l_orderkey = o_orderkey")), {
         "SK_ID_PREV": "l_orderkey",
@@ -167,6 +171,22 @@ STANDINS: dict[str, tuple[Origin, dict[str, str]]] = {
 }
 
 
+def _varied(table: str, key: str) -> dict[str, str]:
+    """Different values, some of them NULL, for every raw column that the table above leaves out."""
+    made = {}
+    for i, field in enumerate(RAW_TABLES[table].fields):
+        if field.name not in STANDINS[table][1]:
+            value = {"string": f"concat('{field.name.lower()}_', CAST({key} % {i + 2} AS STRING))",
+                     "double": f"1e0 * (({key} * {i + 3}) % {97 + i})"}.get(
+                         field.dataType.simpleString(), f"({key} * {i + 3}) % {89 + i}")
+            made[field.name] = f"CASE WHEN {key} % {11 + i} = 0 THEN NULL ELSE {value} END"
+    return made
+
+
+for _table, _key in (("previous_application", "o_orderkey"), ("credit_card_balance", "event_id")):
+    STANDINS[_table][1].update(_varied(_table, _key))
+
+
 def _projection(table: str, days: Callable[[str], str]) -> list[str]:
     _, columns = STANDINS[table]
     items = []

@@ -46,12 +46,12 @@ class Settings:
     """``sample`` bounds the rows per label that centroids are fitted on, ``audit`` the points whose recall is measured."""
 
     threshold: float = 0.98
-    degree: int = 24
-    candidates: int = 64
+    degree: int = 16
+    candidates: int = 48
     alpha: float = 1.2
     beam: int = 32
-    shard_points: int = 1500
-    block_points: int = 3000
+    shard_points: int = 8000
+    block_points: int = 12_000
     most_centroids: int = 512
     sample: int = 20_000
     audit: int = 500
@@ -198,6 +198,7 @@ def search(x: np.ndarray, lists: np.ndarray, vectors: np.ndarray, own: np.ndarra
     """
     n, q = len(x), len(vectors)
     medoid = int((x @ x.mean(0)).argmax())
+    rough_x, rough_vectors = x.astype(np.float32), vectors.astype(np.float32)
     score = np.full((q, n), -np.inf, np.float32)
     expanded = np.zeros((q, n), bool)
     score[:, medoid] = vectors @ x[medoid]
@@ -217,7 +218,7 @@ def search(x: np.ndarray, lists: np.ndarray, vectors: np.ndarray, own: np.ndarra
         r, p = r[fresh], p[fresh]
         for part in range(0, len(r), 50_000):
             i, j = r[part:part + 50_000], p[part:part + 50_000]
-            score[i, j] = np.einsum("ij,ij->i", vectors[i], x[j])
+            score[i, j] = np.einsum("ij,ij->i", rough_vectors[i], rough_x[j])
 
     rows = np.arange(q)
     for _ in range(min(settings.beam, n)):

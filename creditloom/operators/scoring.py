@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import duck_round
-from .application import age_group, financial_ratios, score_features
+from .application import age_group, financial_ratios, personal_features, score_features
 from .encoders import AGE_GROUPS
 
 REQUIRED = ("income_amount", "credit_amount", "annuity_amount", "age_years")
@@ -54,6 +54,16 @@ BACKFILLED = (
 ).split()
 
 
+# Features that follow from fields of a request, once those are given, and the fields they need: all, or for sums any.
+FOLLOWING = {
+    "is_working": ("income_type",), "is_pensioner": ("income_type",), "is_unemployed": ("income_type",),
+    "is_employed": ("days_employed",), "years_employed": ("days_employed",), "ext_source_1_available": ("ext_source_1",),
+    "def_30_social_ratio": ("def_30_social_circle", "obs_30_social_circle"),
+    "def_60_social_ratio": ("def_60_social_circle", "obs_60_social_circle"),
+    "req_bureau_recent": ("req_bureau_day", "req_bureau_week", "req_bureau_mon"),
+}
+
+
 def _field_type(name: str) -> T.DataType:
     default = DEFAULTS[name]
     if name in _TEXTS:
@@ -76,11 +86,17 @@ def as_requests(df: DataFrame, request_id: str) -> DataFrame:
 def score_defaults(requests: DataFrame) -> DataFrame:
     """Fill omitted fields; ``error`` names the missing required ones, NULL on valid requests.
 
-    An omitted age group follows from the age.
+    Omitted features follow from the given fields they depend on, with the
+    definitions of the mart; so does the age group from the age.
     """
     missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED])
     filled: dict[str, Column] = {
         c: F.coalesce(c, F.lit(d)) for c, d in DEFAULTS.items() if d is not None}
+    definitions = personal_features() | score_features()
+    for name, inputs in FOLLOWING.items():
+        given = (" OR " if name == "req_bureau_recent" else " AND ").join(f"{i} IS NOT NULL" for i in inputs)
+        follows = F.expr(f"CASE WHEN {given} THEN {definitions[name]} END").cast(_field_type(name))
+        filled[name] = F.coalesce(name, follows, F.lit(DEFAULTS[name]).cast(_field_type(name)))
     filled["age_group"] = F.coalesce("age_group", F.when(F.col("age_years").isNotNull(), F.expr(age_group())))
     filled["error"] = F.when(missing != "", F.concat(F.lit("missing: "), missing))
     return requests.withColumns(filled)

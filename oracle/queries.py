@@ -108,6 +108,19 @@ def _report() -> str:
     return " UNION ALL ".join(rows)
 
 
+FOLLOWS = {
+    "is_working": "CASE WHEN income_type IS NOT NULL THEN CAST(income_type = 'Working' AS INTEGER) ELSE 0 END",
+    "is_pensioner": "CASE WHEN income_type IS NOT NULL THEN CAST(income_type = 'Pensioner' AS INTEGER) ELSE 0 END",
+    "is_unemployed": "CASE WHEN income_type IS NOT NULL THEN CAST(income_type = 'Unemployed' AS INTEGER) ELSE 0 END",
+    "is_employed": "CAST(days_employed IS NOT NULL AS INTEGER)",
+    "years_employed": "round(days_employed / -365.25, 1)",
+    "ext_source_1_available": "CAST(ext_source_1 IS NOT NULL AS INTEGER)",
+    "def_30_social_ratio": "ifnull(round(def_30_social_circle / nullif(obs_30_social_circle, 0), 4), 0.0)",
+    "def_60_social_ratio": "ifnull(round(def_60_social_circle / nullif(obs_60_social_circle, 0), 4), 0.0)",
+    "req_bureau_recent": "ifnull(req_bureau_day, 0) + ifnull(req_bureau_week, 0) + ifnull(req_bureau_mon, 0)",
+}
+
+
 def _request(name: str, required: bool = False) -> str:
     staged = set(APPLICATION_NAMES.values()) | {"gender_clean", "age_years", "days_employed", "owns_car", "owns_realty"}
     kind = REQUEST_TYPES[name].upper()
@@ -117,6 +130,8 @@ def _request(name: str, required: bool = False) -> str:
         value = f"ifnull({value}, {default!r})"
     if name == "age_group":
         value = "CASE WHEN age_years < 30 THEN 'young' WHEN age_years <= 50 THEN 'adult' WHEN age_years > 50 THEN 'senior' END"
+    if name in FOLLOWS:
+        value = f"CAST({FOLLOWS[name]} AS {kind})"
     return f"{value} AS {name}"
 
 

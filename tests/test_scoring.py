@@ -77,3 +77,13 @@ def test_bad_requests_do_not_stop_good_ones(spark):
     assert good["error"] is None and good["decision"] == 1
     assert odd["error"] == "unknown age_group: old" and missing["error"] == "missing: age_years"
     assert odd["default_probability"] is None and missing["decision"] is None
+
+
+def test_features_follow_from_given_fields(spark):
+    given = COMPLETE | {"income_type": "Pensioner", "days_employed": -3652.5, "ext_source_1": 0.2, "obs_30_social_circle": 4.0,
+                        "def_30_social_circle": 1.0, "req_bureau_week": 2.0}
+    row, bare, told = scoring.score_defaults(requests(spark, given, COMPLETE, given | {"is_employed": 0})).collect()
+    assert (row["is_working"], row["is_pensioner"], row["is_employed"], row["years_employed"]) == (0, 1, 1, 10.0)
+    assert (row["ext_source_1_available"], row["def_30_social_ratio"], row["req_bureau_recent"]) == (1, 0.25, 2.0)
+    assert (bare["is_working"], bare["is_employed"], bare["def_30_social_ratio"], bare["req_bureau_recent"]) == (0, 0, 0.0, 0.0)
+    assert told["is_employed"] == 0

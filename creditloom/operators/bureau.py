@@ -24,22 +24,35 @@ def distinct_credit_types(stg_bureau: DataFrame) -> DataFrame:
 
 
 def bureau_features(stg_bureau: DataFrame) -> DataFrame:
-    sums = aggregate(stg_bureau, ["loan_id"], {
-        "bureau_credit_count": "count(*)",
-        "bureau_active_count": "count_if(credit_active = 'Active')",
-        "bureau_closed_count": "count_if(credit_active = 'Closed')",
-        "bureau_debt_total": "sum(credit_sum_debt)",
-        "bureau_credit_avg": "avg(credit_sum)",
-        "bureau_credit_sum_total": "coalesce(sum(credit_sum), 0e0)",
-        "bureau_overdue_max": "max(credit_max_overdue)",
-        "bureau_day_overdue_max": "max(credit_day_overdue)",
-        "bureau_oldest_credit": "min(days_credit)",
-        "bureau_most_recent_credit": "max(days_credit)",
-        "debt_credit_ratio": f"coalesce({ratio('sum(credit_sum_debt)', 'sum(credit_sum)')}, 0e0)",
-        "overdue_debt_ratio": f"coalesce({ratio('sum(credit_sum_overdue)', 'sum(credit_sum_debt)')}, 0e0)",
+    """One scan: first by loan and credit type, where a hot loan is combined map-side, then by loan."""
+    by_type = aggregate(stg_bureau, ["loan_id", "credit_type"], {
+        "n": "count(*)",
+        "active": "count_if(credit_active = 'Active')",
+        "closed": "count_if(credit_active = 'Closed')",
+        "debt": "sum(credit_sum_debt)",
+        "credit": "sum(credit_sum)",
+        "n_credit": "count(credit_sum)",
+        "overdue": "sum(credit_sum_overdue)",
+        "max_overdue": "max(credit_max_overdue)",
+        "max_day_overdue": "max(credit_day_overdue)",
+        "oldest": "min(days_credit)",
+        "newest": "max(days_credit)",
+    })
+    return aggregate(by_type, ["loan_id"], {
+        "bureau_credit_count": "sum(n)",
+        "bureau_active_count": "sum(active)",
+        "bureau_closed_count": "sum(closed)",
+        "bureau_debt_total": "sum(debt)",
+        "bureau_credit_avg": ratio("sum(credit)", "sum(n_credit)"),
+        "bureau_credit_sum_total": "coalesce(sum(credit), 0e0)",
+        "bureau_overdue_max": "max(max_overdue)",
+        "bureau_day_overdue_max": "max(max_day_overdue)",
+        "bureau_oldest_credit": "min(oldest)",
+        "bureau_most_recent_credit": "max(newest)",
+        "debt_credit_ratio": f"coalesce({ratio('sum(debt)', 'sum(credit)')}, 0e0)",
+        "overdue_debt_ratio": f"coalesce({ratio('sum(overdue)', 'sum(debt)')}, 0e0)",
+        "loan_types_bureau": "count(credit_type)",
     })
-    types = F.coalesce("loan_types_bureau", F.lit(0)).alias("loan_types_bureau")
-    return sums.join(distinct_credit_types(stg_bureau), "loan_id", "left").select(*sums.columns, types)
 
 
 def balance_by_credit(stg_balance: DataFrame) -> DataFrame:

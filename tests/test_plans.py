@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from creditloom.operators import evaluation, installments, previous
+from creditloom.operators import bureau, evaluation, installments, previous
 
 
 @pytest.fixture
@@ -32,9 +32,9 @@ def test_histories_are_combined_before_the_shuffle(tables, large_tables):
     assert "Window" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
     # One exchange per history aggregate by loan, one for the applications; the
     # joins of the mart add none. Credit types and the balance level need their
-    # own keys first, and two stand-ins are joins themselves.
+    # own keys first.
     by_loan = re.findall(r"Exchange hashpartitioning\(loan_id#\d+L, \d+\)", plan)
-    assert len(by_loan) == 8
+    assert len(by_loan) == 7
 
 
 def test_only_used_columns_are_read(tables):
@@ -58,3 +58,8 @@ def test_split_does_not_shuffle_the_table(tables):
     from creditloom.operators.splits import stratified_split
     plan = plan_of(stratified_split(tables.stg("application")))
     assert "Exchange hashpartitioning" not in plan and "Sort" not in plan
+
+
+def test_bureau_is_scanned_once(tables):
+    plan = plan_of(bureau.bureau_features(tables.stg("bureau")))
+    assert plan.count("FileScan") == 1 and "Join" not in plan

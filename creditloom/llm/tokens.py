@@ -3,15 +3,18 @@
 Byte-pair merges never cross a space between two visible characters, so the ids
 of a text are the ids of its space-separated pieces in order. Each Python worker
 keeps the ids of pieces it has met, up to a bound, and gives only new pieces to
-the tokenizer, in batches. A space that touches other white space is not used
+the tokenizer: words of common letters straight to its merges, all others in batches
+through all of its steps. A space that touches other white space is not used
 as a cut: such pieces stay joined.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import string
-from collections.abc import Iterable
+from array import array
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -20,6 +23,9 @@ MAX_PIECES = 600_000
 LONGEST_PIECE = 40
 _VISIBLE = frozenset(string.ascii_letters + string.digits + string.punctuation) | {
     c for c in map(chr, range(0xC0, 0x250)) if c.isalpha()}
+# Words of these letters are one pre-token and equal to their normal form, whatever the Unicode version.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
+_PROBES = (" Then", " \u00c9t\u00e9", " fran\u00e7ais", " Gr\u00f6\u00dfe", " xq", " I")
 _workers: dict[str, Pieces] = {}
 
 
@@ -39,6 +45,22 @@ class Pieces:
         self.part = part.content
         self.parted.model._resize_cache(0)  # every piece is given once
         self.known: dict[str, bytes] = {}
+        self.spell = self._spelling()
+
+    def _spelling(self) -> Callable[[str], str] | None:
+        """How a word after a space is written for the merges alone, if one of the usual ways gives the tokenizer's ids."""
+        self.merges = self.tokenizer.model
+        self.merges._resize_cache(0)
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level vocabularies leave as they are
+        others = iter(range(256, 512))
+        letters = {b: b if b in plain else next(others) for b in range(256)}
+        ways = (lambda w: (" " + w).encode().decode("latin-1").translate(letters),
+                lambda w: w.lower().encode().decode("latin-1").translate(letters))
+        for way in ways:
+            if all([t.id for t in self.merges.tokenize(way(p[1:]))] == self.tokenizer.encode(p, add_special_tokens=False).ids
+                   for p in _PROBES):
+                return way
+        return None
 
     def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
         pieces = list(pieces)
@@ -64,6 +86,14 @@ class Pieces:
         for w in words:
             (stems if w[-1] in ".," and w[-2:-1].isalpha() else needed).append(w)
         needed += {w[:-1] for w in stems}.difference(known, needed)
+        if self.spell:
+            merged, spell, rest = self.merges.tokenize, self.spell, []
+            for w in needed:
+                if _LETTERS(w):
+                    known[w] = array("I", [t.id for t in merged(spell(w))]).tobytes()
+                else:
+                    rest.append(w)
+            needed = rest
         known.update(zip(needed, self._learn([" " + w for w in needed]).values()))
         if stems:
             marks = {m: self._learn([m])[m] for m in ".,"}

@@ -26,7 +26,7 @@ def stacked_fits(boosted: dict = learners.STACKED_BOOSTED,
                  categorical: dict = learners.STACKED_CATEGORICAL) -> tuple[Fit, Fit]:
     """The two learners of the stack, both with weighted positives."""
     weight = learners.POSITIVE_WEIGHT
-    return (lambda train, holdout: learners.fit_boosted(train, holdout, boosted, weight),
+    return (lambda train, holdout: learners.fit_boosted(train, holdout, boosted, weight, learners.STACKED_PATIENCE),
             lambda train, holdout: learners.fit_categorical(train, holdout, categorical, weight))
 
 

@@ -6,10 +6,14 @@ linked; the result is each text's set size and component. Nothing is missed:
 1. Texts of equal sets are one node, known by the hash of its set.
 2. Routing. Sizes fall into bands, so that linked nodes lie in the same or in
    neighbouring bands. For a pair of bands the symmetric difference of linked
-   sets is at most ``d``. Hashes are dealt into ``d + 3`` parts: at least three
-   parts of linked sets are equal, so the nodes share the hash of a part. (Empty
-   parts give no key, but where a node has three or more.) Nodes that share
-   a key are connected by a star, not in pairs.
+   sets is at most ``d``. Hashes are dealt into ``d + s`` parts: at least ``s``
+   parts of linked sets are equal. The key of a part is the hash of its rare
+   shingles; a part without any gives no key, but in a set with ``s`` or more
+   such parts it gives the hash of all its shingles. So linked nodes share a
+   key in any case, while a passage that many texts share connects few others.
+   (Which shingles are rare follows from counts over all texts in hashed
+   buckets; it decides the work, never the result.) Nodes that share a key are
+   connected by a star, not in pairs.
 3. The components of these stars hold all links. Their sets are dealt to tasks,
    large components in pairs of blocks, and joined there by a signature tree:
    its nodes hold the OR of the token bitmaps below them and ranges of sizes; a
@@ -46,6 +50,7 @@ from .tables import kept
 FANOUT = 16
 TASK_HASHES = 2_000_000
 SPARE_PARTS = 3
+BUCKETS = 1 << 17
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,8 +64,32 @@ def size_bands(percent: int, longest: int) -> np.ndarray:
     return np.array(tops)
 
 
-def routing_keys(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+def frequent_buckets(docs: DataFrame, words: int, text: str) -> np.ndarray:
+    """Buckets that hold clearly more shingles than an even spread would give, counted over all texts."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for a, b in slices(batch.column(0)):
+                total += np.bincount(_buckets(shingle_sets(batch.column(0).slice(a, b - a), words).hashes), minlength=BUCKETS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
+
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n"))
+    found = np.zeros(BUCKETS)
+    for r in counts.toLocalIterator():  # at most BUCKETS rows
+        found[r["bucket"]] = r["n"]
+    even = found.mean()
+    return found > even + 8 * np.sqrt(even) + 50
+
+
+def routing_keys(sets: Sets, percent: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all sets and the position of each key's set."""
+    frequent = np.zeros(BUCKETS, bool) if frequent is None else frequent
     tops = size_bands(percent, int(sets.sizes.max(initial=1)))
     band = np.searchsorted(tops, sets.sizes)
     found_keys, found_owners = [], []
@@ -69,20 +98,25 @@ def routing_keys(sets: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
         usable = (sets.sizes > 0) & (pair >= 0)
         low = np.maximum(pair, 0)
         differ = (100 - percent) * (tops[low] + tops[low + 1]) // (100 + percent)
-        parts = np.where(usable & (differ > 0), differ + SPARE_PARTS, 0)
+        spare = SPARE_PARTS + differ // 12
+        parts = np.where(usable & (differ > 0), differ + spare, 0)
         base = np.cumsum(parts) - parts
         mine = parts[sets.owner] > 0
         owner, scrambled = sets.owner[mine], mixed(sets.hashes[mine], 11)
+        rare = ~frequent[_buckets(sets.hashes[mine])]
         place = base[owner] + (scrambled >> np.uint64(20)).astype(np.int64) % parts[owner]
-        total = np.zeros(int(parts.sum()), np.uint64)
-        np.add.at(total, place, mixed(scrambled, 13))
-        count = np.bincount(place, minlength=len(total))
+        content = mixed(scrambled, 13)
+        whole, chosen = np.zeros(int(parts.sum()), np.uint64), np.zeros(int(parts.sum()), np.uint64)
+        np.add.at(whole, place, content)
+        np.add.at(chosen, place[rare], content[rare])
+        has_rare = np.bincount(place[rare], minlength=len(whole)) > 0
         holder = np.repeat(np.arange(len(parts)), parts)
-        number = np.arange(len(total)) - base[holder]
-        empties = np.bincount(holder[count == 0], minlength=len(parts))
-        sent = (count > 0) | (empties[holder] >= SPARE_PARTS)
+        number = np.arange(len(whole)) - base[holder]
+        without = np.bincount(holder[~has_rare], minlength=len(parts))
+        sent = has_rare | (without >= spare)[holder]
         salt = (pair[holder].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64)
-        found_keys.append(mixed(total + mixed(salt, 17) + count.astype(np.uint64), 19)[sent])
+        keys = mixed(np.where(has_rare, chosen, whole) + mixed(salt, 17) + has_rare.astype(np.uint64), 19)
+        found_keys.append(keys[sent])
         found_owners.append(holder[sent])
     return np.concatenate(found_keys), np.concatenate(found_owners)
 
@@ -108,6 +142,8 @@ def set_table(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
 
 def candidate_edges(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
     """``a, b``: stars over the nodes that share a routing key."""
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_buckets(docs, words, text))  # one flag per bucket
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_keys, held_nodes, size = [], [], 0
 
@@ -131,7 +167,8 @@ def candidate_edges(docs: DataFrame, words: int, percent: int, text: str) -> Dat
                 chosen = np.zeros(len(nodes), bool)
                 chosen[_first_of_each(nodes)] = True
                 mine = chosen[sets.owner]
-                keys, owners = routing_keys(Sets(sets.hashes[mine], sets.owner[mine], np.where(chosen, sets.sizes, 0)), percent)
+                keys, owners = routing_keys(Sets(sets.hashes[mine], sets.owner[mine], np.where(chosen, sets.sizes, 0)), percent,
+                                            frequent.value)
                 held_keys.append(keys)
                 held_nodes.append(nodes[owners])
                 size += len(keys)

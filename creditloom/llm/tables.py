@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from creditloom.session import scratch_path
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -14,9 +17,15 @@ def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def kept(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The same rows, written to the shared folder: computed once, and safe from lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")  # the table replaces them, so their disk is free again once it is written
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:

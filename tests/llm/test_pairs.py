@@ -81,6 +81,24 @@ def test_large_components_are_joined_in_blocks(spark, monkeypatch):
     assert [r["component_id"] for r in found] == wanted
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_key_whatever_is_frequent(percent):
+    rng = np.random.default_rng(percent)
+    for share in (0.0, 0.5, 1.0):
+        frequent = rng.random(signature_tree.BUCKETS) < share
+        for n in (12, 40, 300, 900):
+            one = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            lost = int(n * (100 - percent) / (100 + percent))
+            other = np.unique(np.concatenate([one[lost:], rng.integers(0, 1 << 63, lost).astype(np.uint64)]))
+            both = len(np.intersect1d(one, other))
+            if 100 * both < percent * (len(one) + len(other) - both):
+                continue
+            hashes = np.concatenate([one, other])
+            sets = shingles.Sets(hashes, np.repeat([0, 1], [len(one), len(other)]), np.array([len(one), len(other)]))
+            keys, owners = signature_tree.routing_keys(sets, percent, frequent)
+            assert set(keys[owners == 0]) & set(keys[owners == 1])
+
+
 def test_no_documents_no_components(nothing):
     assert signature_tree.jaccard_components(nothing).count() == 0
     assert signature_tree.representatives(nothing).count() == 0

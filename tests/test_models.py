@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from creditloom.operators import importance, learners, stacking, tuning
 from creditloom.operators.evaluation import auc
+from creditloom.plans import catalog
 
 SMALL = {"maxIter": 2, "maxDepth": 2, "seed": 1}
 
@@ -103,3 +104,19 @@ def test_boosting_waits_for_gain(parts):
     assert many.trees() > 10 and one.trees() == 1
     assert quality(many, val) > quality(one, val)
     assert learners.fit_boosted(train, None, settings | {"maxIter": 5}).trees() == 5
+
+
+def test_registered_stack_and_search_run_the_published_settings(monkeypatch):
+    seen = []
+    monkeypatch.setattr(learners, "fit_boosted", lambda train, holdout, *a: seen.append(a))
+    monkeypatch.setattr(learners, "fit_categorical", lambda train, holdout, *a: seen.append(a))
+    for fit in catalog.FITS:
+        fit(None, None)
+    assert seen == [(learners.STACKED_BOOSTED, learners.POSITIVE_WEIGHT, learners.STACKED_PATIENCE),
+                    (learners.STACKED_CATEGORICAL, learners.POSITIVE_WEIGHT)]
+    monkeypatch.setattr(tuning, "stratified_folds", lambda train, k: seen.append(k))
+    monkeypatch.setattr(tuning, "cross_validate", lambda folded, params, k: seen.append(params) or (_ for _ in ()).throw(StopIteration))
+    table = type("Table", (), {"part_of_mart": lambda self, split: split})()
+    with pytest.raises(StopIteration):
+        catalog._tune_cv(table)
+    assert seen[2:] == [tuning.FOLDS, tuning.SHARED | tuning.draw_trials()[0]]

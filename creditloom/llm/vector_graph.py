@@ -9,14 +9,19 @@ cosine of at least ``threshold``.
    is no farther than the linking distance. So whatever links with a point lies
    in the point's home shard, and links are counted there, without emitting pairs.
 3. In every shard, or block of a large one, each point's candidates are pruned
-   robustly (a candidate goes when a kept one is closer to it by ``alpha``). The
-   adjacency lists of a point from all its shards are united and pruned again.
-4. The points of a shard are searched for on the united graph: greedily from the
-   medoid with a beam, then expanding around every point found within range
-   until no more come into range. Found links are verified in double precision
-   and counted; a spanning forest of them connects components.
+   robustly (a candidate goes when a kept one is closer to it by ``alpha``), and
+   ``long_edges`` slots besides hold random points of the block. The adjacency
+   lists of a point from all its shards are united, and pruned again where they
+   are searched.
+4. The points of a shard are searched for on the united graph: greedily with a
+   beam, from the query's own point, the medoid and points far from each other,
+   then expanding around every point found within range until no more come into
+   range. Found links are verified in double precision and counted; a spanning
+   forest of them connects components.
 5. An audit compares found with true links of a bounded query set against all
-   points; below ``least_recall`` the search is repeated with a wider beam.
+   points; below ``least_recall`` the search is repeated with a wider beam. If
+   the last round is still below it, all shards are searched exactly, block
+   against block: a point's links lie in its home shard, so none is lost.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and those with a null label, link with nothing and are their own
@@ -47,6 +52,8 @@ class Settings:
 
     threshold: float = 0.98
     degree: int = 16
+    long_edges: int = 8
+    starts: int = 64
     candidates: int = 48
     alpha: float = 1.2
     beam: int = 32
@@ -148,60 +155,82 @@ def sharded(points: DataFrame, centroids: DataFrame, settings: Settings) -> Data
     return joined.mapInPandas(assign, "point long, label string, unit binary, n long, shard int, home boolean")
 
 
-def build_lists(x: np.ndarray, settings: Settings) -> np.ndarray:
-    """Robust-pruned neighbours of every point of a block, -1 where there are fewer."""
+def build_lists(x: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Robust-pruned neighbours of every point of a block, -1 where there are fewer, and its long edges."""
     n = len(x)
     width = min(settings.candidates, n - 1)
     if width < 1:
-        return np.full((n, 1), -1)
+        return np.full((n, 1), -1), np.full((n, 1), -1)
     out = []
-    rng = np.random.default_rng(n)
     for lo in range(0, n, 256):
         s = x[lo:lo + 256] @ x.T
         s[np.arange(len(s)), np.arange(lo, lo + len(s))] = -np.inf
         near = np.argpartition(-s, width - 1, 1)[:, :width]
-        far = rng.integers(0, n, (len(s), min(8, n)))  # long edges keep the graph in one piece
-        both = np.concatenate([near, far], 1)
-        both[both == np.arange(lo, lo + len(s))[:, None]] = -1
-        view = np.concatenate([x[lo:lo + len(s)], x])  # rows first, then all points
-        shifted = np.where(both >= 0, both + len(s), -1)
-        out.append(_prune_rows(shifted, view, len(s), settings))
-    return np.concatenate(out)
+        out.append(pruned_lists(x, near, np.arange(lo, lo + len(s)), settings.degree, settings.alpha))
+    far = np.random.default_rng(n).integers(0, n, (n, settings.long_edges))  # never pruned: they keep the graph in one piece
+    return np.concatenate(out), np.where(far == np.arange(n)[:, None], -1, far)
 
 
-def _prune_rows(near: np.ndarray, view: np.ndarray, rows: int, settings: Settings) -> np.ndarray:
+def pruned_lists(x: np.ndarray, near: np.ndarray, rows: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+    """At most ``degree`` of the candidates ``near`` of the points ``rows``."""
+    view = np.concatenate([x[rows], x])  # rows first, then all points
+    return _prune_rows(np.where(near >= 0, near + len(rows), -1), view, len(rows), degree, alpha)
+
+
+def _prune_rows(near: np.ndarray, view: np.ndarray, rows: int, degree: int, alpha: float) -> np.ndarray:
     """Robust pruning, all rows side by side: the nearest open candidate is kept and closes those it is closer to."""
     there = near >= 0
     v = view[np.maximum(near, 0)]
     distance = np.sqrt(np.maximum(2 - 2 * np.einsum("ijk,ik->ij", v, view[:rows]), 0))
-    open_, chosen = there.copy(), np.full((rows, settings.degree), -1)
+    open_, chosen = there.copy(), np.full((rows, degree), -1)
     at = np.arange(rows)
-    for d in range(settings.degree):
+    for d in range(degree):
         first = np.where(open_, distance, np.inf).argmin(1)
         some = open_[at, first]
         if not some.any():
             break
         chosen[some, d] = near[some, first[some]] - rows
         between = np.sqrt(np.maximum(2 - 2 * np.einsum("ijk,ik->ij", v, v[at, first]), 0))
-        open_ &= settings.alpha * between > distance
+        open_ &= alpha * between > distance
         open_[at, first] = False
     return chosen
 
 
+def start_points(x: np.ndarray, many: int) -> np.ndarray:
+    """The medoid, and points that each lie as far as possible from those before."""
+    starts = [int((x @ x.mean(0)).argmax())]
+    nearest = x @ x[starts[0]]
+    while len(starts) < min(many, len(x)):
+        starts.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, x @ x[starts[-1]])
+    return np.array(starts)
+
+
+def exact_search(x: np.ndarray, vectors: np.ndarray, own: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (query, point) with cosine of at least the threshold."""
+    r, p = np.nonzero(vectors @ x.T >= settings.threshold - 1e-9)
+    exact = np.concatenate([np.einsum("ij,ij->i", vectors[r[i:i + 50_000]], x[p[i:i + 50_000]])
+                            for i in range(0, len(r), 50_000)]) if len(r) else np.zeros(0)
+    right = (exact >= settings.threshold) & (own[r] != p)
+    return r[right], p[right]
+
+
 def search(x: np.ndarray, lists: np.ndarray, vectors: np.ndarray, own: np.ndarray,
            settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, point) with cosine of at least the threshold, found on the graph; ``own`` is a query's point or -1.
 
-    Every query walks greedily from the medoid, expanding the nearest point not
-    yet expanded, ``beam`` times; then every point within range is expanded,
-    until no new one comes into range.
+    Every query walks greedily from its own point and the start points, expanding
+    the nearest point not yet expanded, ``beam`` times; then every point within
+    range is expanded, until no new one comes into range.
     """
     n, q = len(x), len(vectors)
-    medoid = int((x @ x.mean(0)).argmax())
+    starts_at = start_points(x, settings.starts)
     rough_x, rough_vectors = x.astype(np.float32), vectors.astype(np.float32)
     score = np.full((q, n), -np.inf, np.float32)
     expanded = np.zeros((q, n), bool)
-    score[:, medoid] = vectors @ x[medoid]
+    score[:, starts_at] = vectors @ x[starts_at].T
+    there = np.flatnonzero(own >= 0)
+    score[there, own[there]] = 1
     # Lists as both directions, so that an edge is walked either way.
     a, slot = np.nonzero(lists >= 0)
     b = lists[a, slot]
@@ -250,30 +279,43 @@ def blocked(members: DataFrame, settings: Settings) -> DataFrame:
 
 
 def adjacency(members: DataFrame, settings: Settings) -> DataFrame:
-    """``point, near``: the united lists of every point over its shards and blocks, pruned to ``2 * degree`` nearest kept ones."""
+    """``point, near, far``: the united lists of every point over its shards and blocks."""
     def build(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("point")
         x, ids = _matrix(block["unit"]), block["point"].to_numpy()
-        lists = build_lists(x, settings)
-        return pd.DataFrame({"point": ids, "near": [ids[row[row >= 0]] for row in lists]})
+        near, far = ([ids[row[row >= 0]] for row in part] for part in build_lists(x, settings))
+        return pd.DataFrame({"point": ids, "near": near, "far": far})
 
     lists = members.select("point", "unit", "label", "shard", "block").groupBy("label", "shard", "block").applyInPandas(
-        build, "point long, near array<long>")
-    return lists.groupBy("point").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        build, "point long, near array<long>, far array<long>")
+    return lists.groupBy("point").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "far")])
+
+
+def _placed(lists: pd.Series, ids: np.ndarray) -> np.ndarray:
+    """The lists as places in the sorted ``ids``, -1 where a list is shorter; others' points are left out."""
+    lists = [v if v is not None else [] for v in lists]
+    out = np.full((len(ids), max(1, max(len(v) for v in lists))), -1)
+    for i, v in enumerate(lists):
+        v = np.asarray(v, np.int64)
+        place = np.minimum(np.searchsorted(ids, v), len(ids) - 1)
+        place = place[ids[place] == v]
+        out[i, :len(place)] = place
+    return out
 
 
-def searched(members: DataFrame, lists: DataFrame, settings: Settings) -> DataFrame:
+def searched(members: DataFrame, lists: DataFrame, settings: Settings, exact: bool = False) -> DataFrame:
     """``point, links, other``: links found for home points (with null ``other``), and edges that connect them.
 
     Every block of a shard is searched for all home points of the shard, so a
-    large shard meets itself in pairs of blocks.
+    large shard meets itself in pairs of blocks. ``exact`` compares all points of
+    a pair of blocks instead of walking the graph.
     """
     graph = members.join(lists, "point", "left")
     asked = graph.where("home").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "label", "shard", F.col("at").alias("in_block"), F.col("block").alias("from_block"), "point", "unit", "n",
-        F.lit(None).cast("array<long>").alias("near"), F.lit(True).alias("asks"))
+        *[F.lit(None).cast("array<long>").alias(c) for c in ("near", "far")], F.lit(True).alias("asks"))
     stored = graph.withColumn("from", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "label", "shard", F.col("block").alias("in_block"), F.col("from").alias("from_block"), "point", "unit", "n", "near",
+        "label", "shard", F.col("block").alias("in_block"), F.col("from").alias("from_block"), "point", "unit", "n", "near", "far",
         F.lit(False).alias("asks"))
 
     def find(unit: pd.DataFrame) -> pd.DataFrame:
@@ -282,20 +324,19 @@ def searched(members: DataFrame, lists: DataFrame, settings: Settings) -> DataFr
         if held.empty or asking.empty:
             return pd.DataFrame({"point": [], "links": [], "other": []}).astype({"point": "int64", "links": "int64"})
         ids, x, n = held["point"].to_numpy(), _matrix(held["unit"]), held["n"].to_numpy()
-        near = [v if v is not None else [] for v in held["near"]]
-        width = max(1, max(len(v) for v in near))
-        lists = np.full((len(ids), width), -1)
-        for i, v in enumerate(near):
-            v = np.asarray(v, np.int64)
-            place = np.minimum(np.searchsorted(ids, v), len(ids) - 1)
-            place = place[ids[place] == v]
-            lists[i, :len(place)] = place
+        if not exact:
+            near = _placed(held["near"], ids)
+            if near.shape[1] > 2 * settings.degree:
+                near = np.concatenate([pruned_lists(x, near[lo:lo + 256], np.arange(lo, min(lo + 256, len(ids))),
+                                                    2 * settings.degree, settings.alpha) for lo in range(0, len(ids), 256)])
+            lists = np.concatenate([near, _placed(held["far"], ids)], 1)
         asked_ids, vectors = asking["point"].to_numpy(), _matrix(asking["unit"])
         place = np.minimum(np.searchsorted(ids, asked_ids), len(ids) - 1)
         own = np.where(ids[place] == asked_ids, place, -1)
         links, edges = np.zeros(len(asked_ids), np.int64), []
         for lo in range(0, len(own), 1000):
-            r, p = search(x, lists, vectors[lo:lo + 1000], own[lo:lo + 1000], settings)
+            some = vectors[lo:lo + 1000], own[lo:lo + 1000], settings
+            r, p = exact_search(x, *some) if exact else search(x, lists, *some)
             np.add.at(links, r + lo, n[p])
             edges.append((asked_ids[r + lo], ids[p]))
         a, b = (np.concatenate([e[i] for e in edges]) for i in (0, 1))
@@ -361,9 +402,9 @@ def near_duplicates(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embe
         F.first("label").alias("label"), F.first("unit").alias("unit"), F.count("*").alias("n")), "points")
     members = kept(blocked(sharded(points, fit_centroids(points, settings), settings), settings), "members")
     lists = kept(adjacency(members, settings), "lists")
-    for attempt in range(settings.rounds):
+    for attempt in range(settings.rounds + 1):
         wider = Settings(**{**settings.__dict__, "beam": settings.beam << attempt})
-        found = kept(searched(members, lists, wider), "found")
+        found = kept(searched(members, lists, wider, exact=attempt == settings.rounds), "found")
         counts = found.where("other IS NULL").groupBy("point").agg(F.sum("links").alias("links"))
         recall = audited(points, counts, settings)
         if recall >= settings.least_recall:

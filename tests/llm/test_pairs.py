@@ -151,6 +151,36 @@ def test_links_of_vectors_equal_brute_force(spark):
     assert vector_graph.near_duplicates(table.limit(0)).count() == 0
 
 
+def grouped_vectors(seed, groups, members, others, length=32):
+    """Unit vectors: groups of members at equal distances from each other, among unrelated ones."""
+    rng = np.random.default_rng(seed)
+    base = np.repeat(rng.normal(size=(groups, length)), members, 0)
+    x = np.concatenate([base + 0.08 * rng.normal(size=base.shape), rng.normal(size=(others, length))])
+    return x / np.sqrt((x * x).sum(1))[:, None]
+
+
+def test_dense_groups_are_reached_from_other_blocks():
+    settings = vector_graph.Settings()
+    x = grouped_vectors(8, 100, 60, 2000, 64)
+    queries = np.arange(0, len(x), 8)
+    none = np.full(len(queries), -1)  # as asked from another block: the query is no point of this one
+    true = {*zip(*(a.tolist() for a in vector_graph.exact_search(x, x[queries], none, settings)))}
+    both = x[queries] @ x.T >= settings.threshold
+    assert true == {*zip(*(a.tolist() for a in np.nonzero(both)))} and len(true) > 20_000
+    found = {*zip(*(a.tolist() for a in vector_graph.search(
+        x, np.concatenate(vector_graph.build_lists(x, settings), 1), x[queries], none, settings)))}
+    assert found <= true and len(found) >= 0.99 * len(true)
+
+
+def test_recall_below_the_limit_is_made_exact(spark):
+    x = grouped_vectors(9, 4, 40, 40)
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    poor = vector_graph.Settings(degree=1, candidates=1, long_edges=0, beam=1, rounds=1, least_recall=1.0)
+    found = {r["vec_id"]: r for r in vector_graph.near_duplicates(table, settings=poor).collect()}
+    assert [found[i]["n_links"] for i in range(len(x))] == ((x @ x.T >= 0.98).sum(1) - 1).tolist()
+    assert {r["recall"] for r in found.values()} == {1.0}
+
+
 def test_archives_give_every_page_back(spark):
     texts = ["<p>a</p>", "", None, "x\r\n\r\nWARC/1.1\r\n\r\ny", "<p>a</p>", "é " * 9000, "<p>a</p>", "", "one"]
     rows = [(i, f"http://h/{i}\n", t, "d") for i, t in enumerate(texts)] + [(None, None, "null id", "d"), (8, "u", "one", "d")]

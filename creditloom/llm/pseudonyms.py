@@ -126,14 +126,24 @@ def _ssn(value: str, key: bytes) -> str | None:
     return f"{areas[area]:03}-{group + 1:02}-{serial + 1:04}"
 
 
+# Calling codes of two digits; 1 and 7 have one, all others three.
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 def _phone(value: str, key: bytes) -> str | None:
-    head = re.match(r"\+\d{1,3}(?=[ .(-])", value)
-    at = head.end() if head else 0
+    """The national digits change; the calling code and the 0 before an area stay, so all notations of a number stay linked."""
+    at = 0
+    if value[0] == "+":
+        at = 2 if value[1] in "17" else 3 if value[1:3] in TWO_DIGIT_CODES else 1 + len(re.match(r"\d{1,3}", value[1:]).group())
+    elif head := re.match(r"1(?:[ .-]|(?=\())", value):
+        at = head.end()
+    at += re.match(r"[^1-9]*", value[at:]).end()
     digits = re.sub(r"\D", "", value[at:])
-    if not 7 <= len(digits) <= 15:
+    if not digits or len(digits) > 15 or len(re.sub(r"\D", "", value)) < 7:
         return None
-    moved = permute(int(digits), 10 ** len(digits), key, f"phone{value[:at]}{len(digits)}")
-    return value[:at] + _refilled(value[at:], str(moved).zfill(len(digits)))
+    least = 10 ** (len(digits) - 1)  # the first digit stays above 0, as zeros before it belong to the notation
+    return value[:at] + _refilled(value[at:], str(least + permute(int(digits) - least, 9 * least, key, f"phone{len(digits)}")))
 
 
 def _iban_check(country: str, body: str) -> str:
@@ -141,11 +151,12 @@ def _iban_check(country: str, body: str) -> str:
 
 
 def _iban(value: str, key: bytes) -> str | None:
-    country, body = value[:2], value[4:]
-    if _iban_check(country, body) != value[2:4]:
+    country, body = value[:2], value[4:].replace(" ", "")
+    if len(body) < 11 or _iban_check(country, body) != value[2:4]:
         return None
     body = _by_alphabets(body, _classes(body), key, f"iban{country}")
-    return country + _iban_check(country, body) + body
+    left = iter(country + _iban_check(country, body) + body)
+    return "".join(c if c == " " else next(left) for c in value)
 
 
 def _email(value: str, key: bytes) -> str | None:
@@ -164,29 +175,36 @@ def _secret(value: str, key: bytes) -> str | None:
 KINDS: tuple[tuple[str, str, Callable[[str, bytes], str | None]], ...] = (
     ("email", r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}\b", _email),
     ("secret", r"\bAKIA[0-9A-Z]{16}\b|\b(?:password|passwd|token|secret|api_key)\s?[=:]\s?[\"']?[0-9A-Za-z]{8,64}\b", _secret),
-    ("iban", r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b", _iban),
+    ("iban", r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b", _iban),
     ("ip", r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)", _ip),
-    ("date", r"(?<![\w./-])(?:\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]|\.\d)",
-     _date),
+    ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{4}\.\d{1,2}\.\d{1,2}|\d{1,2}-\d{1,2}-\d{4}"
+             r"|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?=[Tt]\d\d)|(?![\w/-]|\.\d))", _date),
     ("ssn", r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])", _ssn),
-    ("card", r"(?<![\w-])(?:\d{13,19}|\d{4}(?:(?: \d{4}){2}|(?:-\d{4}){2})[ -]\d{1,7}|\d{4}(?: \d{6} | -\d{6}-)\d{5})(?![\w-])",
+    ("card", r"(?<![\w-])(?:\d{13,19}|\d{4}(?:(?: \d{4}){2}|(?:-\d{4}){2})[ -]\d{1,7}|\d{4}(?: \d{6} |-\d{6}-)\d{4,5})(?![\w-])",
      _card),
-    ("phone", r"(?<![\w+(.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3,4}[ .-]\d{3,4}(?![\w-])"
-              r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?![\w-])", _phone),
+    ("phone", r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?|1[ .-]?(?=\()|1[ .-])?(?:\(\d{2,4}\)[ .-]?|\d{3}[.-])\d{3,4}[ .-]\d{3,4}(?![\w-])"
+              r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?![\w-])"
+              r"|(?<![\w+.-])(?:(?:1[ .-])?[2-9]\d\d [2-9]\d\d[ .-]\d{4}|0\d{2,4} \d{3,4} \d{3,4})(?![\w-])", _phone),
 )
 FOUND = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS))
 MAY_HOLD = re.compile(r"[0-9@=:]")
 
 
-def _pseudonym(text: str, match: re.Match, key: bytes, names: frozenset[str] | None) -> str | None:
-    """Of the matched kind or, where its validation fails, of a later kind that fits the same place."""
-    later = False
+def _ends(text: str, start: int, end: int, name: str) -> list[int]:
+    """Where a value may end: a grouped IBAN may be followed by words that look like more of its groups."""
+    return [end] + [i for i in range(end - 1, start, -1) if text[i] == " "] if name == "iban" else [end]
+
+
+def _pseudonym(text: str, match: re.Match, key: bytes, names: frozenset[str] | None) -> tuple[str, int] | None:
+    """Of the matched kind or, where its validation fails, of a later kind that fits the same place; and where the value ends."""
+    later, (start, end) = False, match.span()
     for name, pattern, pseudonym in KINDS:
         matched = name == match.lastgroup
         later = later or matched
-        if later and (names is None or name in names) and (matched or re.compile(pattern).fullmatch(text, *match.span())):
-            if (new := pseudonym(match.group(), key)) is not None:
-                return new
+        if later and (names is None or name in names) and (matched or re.compile(pattern).fullmatch(text, start, end)):
+            for at in _ends(text, start, end, name):
+                if (new := pseudonym(text[start:at], key)) is not None:
+                    return new, at
     return None
 
 
@@ -197,9 +215,10 @@ def replaced(text: str, key: bytes, names: frozenset[str] | None = None) -> tupl
     parts, done, at = [], 0, 0
     while match := FOUND.search(text, at):
         at = match.start() + 1
-        if (new := _pseudonym(text, match, key, names)) is not None:
+        if (found := _pseudonym(text, match, key, names)) is not None:
+            new, end = found
             parts += [text[done:match.start()], new]
-            done = at = match.end()
+            done = at = end
     return "".join(parts) + text[done:], len(parts) // 2
 
 

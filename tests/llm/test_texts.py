@@ -58,6 +58,35 @@ def test_pseudonyms_keep_format_and_link_equal_values():
     assert pseudonyms.replaced(text, b"other")[0] != new
 
 
+def test_usual_notations_get_pseudonyms():
+    iban = "DE89 3704 0044 0532 0130 00"
+    values = ["2021-03-04", "04-03-1990", "2021-3-4", "2021/3/4", "2021.03.04", iban, "AT61 1904 3002 3457 3201", "1-800-555-1234",
+              "415 555 2671", "020 7946 0958", "+14155552671", "3782-822463-10005", "3782 822463 10005"]
+    for value in values:
+        for text in (f"a {value} b", value, f"({value})", f"{value}, IBAN"):
+            new, n = pseudonyms.replaced(text, b"key")
+            assert n == 1 and value not in new and len(new) == len(text), (text, new)
+    new, n = pseudonyms.replaced("2021-03-04T10:00:00Z", b"key")
+    assert n == 1 and new[10:] == "T10:00:00Z" and new[:10] == pseudonyms.replaced("2021-03-04", b"key")[0] != "2021-03-04"
+    new, n = pseudonyms.replaced("AT61 1904 3002 3457 3201 PLUS 4111 1111 1111 1111", b"key")
+    assert n == 2 and " PLUS " in new and "4111 1111" not in new
+    assert pseudonyms.replaced(iban, b"key")[0].replace(" ", "") == pseudonyms.replaced(iban.replace(" ", ""), b"key")[0]
+
+
+def test_notations_of_a_phone_stay_linked():
+    plain = re.sub(r"\D", "", pseudonyms.replaced("415-555-2671", b"key")[0])
+    for value in ("+1 415-555-2671", "+1 (415) 555-2671", "+14155552671", "1-415-555-2671", "1 (415) 555-2671", "415 555 2671", "415.555.2671"):
+        new, n = pseudonyms.replaced(value, b"key")
+        assert n == 1 and re.sub(r"\D", "", new)[-10:] == plain != "4155552671", value
+    english = [re.sub(r"\D", "", pseudonyms.replaced(v, b"key")[0])[-10:] for v in ("+44 20 7946 0958", "020 7946 0958")]
+    assert english[0] == english[1] or english[0][-9:] == english[1][-9:]
+
+
+def test_numbers_that_are_no_phone_stay():
+    for text in ("100 200 3000", "2 000 000", "1.5-2.5", "version 1.2.3", "30-30-3000-1"):
+        assert pseudonyms.replaced(text, b"key") == (text, 0)
+
+
 def test_permutations_are_one_to_one():
     for size in (1, 2, 3, 10, 1000, 4097):
         assert sorted(pseudonyms.permute(x, size, b"k", "t") for x in range(size)) == list(range(size))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.operators import evaluation as ev
+from creditloom.operators import profiling
 from creditloom.operators.splits import stratified_split
 from creditloom.plans.mart import credit_mart
 from creditloom.sources import readers, writers
@@ -24,6 +25,33 @@ def test_csv_by_header_name(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [(5, -1, "0"), (None, -2, "5")]
 
 
+def test_whole_csv_types_the_undeclared_columns(spark, tmp_path):
+    path = tmp_path / "bureau_balance.csv"
+    path.write_text("WHOLE,STATUS,GAPS,SK_ID_BUREAU,TEXT,EMPTY,MONTHS_BALANCE,SHARE.X\n1,0,1,5,a,,-1,0.5\n2,C,,6,2,,x7,1\n")
+    df = readers.read_whole_csv(spark, str(path), "bureau_balance")
+    assert df.dtypes == [("WHOLE", "bigint"), ("STATUS", "string"), ("GAPS", "double"), ("SK_ID_BUREAU", "bigint"),
+                         ("TEXT", "string"), ("EMPTY", "double"), ("MONTHS_BALANCE", "bigint"), ("SHARE.X", "double")]
+    assert [tuple(r) for r in df.collect()] == [(1, "0", 1.0, 5, "a", None, -1, 0.5), (2, "C", None, 6, "2", None, None, 1.0)]
+
+
+def test_profiles_of_a_whole_csv_see_every_column(spark, tables, tmp_path):
+    raw = tables.raw("application_train").withColumns({
+        "APARTMENTS_AVG": F.expr("if(SK_ID_CURR % 4 = 0, NULL, SK_ID_CURR / 7e0)"), "WALLSMATERIAL_MODE": F.lit("Panel")})
+    raw.write.option("header", True).csv(f"{tmp_path}/application_train.csv")
+    df = readers.read_whole_csv(spark, f"{tmp_path}/application_train.csv", "application_train")
+    assert df.dtypes == raw.dtypes and df.count() == raw.count()
+    assert "APARTMENTS_AVG" in {r["column_name"] for r in profiling.missing_rates(df).collect()}
+    assert "APARTMENTS_AVG" in {r["column_name"] for r in profiling.correlations_with(df, "TARGET").collect()}
+    assert "WALLSMATERIAL_MODE" in {r["column_name"] for r in profiling.category_spread(df, "TARGET").collect()}
+
+
+def test_values_that_fail_to_parse_are_counted(spark, tmp_path):
+    path = tmp_path / "bureau_balance.csv"
+    path.write_text("EXTRA,STATUS,SK_ID_BUREAU,MONTHS_BALANCE\nx,0,5,-1\ny,5,,oops\nz,1,7\nz,1,8.5,-3,9\n")
+    found = readers.unparsed_values(spark, str(path), "bureau_balance").collect()
+    assert {tuple(r) for r in found} == {("SK_ID_BUREAU", 3, 1), ("MONTHS_BALANCE", 3, 1), (readers.BROKEN_ROW, 4, 2)}
+
+
 def test_csv_with_missing_column(spark, tmp_path):
     path = tmp_path / "bureau_balance.csv"
     path.write_text("SK_ID_BUREAU,STATUS\n1,0\n")

@@ -24,13 +24,16 @@ ignored unless named in ``keep``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.lookup import lookup_join
 
-# Public suffixes of two labels that this operator knows. Others are one label long.
+# Public suffixes of two labels that are known by default. Others are one label long. A list of one's own may hold
+# suffixes of any number of labels and wildcards: under *.ck every name of one label more is a suffix, but for exceptions (!www.ck).
 TWO_LABEL_SUFFIXES = ("ac.jp", "ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br",
                       "com.cn", "com.mx", "com.tr", "com.tw", "edu.au", "gov.au", "gov.uk", "ne.jp", "net.au", "or.jp",
                       "org.au", "org.uk")
@@ -76,13 +79,32 @@ def fitting_rule(rules: list[UrlRule], column: str = "text") -> Column:
     return F.coalesce(*found, F.lit(None).cast("string"))
 
 
-def with_levels(df: DataFrame) -> DataFrame:
+def with_levels(df: DataFrame, suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """Adds ``domain`` and ``suffix`` of ``host``; a host that is only a suffix is its own domain."""
+    by_labels: dict[int, dict[str, set[str]]] = {}
+    for entry in {s.strip().lower() for s in suffixes}:
+        kind = entry[0] if entry[0] in "*!" else "="
+        name = entry.removeprefix("*.").removeprefix("!")
+        labels = name.count(".") + 1 + {"*": 1, "=": 0, "!": -1}[kind]  # of the suffix
+        by_labels.setdefault(labels, {}).setdefault(kind, set()).add(name)
     bare = F.regexp_replace("host", r":\d*$", "")
-    two = F.substring_index(bare, ".", -2)
-    suffix = F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(bare, ".", -1))
-    labels = F.size(F.split(suffix, r"\."))
-    domain = F.when(labels == 2, F.substring_index(bare, ".", -3)).otherwise(two)
+    many = F.size(F.split(bare, r"\."))
+
+    def last(n: int) -> Column:
+        return F.substring_index(bare, ".", -n)
+
+    found: list[tuple[Column, int]] = []  # exceptions come first, then the longest
+    for labels in sorted(by_labels, reverse=True):
+        held = by_labels[labels]
+        if "!" in held:
+            found.insert(0, ((many > labels) & last(labels + 1).isin(*held["!"]), labels))
+        fits = [last(labels - (k == "*")).isin(*held[k]) for k in ("=", "*") if k in held]
+        if fits and labels > 1:
+            found.append(((many >= labels) & reduce(or_, fits), labels))
+    suffix, domain = F.lit(None), F.lit(None)
+    for fits, labels in [*found, (F.lit(True), 1)]:
+        suffix = F.coalesce(suffix, F.when(fits, last(labels)))
+        domain = F.coalesce(domain, F.when(fits, last(labels + 1)))
     return df.withColumns({"suffix": suffix, "domain": domain})
 
 
@@ -102,7 +124,8 @@ def _strength(children: DataFrame, mean: Column, settings: Settings) -> Column:
     return parts.select(F.when(F.expr("total > k AND x2 > k - 1"), kept).otherwise(alike).alias("strength"))
 
 
-def host_posteriors(outcomes: DataFrame, hosts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def host_posteriors(outcomes: DataFrame, hosts: DataFrame, settings: Settings = Settings(),
+                    suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """One row per host of ``hosts``: counts and the posterior share of good pages with its deviation.
 
     ``outcomes`` has ``host`` and ``good`` (1, 0 or null), ``hosts`` has ``host``.
@@ -110,7 +133,7 @@ def host_posteriors(outcomes: DataFrame, hosts: DataFrame, settings: Settings =
     counts = outcomes.where("good IS NOT NULL").groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("good").cast("long")).alias("good"))
     table = with_levels(hosts.select("host").unionByName(counts.select("host")).distinct().join(counts, "host", "left")
-                        .fillna(0, ["n", "good"]))
+                        .fillna(0, ["n", "good"]), suffixes)
     all_pages = table.agg(F.expr("(coalesce(sum(good), 0) + 1D) / (coalesce(sum(n), 0) + 2D)").alias("mean"))
     parent = all_pages.withColumn("level", F.lit(0))
     rows = table
@@ -133,14 +156,15 @@ def host_posteriors(outcomes: DataFrame, hosts: DataFrame, settings: Settings =
 
 
 def judged(pages: DataFrame, outcomes: DataFrame, rules: list[UrlRule], url: str = "url",
-           keep: tuple[str, ...] = ("page_id",), settings: Settings = Settings()) -> DataFrame:
+           keep: tuple[str, ...] = ("page_id",), settings: Settings = Settings(),
+           suffixes: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """``keep`` columns, host, path, rule, verdict and the posterior behind it, for every page.
 
-    ``outcomes`` has a ``url`` and ``good`` (1, 0 or null) per labelled page.
+    ``outcomes`` has a ``url`` and ``good`` (1, 0 or null) per labelled page; ``suffixes`` are as in the public suffix list.
     """
     rows = with_parts(pages.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(url).alias("u")), "u")
     known = with_parts(outcomes.select(F.col("url").alias("u"), "good"), "u").select("host", "good")
-    table = host_posteriors(known, rows.select("host").distinct(), settings).select("host", "n", "good", "mean", "deviation")
+    table = host_posteriors(known, rows.select("host").distinct(), settings, suffixes).select("host", "n", "good", "mean", "deviation")
     joined = lookup_join(rows, table, ["host"])
     verdict = F.when(F.col("mean") + settings.z * F.col("deviation") < settings.min_good, "block").otherwise("allow")
     return joined.select(

@@ -141,3 +141,16 @@ def test_posterior_moves_from_domain_to_host(spark):
     rows = {r["host"]: r for r in host_reputation.host_posteriors(outcomes, spark.createDataFrame([("d.x.org",)], "host string")).collect()}
     assert rows["a.x.org"]["mean"] < rows["d.x.org"]["mean"] < rows["c.x.org"]["mean"] < rows["b.x.org"]["mean"]
     assert rows["d.x.org"]["deviation"] > rows["a.x.org"]["deviation"]
+
+
+def test_suffix_lists_with_wildcards_part_registrants(spark):
+    hosts = ["a.x.co.il", "x.github.io", "b.y.any.ck", "www.ck", "a.www.ck", "ck", "x.co.uk:80", "co.il", "p.q.s3.example.com", "", "one"]
+    table = spark.createDataFrame([(h,) for h in hosts], "host string")
+    own = (*host_reputation.TWO_LABEL_SUFFIXES, "co.il", "github.io", "*.ck", "!www.ck", "s3.example.com")
+    found = [(r["suffix"], r["domain"]) for r in host_reputation.with_levels(table, own).collect()]
+    assert found == [("co.il", "x.co.il"), ("github.io", "x.github.io"), ("any.ck", "y.any.ck"), ("ck", "www.ck"), ("ck", "www.ck"),
+                     ("ck", "ck"), ("co.uk", "x.co.uk"), ("co.il", "co.il"), ("s3.example.com", "q.s3.example.com"), ("", ""), ("one", "one")]
+    outcomes = spark.createDataFrame([("a.x.co.il", 0)] * 50 + [("b.y.co.il", 1)] * 50, "host string, good int")
+    rows = {r["host"]: r["mean"] for r in host_reputation.host_posteriors(
+        outcomes, spark.createDataFrame([("new.x.co.il",), ("new.y.co.il",)], "host string"), suffixes=own).collect()}
+    assert rows["new.x.co.il"] < rows["new.y.co.il"]

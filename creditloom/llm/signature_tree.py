@@ -368,9 +368,11 @@ def representatives(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     rows = docs.toDF(*columns)
     key, body = (columns[docs.columns.index(c)] for c in (doc_id, text))
     found = kept(jaccard_components(rows, words, percent, key, body).where("doc_id IS NOT NULL AND n_shingles > 0"), "classes")
-    marked = found.groupBy(F.col("doc_id").alias(key)).agg(
-        F.min("component_id").alias("c"), F.count("*").alias("n")).where(f"c <> {key} OR n > 1").select(key, "n")
-    joined = lookup_join(rows, marked, [key])
+    marked = found.groupBy(F.col("doc_id").alias("named")).agg(
+        F.min("component_id").alias("c"), F.count("*").alias("n")).where("c <> named OR n > 1").select("named", "n")
+    # A text without words is in no component, whoever shares its id.
+    named = F.when(F.col(body).rlike(r"[^\x20\x09-\x0D]"), F.col(key))
+    joined = lookup_join(rows.withColumn("named", named), marked, ["named"])
     single = joined.where("n IS NULL").select(*columns)
     # Rows that share their id are told apart by their sets.
     chosen = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key), "class").agg(

@@ -71,6 +71,14 @@ def test_components_equal_brute_force(spark, documents, words, percent):
     assert sorted(kept) == sorted([*groups, 4])  # two groups of different texts have the id 4
 
 
+def test_texts_without_words_stay_whoever_shares_their_id(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, text), (2, text), (2, ""), (2, " \n"), (2, None), (3, text + " x"), (3, "other words of the same id"), (3, "\t"), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in signature_tree.representatives(docs).collect()]
+    assert sorted(left, key=str) == sorted([rows[i] for i in (0, 2, 3, 4, 6, 7, 8)], key=str)
+
+
 def test_large_components_are_joined_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(signature_tree, "TASK_HASHES", 500)
     texts = near_texts(9, 150)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from creditloom.session import scratch_path
 
-from . import host_reputation, huffman, mixing, packing, pseudonyms, quality_rules, rule_ensemble, signature_tree, sql, vector_graph, warc
+from . import (exact_dedup, host_reputation, huffman, mixing, packing, phrases, pseudonyms, quality_rules, rule_ensemble, signature_tree,
+               spelling, sql, vector_graph, warc)
 from .tables import given
 
 
@@ -100,6 +101,21 @@ def op10_signature_trees(spark: SparkSession, folder: str) -> DataFrame:
     return signature_tree.jaccard_components(given(spark, folder, "documents"), words=3, percent=90).drop("node", "class")
 
 
+def op11_weighted_automata(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 phrases of every language: two or three words that occur at least ten times."""
+    return phrases.collocations(given(spark, folder, "documents"))
+
+
+def op12_grace_hash(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of equal texts of every document, and the row of it that stays."""
+    return exact_dedup.verdicts(given(spark, folder, "documents"))
+
+
+def op13_trie_node_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Near words, form and root of every word that occurs at least five times."""
+    return spelling.spelling_variants(given(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Packed pieces of what all stages of the corpus pipeline keep."""
     return corpus_pipeline.run(spark, folder)
@@ -107,7 +123,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = (op1_host_reputation, op2_minimum_bin_slack, op3_feistel_pseudonyms, op4_huffman_blocks,
            op5_pruned_graph, op6_warc_revisit, op7_rule_bitmask_ledger,
-           op8_mixed_blocks, op9_rule_ensemble, op10_signature_trees, pipeline)
+           op8_mixed_blocks, op9_rule_ensemble, op10_signature_trees, op11_weighted_automata, op12_grace_hash,
+           op13_trie_node_pairs, pipeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -103,8 +103,36 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.c AS componen
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m USING (doc_id)
 """
 
+OP11 = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM p),
+i AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+g AS (SELECT lang, words[i:i + k - 1] AS words FROM i, (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(words)),
+f AS (SELECT lang, words, len(words) AS k, count(*) AS a FROM g GROUP BY lang, words),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+s AS (SELECT c.lang, c.words, c.a, x.a AS l, y.a AS r, x.k AS first,
+             CAST(1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+      FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+      JOIN f x ON x.lang = c.lang AND x.words = c.words[1:cut] JOIN f y ON y.lang = c.lang AND y.words = c.words[cut + 1:c.k]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, first) = 1),
+o AS (SELECT lang, inner_words, max(a) AS a FROM (SELECT lang, unnest([words[1:2], words[2:3]]) AS inner_words, a FROM c WHERE k = 3)
+      GROUP BY lang, inner_words),
+t AS (SELECT b.lang, array_to_string(b.words, ' ') AS phrase, b.a, l, r, score FROM b
+      LEFT JOIN o ON o.lang = b.lang AND o.inner_words = b.words WHERE o.a IS NULL OR 100 * o.a < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM t JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+OP12 = r"""
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
 
 def statements() -> dict[str, str]:
     """One statement per query name."""
     return {"op1_host_reputation": OP1, "op6_warc_revisit": OP6, "op7_rule_bitmask_ledger": OP7,
-            "op10_signature_trees": OP10}
+            "op10_signature_trees": OP10, "op11_weighted_automata": OP11, "op12_grace_hash": OP12}

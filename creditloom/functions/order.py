@@ -1,6 +1,6 @@
 """Exact order statistics without gathering a group in one task.
 
-Two ideas carry all of it:
+Three ideas carry all of it:
 
 * hash order: rows are ranked by ``md5(seed|key)``. A histogram over the first
   hex digits, whose size is bounded, locates any rank; only rows of the few
@@ -9,10 +9,17 @@ Two ideas carry all of it:
   bounded share. Sums inside a cell run in parallel, and each cell starts from
   the total of the cells before it. The sketch decides the balance of the work,
   never the result.
+* radix order: the bits of a double, made to sort like the number, are settled from
+  the highest down; every pass counts the next digit of the values that share the
+  bits found so far.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,6 +29,7 @@ from .lookup import fitted
 
 HASH_DIGITS = 4
 SKETCH_ACCURACY = 10_000
+DIGIT_BITS = 16
 
 
 def key_hash(key: str, seed: int | str) -> Column:
@@ -140,56 +148,62 @@ def running_totals(df: DataFrame, order: str, sums: list[str], by: list[str] = (
         *[F.coalesce(f"prev_{c}", f"{c}_carried").alias(f"prev_{c}") for c in last])
 
 
-def _literal(x: float) -> str:
-    return f"double('{x!r}')"
+def _ordered_bits(x: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned numbers of the same order; -0 and 0 are one, NaN is above all."""
+    bits = (x + 0.0).view(np.int64)
+    return np.where(bits < 0, ~bits, bits ^ np.int64(-1 << 63)).view(np.uint64)
+
+
+def _from_ordered_bits(key: int) -> float:
+    bits = np.array([key], np.uint64).view(np.int64)
+    return float(np.where(bits < 0, bits ^ np.int64(-1 << 63), ~bits).view(np.float64)[0])
+
+
+def _digit_counts(df: DataFrame, prefixes: dict[str, list[int]], level: int) -> DataFrame:
+    """``name, prefix, digit, n``: how often each next digit follows the wanted prefixes of each column; counted per task first."""
+    names = list(prefixes)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {(c, p): np.zeros(1 << DIGIT_BITS, np.int64) for c in names for p in prefixes[c]}
+        for batch in batches:
+            for i, c in enumerate(names):
+                key = _ordered_bits(batch.column(i).drop_null().to_numpy(zero_copy_only=False).astype(np.float64))
+                digit = (key >> np.uint64(64 - DIGIT_BITS * (level + 1))).astype(np.int64) & ((1 << DIGIT_BITS) - 1)
+                for p in prefixes[c]:
+                    own = digit if not level else digit[key >> np.uint64(64 - DIGIT_BITS * level) == np.uint64(p)]
+                    totals[c, p] += np.bincount(own, minlength=1 << DIGIT_BITS)
+        for (c, p), total in totals.items():
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array([c] * len(used), pa.string()), pa.array([p] * len(used), pa.int64()),
+                                              pa.array(used), pa.array(total[used])], names=["name", "prefix", "digit", "n"])
+
+    doubles = df.select(*[F.expr(f"CAST(`{c}` AS DOUBLE)").alias(c) for c in names])
+    found = doubles.mapInArrow(count, "name string, prefix long, digit long, n long")
+    return found.groupBy("name", "prefix", "digit").agg(F.sum("n").alias("n"))
 
 
-def exact_medians(df: DataFrame, cols: list[str], direct_rows: int = 1_000_000) -> dict[str, float | None]:
-    """Exact medians (mean of the two middle values) of many columns at once.
+def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    """Exact medians (mean of the two middle values) of many columns at once, by radix selection.
 
-    A quantile sketch brackets the two middle ranks of each column; only rows
-    inside the bracket are counted by value. Brackets are narrowed until they
-    hold at most ``direct_rows`` rows or a single value.
+    Four passes each settle 16 bits of the two middle values of every column: a
+    task counts the next digit of the values that share the bits found so far, and
+    only these counts, at most 2^16 per column and middle value, are shuffled.
     """
-    counts = df.agg(*[F.expr(f"count({c}) AS {c}") for c in cols]).first()
-    ranks = {c: ((counts[c] - 1) // 2 + 1, counts[c] // 2 + 1) for c in cols if counts[c]}
-    everything = (float("-inf"), float("inf"))
-    bracket = dict.fromkeys(ranks, everything)
-    below = dict.fromkeys(ranks, 0)
-    inside = {c: counts[c] for c in ranks}
-    settled: set[str] = set()
-
-    def within(c: str, low: float, high: float) -> str:
-        return f"{c} BETWEEN {_literal(low)} AND {_literal(high)}"
-
-    while wide := [c for c in ranks if c not in settled and inside[c] > direct_rows and bracket[c][0] < bracket[c][1]]:
-        sketches = []
-        for c in wide:
-            low, high = ((r - below[c]) / inside[c] for r in ranks[c])
-            points = f"{max(0.0, low - 2 / SKETCH_ACCURACY)!r}D, {min(1.0, high + 2 / SKETCH_ACCURACY)!r}D"
-            sketches.append(F.expr(f"percentile_approx(CAST({c} AS DOUBLE), array({points}), {SKETCH_ACCURACY}) "
-                                   f"FILTER (WHERE {within(c, *bracket[c])}) AS {c}"))
-        found = df.agg(*sketches).first()
-        sizes = df.agg(*[F.expr(text) for c in wide for text in (
-            f"count_if({c} < {_literal(found[c][0])}) AS {c}_below", f"count_if({within(c, *found[c])}) AS {c}_inside")]).first()
-        for c in wide:
-            under, held = sizes[f"{c}_below"], sizes[f"{c}_inside"]
-            if held < inside[c] and under < ranks[c][0] and ranks[c][1] <= under + held:
-                bracket[c], below[c], inside[c] = tuple(found[c]), under, held
-            else:
-                settled.add(c)
-
-    if not ranks:
+    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    wanted = [(c, 0, rank) for c in cols if counts[c] for rank in sorted({(counts[c] - 1) // 2 + 1, counts[c] // 2 + 1})]
+    if not wanted:
         return dict.fromkeys(cols)
-    held = [F.expr(f"CAST({c} AS DOUBLE) AS {c}" if bracket[c] == everything
-                   else f"CASE WHEN {within(c, *bracket[c])} THEN CAST({c} AS DOUBLE) END AS {c}") for c in ranks]
-    values = (df.select(*held).unpivot([], list(ranks), "name", "v").where("v IS NOT NULL")
-              .groupBy("name", "v").agg(F.count("*").alias("copies")))
-    upto = W.partitionBy("name").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    wanted = ", ".join(f"'{c}', array({ranks[c][0] - below[c]}L, {ranks[c][1] - below[c]}L)" for c in ranks)
-    middle = (values.withColumn("through", F.sum("copies").over(upto))
-              .withColumn("rank", F.expr(f"explode(map({wanted})[name])"))
-              .where("rank > through - copies AND rank <= through")
-              .groupBy("name").agg(F.avg("v").alias("median")))
-    medians = {r["name"]: r["median"] for r in middle.collect()}
-    return {c: medians.get(c) for c in cols}
+    for level in range(64 // DIGIT_BITS):
+        prefixes: dict[str, list[int]] = {}
+        for c, prefix, _ in wanted:
+            if prefix not in prefixes.setdefault(c, []):
+                prefixes[c].append(prefix)
+        ranks = df.sparkSession.createDataFrame(wanted, "name string, prefix long, rank long")  # at most two per column
+        upto = W.partitionBy("name", "prefix").orderBy("digit").rowsBetween(W.unboundedPreceding, 0)
+        through = _digit_counts(df, prefixes, level).withColumn("through", F.sum("n").over(upto))
+        found = through.join(F.broadcast(ranks), ["name", "prefix"]).where("rank > through - n AND rank <= through")
+        wanted = [(r["name"], r["prefix"] << DIGIT_BITS | r["digit"], r["rank"] - (r["through"] - r["n"])) for r in found.collect()]
+    middle: dict[str, list[float]] = {}
+    for c, key, _ in wanted:
+        middle.setdefault(c, []).append(_from_ordered_bits(key))
+    return {c: sum(middle[c]) / len(middle[c]) if c in middle else None for c in cols}

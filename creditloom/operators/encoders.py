@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lookup import fitted, lookup_join
+from ..functions.lookup import fitted, fitted_join
 from ..functions.numeric import aggregate
 from ..functions.order import exact_medians
 from .profiling import string_columns
@@ -32,20 +31,24 @@ def ordinal_encode(df: DataFrame, col: str = "age_group", order: tuple[str, ...]
 
 @dataclass(frozen=True)
 class TargetEncoder:
-    """Smoothed category means: ``stats`` holds column_name, category, encoded; ``prior`` the overall mean."""
+    """Smoothed category means: ``stats`` holds column_name, category, encoded; ``prior`` the overall mean.
+
+    ``pinned`` says that ``stats`` was measured to be small.
+    """
 
     stats: DataFrame
     prior: float
     cols: list[str]
+    pinned: bool = False
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Replace the columns; categories not seen when fitting get the prior.
 
-        The lookup is broadcast when its measured size allows, otherwise shuffled.
+        The lookups are broadcast when their measured size allows, otherwise shuffled.
         """
         for c in self.cols:
             table = self.stats.where(F.col("column_name") == c).select(F.col("category").alias(c), "encoded")
-            joined = lookup_join(df, table, [c])
+            joined = fitted_join(df, table, self.pinned, [c])
             df = joined.withColumn(c, F.coalesce("encoded", F.lit(self.prior))).drop("encoded")
         return df
 
@@ -59,9 +62,8 @@ def fit_target_encoder(df: DataFrame, label: str = "target", cols: list[str] | N
     stats = long.groupBy("column_name", "category").agg(F.count("*").alias("n"), F.avg(label).alias("mean"))
     weight = 1 / (1 + F.exp(-(F.col("n") - min_samples) / smoothing))
     stats = stats.withColumn("encoded", F.lit(prior) * (1 - weight) + F.col("mean") * weight)
-    small, pinned = fitted(stats)
-    # Too many categories for the driver: keep them distributed, computed once.
-    return TargetEncoder(small if pinned else stats.persist(StorageLevel.MEMORY_AND_DISK), prior, cols)
+    small, pinned = fitted(stats.select("column_name", "category", "encoded"))  # too many for the driver: written, not pinned
+    return TargetEncoder(small, prior, cols, pinned)
 
 
 def fill_unknown(df: DataFrame, cols: list[str] | None = None, order: list[str] | None = None) -> DataFrame:

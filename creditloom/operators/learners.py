@@ -1,57 +1,43 @@
 """Classifiers on the mart: logistic baseline, boosted trees, trees with native categories.
 
-Every fit returns a :class:`Scorer`, which adds a ``score`` column and can be
-saved. The sensitive column is never a feature.
+Every fit returns a scorer, which adds a ``score`` column and can be saved. The
+sensitive column is never a feature.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import enable_checkpoints
-from . import encoders
+from . import boosting, encoders
+from .boosting import HELD, LEARNED, Model, Quantizer, Settings, Tree
 from .encoders import ColumnValues, TargetEncoder
 from .profiling import numeric_columns, string_columns
 
 KEY, LABEL, SENSITIVE = "loan_id", "target", "gender_clean"
 NOT_FEATURES = {KEY, LABEL, SENSITIVE, "split", "fold", "is_holdout", "weight"}
 
-# Spark's trees reject missing values; this one lies below every real value, so
-# a split can tell missing from known, as in libraries with native support.
-MISSING = -1e9
-
-# Settings of the single models and of the models inside the stack.
-BOOSTED = {"maxIter": 2500, "maxDepth": 3, "stepSize": 0.05, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.8",
-           "maxBins": 512, "minSplitGain": 0.5, "seed": 42}
-CATEGORICAL = {"maxIter": 1000, "maxDepth": 6, "stepSize": 0.05, "seed": 42}
-STACKED_BOOSTED = {"maxIter": 500, "maxDepth": 5, "stepSize": 0.05, "minInstancesPerNode": 20, "seed": 42}
-STACKED_CATEGORICAL = {"maxIter": 500, "maxDepth": 6, "stepSize": 0.05, "seed": 42}
-POSITIVE_WEIGHT = 3.0
-
-# Rounds without gain on the holdout after which boosting stops.
-PATIENCE, STACKED_PATIENCE, CATEGORICAL_PATIENCE = 100, 50, 50
-
-# Rounds fitted before the holdout is looked at for the first time; doubled until patience runs out.
-FIRST_ROUNDS = 64
+# Settings of the single models and of the models inside the stack. A positive row counts as three.
+BOOSTED = Settings(rounds=2500, depth=3, leaves=32, rate=0.05, l1=20, l2=20, min_gain=0.5, min_rows=20, row_share=0.7,
+                   feature_share=0.8, bins=512, patience=100)
+CATEGORICAL = Settings(rounds=1000, depth=6, rate=0.05, l2=3, patience=50, positive_weight=3)
+STACKED_BOOSTED = Settings(rounds=500, depth=5, leaves=31, rate=0.05, min_rows=20, patience=50, positive_weight=3)
+STACKED_CATEGORICAL = Settings(rounds=500, depth=6, rate=0.05, l2=3, patience=50, positive_weight=3)
 
 
 def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in NOT_FEATURES]
 
 
-def with_class_weight(df: DataFrame, positive: float = POSITIVE_WEIGHT) -> DataFrame:
-    return df.withColumn("weight", F.when(F.col(LABEL) == 1, F.lit(float(positive))).otherwise(1.0))
-
-
 @dataclass(frozen=True)
 class Scorer:
     """A fitted model with the fitted preparation of its input."""
@@ -76,7 +62,7 @@ class Scorer:
         if self.medians:
             df = encoders.impute_median(df, self.medians)
         else:
-            df = df.withColumns({c: F.expr(f"coalesce(CAST({c} AS DOUBLE), {MISSING!r}D)") for c in self.numbers})
+            df = df.withColumns({c: F.col(c).cast("double") for c in self.numbers})
         return encoders.standardize(df, self.scaler) if self.scaler else df
 
     def score(self, df: DataFrame) -> DataFrame:
@@ -86,9 +72,6 @@ class Scorer:
         scored = self.model.transform(self.prepare(df.select(*kept, original)))
         return scored.select("__row.*", vector_to_array("probability")[1].alias("score"))
 
-    def trees(self) -> int:
-        return self.model.stages[-1].getNumTrees
-
     def save(self, path: str) -> None:
         """Write the spark.ml model, the category statistics and the fitted numbers below ``path``."""
         spark = SparkSession.active()
@@ -140,76 +123,79 @@ def fit_logistic(train: DataFrame, max_iter: int = 1000) -> Scorer:
     return Scorer(model, features, medians=medians, scaler=scaler, **encoding)
 
 
-def _with_holdout(train: DataFrame, holdout: DataFrame | None) -> DataFrame:
-    if holdout is None:
-        return train.withColumn("is_holdout", F.lit(False))
-    shared = [c for c in train.columns if c in holdout.columns and c != "is_holdout"]
-    return (train.select(*shared, F.lit(False).alias("is_holdout"))
-            .unionByName(holdout.select(*shared, F.lit(True).alias("is_holdout"))))
-
-
-def _boosting(params: dict, rows: int) -> GBTClassifier:
-    """The learner; ``minSplitGain`` is a total over the rows of a node's tree, spark.ml's ``minInfoGain`` a mean."""
-    params = dict(params)
-    if "minSplitGain" in params:
-        params["minInfoGain"] = params.pop("minSplitGain") / max(rows, 1)
-    return GBTClassifier(labelCol=LABEL, featuresCol="features", weightCol="weight", checkpointInterval=10, **params)
-
-
-def _boosted(rows: DataFrame, params: dict, patience: int) -> GBTClassificationModel:
-    """Boost on the rows outside the holdout and keep the round with the least loss on it.
-
-    Rounds are added until ``patience`` of them brought no gain. Fits with the
-    same seed share their first trees, so the kept model is the one that was
-    judged. Without holdout rows all ``maxIter`` rounds are kept.
-    """
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    seen, held = rows.where("NOT is_holdout"), rows.where("is_holdout")
-    n, most = seen.count(), params.get("maxIter", 20)
-    rounds = most if held.isEmpty() else min(most, FIRST_ROUNDS)
-    while True:
-        model = _boosting(params | {"maxIter": rounds}, n).fit(seen)
-        if held.isEmpty():
-            break
-        losses = model.evaluateEachIteration(held)
-        best = losses.index(min(losses)) + 1
-        if rounds == most or rounds - best >= patience:
-            if best < rounds:
-                model = _boosting(params | {"maxIter": best}, n).fit(seen)
-            break
-        rounds = min(most, 2 * rounds)
-    rows.unpersist()
-    return model
-
-
-def fit_boosted(train: DataFrame, holdout: DataFrame | None, params: dict = BOOSTED, positive_weight: float = 1.0,
-                patience: int = PATIENCE) -> Scorer:
-    """Boosted trees on encoded features; stops when the holdout has not improved for ``patience`` rounds."""
-    enable_checkpoints(train.sparkSession)
-    features = _encoded_features(train)
-    encoding = _encoding(train)
-    unfitted = Scorer(None, features, **encoding)
-    rows = unfitted.prepare(with_class_weight(_with_holdout(train, holdout), positive_weight))
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
-    vectors = assembler.transform(rows.select(LABEL, "weight", "is_holdout", *features)).drop(*features)
-    return Scorer(PipelineModel([assembler, _boosted(vectors, params, patience)]), features, **encoding)
+@dataclass(frozen=True)
+class TreeScorer:
+    """Boosted trees with the coding of their columns."""
 
+    quantizer: Quantizer
+    model: Model
 
-def fit_categorical(train: DataFrame, holdout: DataFrame | None, params: dict = CATEGORICAL,
-                    positive_weight: float = POSITIVE_WEIGHT, patience: int = CATEGORICAL_PATIENCE) -> Scorer:
-    """Boosted trees that split on the categories themselves; positives weigh more."""
-    enable_checkpoints(train.sparkSession)
+    def score(self, df: DataFrame) -> DataFrame:
+        """``df`` with the probability of the positive class as ``score``; other columns unchanged."""
+        return boosting.scored(df, self.quantizer, self.model)
+
+    def trees(self) -> int:
+        return len(self.model.trees)
+
+    def save(self, path: str) -> None:
+        """Write the coding and the trees below ``path``."""
+        facts = {"quantizer": asdict(self.quantizer), "settings": asdict(self.model.settings), "base": self.model.base,
+                 "trees": [t.facts() for t in self.model.trees]}
+        table = SparkSession.active().createDataFrame([(json.dumps(facts),)], "value string")
+        table.coalesce(1).write.mode("overwrite").text(f"{path}/facts")
+
+
+def load_scorer(spark: SparkSession, path: str) -> Scorer | TreeScorer:
+    """A scorer of either kind as its ``save`` wrote it."""
+    facts = json.loads(spark.read.text(f"{path}/facts").first()[0])
+    if "trees" not in facts:
+        return Scorer.load(spark, path)
+    model = Model(0, Settings(**facts["settings"]), base=facts["base"], trees=[Tree.of(t) for t in facts["trees"]])
+    return TreeScorer(Quantizer(**facts["quantizer"]), model)
+
+
+def tree_quantizer(train: DataFrame, bins: int) -> Quantizer:
+    """The coding all tree learners share: numbers, the age group by rank, and every string as a category."""
     features = feature_columns(train)
+    numbers = [c for c in numeric_columns(train) if c in features]
     categories = [c for c in string_columns(train) if c in features]
-    numbers = [c for c in features if c not in categories]
-    unfitted = Scorer(None, numbers, categories=categories)
-    rows = unfitted.prepare(with_class_weight(_with_holdout(train, holdout), positive_weight))
-    indexed = [f"{c}_index" for c in categories]
-    indexer = StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep",
-                            stringOrderType="alphabetAsc").fit(rows.where("NOT is_holdout"))
-    largest = max([len(labels) + 1 for labels in indexer.labelsArray], default=2)
-    settings = params | {"maxBins": max(params.get("maxBins", 32), largest)}
-    assembler = VectorAssembler(inputCols=numbers + indexed, outputCol="features")
-    vectors = assembler.transform(indexer.transform(rows.select(LABEL, "weight", "is_holdout", *features)))
-    vectors = vectors.select(LABEL, "weight", "is_holdout", "features")
-    return Scorer(PipelineModel([indexer, assembler, _boosted(vectors, settings, patience)]), numbers, categories=categories)
+    ordered = {"age_group": encoders.AGE_GROUPS} if "age_group" in features else {}
+    return boosting.fit_quantizer(train, numbers, categories, ordered, bins, encoders.UNKNOWN)
+
+
+def encoded_features(quantizer: Quantizer) -> tuple[np.ndarray, dict[str, tuple[float, float]]]:
+    """Columns of the boosted learner: numbers, the ranked age group, and categories ordered by their smoothed target mean."""
+    plain = len(quantizer.cuts) + len(quantizer.ordered)
+    encoded = [c for c in quantizer.values if c in encoders.TARGET_ENCODED]
+    at = [i for i, c in enumerate(quantizer.features) if i < plain or c in encoded]
+    return np.array(at, np.int64), {c: (encoders.SMOOTHING, encoders.MIN_SAMPLES) for c in encoded}
+
+
+def category_features(quantizer: Quantizer) -> np.ndarray:
+    """Columns of the learner with native categories: numbers and all categories, ordered by gradient at every node."""
+    skipped = range(len(quantizer.cuts), len(quantizer.cuts) + len(quantizer.ordered))
+    return np.array([i for i in range(len(quantizer.features)) if i not in skipped], np.int64)
+
+
+def _fit_trees(train: DataFrame, holdout: DataFrame | None, settings: Settings, encoded: bool) -> TreeScorer:
+    quantizer = tree_quantizer(train, settings.bins)
+    rows = train.withColumn("role0", F.lit(LEARNED))
+    if holdout is not None:
+        shared = [c for c in rows.columns if c in holdout.columns]
+        rows = rows.select(*shared, "role0").unionByName(holdout.select(*shared, F.lit(HELD).alias("role0")))
+    features, encode = encoded_features(quantizer) if encoded else (category_features(quantizer), {})
+    blocks = boosting.coded_blocks(rows, quantizer, LABEL, KEY, ["role0"])
+    if holdout is None:
+        settings = replace(settings, patience=0)
+    [model] = boosting.grow(blocks, quantizer, [Model(0, settings, features, encode)])
+    return TreeScorer(quantizer, model.best())
+
+
+def fit_boosted(train: DataFrame, holdout: DataFrame | None, settings: Settings = BOOSTED) -> TreeScorer:
+    """Boosted trees on encoded features; stops when the holdout has not improved for ``settings.patience`` rounds."""
+    return _fit_trees(train, holdout, settings, encoded=True)
+
+
+def fit_categorical(train: DataFrame, holdout: DataFrame | None, settings: Settings = CATEGORICAL) -> TreeScorer:
+    """Boosted trees that split on the categories themselves; positives weigh more."""
+    return _fit_trees(train, holdout, settings, encoded=False)

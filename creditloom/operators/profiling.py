@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from ..functions.lookup import lookup_join
-from ..functions.numeric import aggregate, duck_round
+from ..functions.moments import co_moments
+from ..functions.numeric import duck_round
 
 # Age bucket limits in years of 365 days, right-closed, and the overall rate drawn as a reference line.
 AGE_BUCKETS = ((25, "<25"), (35, "25-35"), (45, "35-45"), (55, "45-55"), (100, ">55"))
 AVERAGE_RATE = 0.081
 
+# Two columns with this absolute correlation say the same.
+REDUNDANT = 0.9
+
 # Raw columns already used when candidates were looked for, and the columns of the correlation matrix.
 ALREADY_USED = (
     "SK_ID_CURR TARGET NAME_CONTRACT_TYPE AMT_CREDIT AMT_ANNUITY AMT_INCOME_TOTAL AMT_GOODS_PRICE CODE_GENDER "
@@ -87,25 +89,16 @@ def rate_by_age_bucket(df: DataFrame, days_birth: str = "days_birth", label: str
     return rate_by_group(df.withColumn("age_bucket", age_bucket(days_birth)), ["age_bucket"], label, 3)
 
 
-# Pearson correlation of x and y over rows where both are known; NULL where one
-# of them is constant there. Spelled out because ``corr`` fails the job on a
-# constant column in ANSI mode.
-CORRELATION = ("covar_pop(x, y) / nullif(stddev_pop(x) FILTER (WHERE y IS NOT NULL) "
-               "* stddev_pop(y) FILTER (WHERE x IS NOT NULL), 0e0)")
-
 
 def correlations_with(df: DataFrame, label: str, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
     """Absolute Pearson correlation with the label over rows where both are known, and the share of NULLs.
 
-    Columns become rows, so that one small generated aggregate handles any
-    number of them; it combines map-side to one row per column. Rounded before
-    ranking, so that equal correlations rank by name on any partitioning.
+    Rounded before ranking, so that equal correlations rank by name on any partitioning.
     """
     cols = cols or [c for c in numeric_columns(df) if c != label]
-    doubles = df.select(F.col(label).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in cols])
-    rows = aggregate(doubles.unpivot(["y"], cols, "column_name", "x"), ["column_name"], {
-        "raw": CORRELATION, "missing_rate": "avg(int(x IS NULL))"})
-    return rows.select("column_name", F.expr(duck_round("abs(raw)", digits)).alias("abs_corr"), "missing_rate").orderBy(
+    moments = co_moments(df, cols, against=label).where(F.col("b") != label)
+    return moments.select(F.col("b").alias("column_name"), F.expr(duck_round("abs(corr)", digits)).alias("abs_corr"),
+                          F.expr("(rows - known) / nullif(rows, 0)").alias("missing_rate")).orderBy(
         F.desc_nulls_last("abs_corr"), "column_name")
 
 
@@ -114,15 +107,19 @@ def top_correlations(df: DataFrame, label: str, n: int = 20) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 2) -> DataFrame:
-    """Pearson correlation of every pair of columns, each over rows where both are known; one scan."""
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    pairs = ", ".join(f"({a}, {b}) AS `{a}|{b}`" for a, b in combinations_with_replacement(cols, 2))
-    long = df.sparkSession.sql(f"SELECT * FROM {{wide}} UNPIVOT ((x, y) FOR pair IN ({pairs}))", wide=doubles)
-    upper = aggregate(long, ["pair"], {"corr": duck_round(CORRELATION, digits)})
-    mirrored = upper.selectExpr(
-        "inline(filter(array(struct(split_part(pair, '|', 1) AS a, split_part(pair, '|', 2) AS b, corr), "
-        "struct(split_part(pair, '|', 2) AS a, split_part(pair, '|', 1) AS b, corr)), (e, i) -> i = 0 OR e.a <> e.b))")
-    return mirrored.select("a", "b", "corr")
+    """Pearson correlation of every pair of columns, each over rows where both are known."""
+    upper = co_moments(df, cols).select("a", "b", F.expr(duck_round("corr", digits)).alias("corr"))
+    return upper.unionByName(upper.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
+
+
+def column_redundancy(df: DataFrame, cols: list[str] | None = None, least: float = REDUNDANT, digits: int = 6) -> DataFrame:
+    """All pairs of numeric columns, strongest first: absolute correlation, rows where both are known, and whether one of the two
+    can be left out."""
+    pairs = co_moments(df, cols or numeric_columns(df)).where("a <> b")
+    rows = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n",
+                        F.expr(duck_round("abs(corr)", digits)).alias("abs_corr"))
+    return rows.withColumn("redundant", F.coalesce(F.col("abs_corr") >= least, F.lit(False))).orderBy(
+        F.desc_nulls_last("abs_corr"), "a", "b")
 
 
 def category_spread(df: DataFrame, label: str = "target", cols: list[str] | None = None) -> DataFrame:

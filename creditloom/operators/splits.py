@@ -16,9 +16,11 @@ from ..functions.order import hash_rank_cuts, key_hash
 SEED = 42
 
 
-def _assign(df: DataFrame, key: str, label: str, seed: int | str, ranks: dict[str, str]) -> tuple[DataFrame, Column]:
-    """Attach each stratum's cut points; returns the frame and the number of cuts a row lies beyond."""
-    cuts = hash_rank_cuts(df, key, [label], seed, ranks)
+def _assign(df: DataFrame, key: str, label: str, seed: int | str, ranks: dict[str, str],
+            among: DataFrame | None = None) -> tuple[DataFrame, Column]:
+    """Attach each stratum's cut points, found ``among`` other rows if given; returns the frame and the number of cuts a row
+    lies beyond."""
+    cuts = hash_rank_cuts(df if among is None else among, key, [label], seed, ranks)
     per_label = cuts.groupBy(label).agg(F.collect_list(F.struct("cut_hash", "cut_key")).alias("__cuts"))
     joined = lookup_join(df, per_label, [label])
     place = F.struct(key_hash(key, seed).alias("cut_hash"), F.col(key).alias("cut_key"))
@@ -55,6 +57,18 @@ def early_stop_holdout(df: DataFrame, share: float = 0.1, key: str = "loan_id",
     return joined.withColumn("is_holdout", passed == 0).drop("__cuts")
 
 
+def fold_roles(folded: DataFrame, k: int, share: float = 0.1, key: str = "loan_id", label: str = "target") -> DataFrame:
+    """Add ``role0`` to ``role{k}``: what a row of a table with ``fold`` is to the model of each fold, and to that of all rows.
+
+    0 is left out, 1 learned from, 2 held out: :func:`early_stop_holdout` of the rows outside the fold.
+    """
+    for fold in range(k + 1):
+        rest = folded.where(F.col("fold") != fold) if fold < k else folded
+        joined, passed = _assign(folded, key, label, "holdout", {"holdout": f"ceil(n * {share})"}, rest.select(key, label))
+        folded = joined.withColumn(f"role{fold}", F.when(F.col("fold") == fold, 0).when(passed == 0, 2).otherwise(1)).drop("__cuts")
+    return folded
+
+
 def split_report(split: DataFrame, label: str = "target") -> DataFrame:
     """Rows and target rate of every split."""
     return split.groupBy("split").agg(F.count("*").alias("n_rows"), F.avg(label).alias("target_rate"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -13,47 +12,52 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import learners
+from . import boosting, learners
+from .boosting import Model, Settings
 from .evaluation import auc
-from .learners import KEY, LABEL, Scorer
-from .splits import early_stop_holdout, stratified_folds
+from .learners import KEY, LABEL, TreeScorer, load_scorer
+from .splits import fold_roles, stratified_folds
 
-Fit = Callable[[DataFrame, DataFrame], Scorer]
 BASE = ("p1", "p2")
+Pair = tuple[TreeScorer, TreeScorer]
 
 
-def stacked_fits(boosted: dict = learners.STACKED_BOOSTED,
-                 categorical: dict = learners.STACKED_CATEGORICAL) -> tuple[Fit, Fit]:
-    """The two learners of the stack, both with weighted positives."""
-    weight = learners.POSITIVE_WEIGHT
-    return (lambda train, holdout: learners.fit_boosted(train, holdout, boosted, weight, learners.STACKED_PATIENCE),
-            lambda train, holdout: learners.fit_categorical(train, holdout, categorical, weight))
+@dataclass(frozen=True)
+class BaseModels:
+    """The two learners, fitted without each fold, and on all rows."""
 
+    folds: list[Pair]
+    full: Pair
 
-def _fit_with_holdout(fit: Fit, rows: DataFrame) -> Scorer:
-    """Fit on 90% of the rows of each stratum, stopping on the rest."""
-    marked = early_stop_holdout(rows)
-    return fit(marked.where("NOT is_holdout"), marked.where("is_holdout"))
 
+def fit_bases(train: DataFrame, k: int = 5, boosted: Settings = learners.STACKED_BOOSTED,
+              categorical: Settings = learners.STACKED_CATEGORICAL) -> BaseModels:
+    """All ``2 * (k + 1)`` models at once, on one coded table: they differ by the role of a row and their settings.
 
-def _both(df: DataFrame, first: Scorer, second: Scorer) -> DataFrame:
+    Each stops on a tenth of its own rows; encoded categories follow each model's own rows as well.
+    """
+    roles = fold_roles(stratified_folds(train, k), k)
+    quantizer = learners.tree_quantizer(train, max(boosted.bins, categorical.bins))
+    blocks = boosting.coded_blocks(roles, quantizer, LABEL, KEY, [f"role{i}" for i in range(k + 1)])
+    features, encode = learners.encoded_features(quantizer)
+    models = [Model(i, boosted, features, encode) for i in range(k + 1)]
+    models += [Model(i, categorical, learners.category_features(quantizer)) for i in range(k + 1)]
+    boosting.grow(blocks, quantizer, models)
+    scorers = [TreeScorer(quantizer, m.best()) for m in models]
+    pairs = list(zip(scorers[:k + 1], scorers[k + 1:]))
+    return BaseModels(pairs[:k], pairs[k])
+
+
+def _both(df: DataFrame, pair: Pair) -> DataFrame:
     """``df`` with the probabilities of both learners."""
-    one = first.score(df).withColumnRenamed("score", BASE[0])
-    return second.score(one).withColumnRenamed("score", BASE[1])
+    one = pair[0].score(df).withColumnRenamed("score", BASE[0])
+    return pair[1].score(one).withColumnRenamed("score", BASE[1])
 
 
-def out_of_fold(train: DataFrame, fits: tuple[Fit, Fit], k: int = 5) -> DataFrame:
-    """Every row scored by models that did not see it: ``loan_id, target, fold, p1, p2``.
-
-    Encoders and early stopping are fitted inside each fold as well. Folds are
-    fitted one after the other, each as distributed jobs.
-    """
-    folded = stratified_folds(train, k)
-    parts = []
-    for fold in range(k):
-        rest = folded.where(F.col("fold") != fold).drop("fold")
-        scorers = [_fit_with_holdout(fit, rest) for fit in fits]
-        parts.append(_both(folded.where(F.col("fold") == fold), *scorers).select(KEY, LABEL, "fold", *BASE))
+def out_of_fold(train: DataFrame, bases: BaseModels) -> DataFrame:
+    """Every row scored by models that did not see it: ``loan_id, target, fold, p1, p2``."""
+    folded = stratified_folds(train, len(bases.folds))
+    parts = [_both(folded.where(F.col("fold") == fold), pair).select(KEY, LABEL, "fold", *BASE) for fold, pair in enumerate(bases.folds)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -75,13 +79,13 @@ def fit_meta(oof: DataFrame) -> PipelineModel:
 
 @dataclass(frozen=True)
 class StackedScorer:
-    first: Scorer
-    second: Scorer
+    first: TreeScorer
+    second: TreeScorer
     meta: PipelineModel
 
     def score(self, df: DataFrame) -> DataFrame:
         """``df`` with the stacked probability as ``score``."""
-        based = _both(df, self.first, self.second)
+        based = _both(df, (self.first, self.second))
         scored = self.meta.transform(based)
         kept = [c for c in df.columns if c != "score"]
         return scored.select(*kept, vector_to_array("probability")[1].alias("score"))
@@ -96,11 +100,10 @@ class StackedScorer:
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> StackedScorer:
-        return StackedScorer(Scorer.load(spark, f"{path}/first"), Scorer.load(spark, f"{path}/second"),
+        return StackedScorer(load_scorer(spark, f"{path}/first"), load_scorer(spark, f"{path}/second"),
                              PipelineModel.load(f"{path}/meta"))
 
 
-def fit_stack(train: DataFrame, oof: DataFrame, fits: tuple[Fit, Fit]) -> StackedScorer:
-    """Base models refitted on all training rows with the settings of the folds, and the meta model."""
-    first, second = (_fit_with_holdout(fit, train) for fit in fits)
-    return StackedScorer(first, second, fit_meta(oof))
+def fit_stack(bases: BaseModels, oof: DataFrame) -> StackedScorer:
+    """The base models of all training rows and the meta model."""
+    return StackedScorer(*bases.full, fit_meta(oof))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import duck_round
 from ..operators import (application, balances, bureau, encoders, evaluation, importance, installments, learners,
                          previous, profiling, quality, scoring, splits, stacking, tuning)
-from ..session import scratch_path
+from ..session import written
 from ..sources.schemas import RAW_TABLES
 from ..sources.standins import given_table, read_standin
 from .mart import STAGED, credit_mart, ordered_mart, staged
@@ -26,9 +26,6 @@ COEFFICIENTS = {
     "ratio_annuity_income": 0.8, "cnt_children": 0.1,
 }
 
-# The published settings; the stack fits twelve models and the search 125.
-FITS = stacking.stacked_fits()
-
 # Names of staged tables as the declared checks use them.
 CHECKED_AS = {
     "application": "stg_application_train", "bureau": "stg_bureau", "bureau_balance": "stg_bureau_balance",
@@ -100,13 +97,17 @@ class Tables:
     def part_of_mart(self, split: str) -> DataFrame:
         return self.split_mart.where(F.col("split") == split).drop("split")
 
+    @cached_property
+    def bases(self) -> stacking.BaseModels:
+        return stacking.fit_bases(self.part_of_mart("train"))
+
     @cached_property
     def oof(self) -> DataFrame:
-        return written(stacking.out_of_fold(self.part_of_mart("train"), FITS), "oof")
+        return written(stacking.out_of_fold(self.part_of_mart("train"), self.bases), "oof")
 
     @cached_property
     def stack(self) -> stacking.StackedScorer:
-        return stacking.fit_stack(self.part_of_mart("train"), self.oof, FITS)
+        return stacking.fit_stack(self.bases, self.oof)
 
 
 def _scan_tables(t: Tables) -> DataFrame:
@@ -117,13 +118,6 @@ def _scan_tables(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: later work does not depend on its lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _checked_tables(t: Tables) -> dict[str, DataFrame]:
     raw = {name: t.raw(name) for name in RAW_TABLES}
     stg = {CHECKED_AS[name]: t.stg(name) for name in STAGED}
@@ -249,7 +243,12 @@ def _tune_cv(t: Tables) -> DataFrame:
 
 def _importance_permutation(t: Tables) -> DataFrame:
     table = t.part_of_mart("test")
-    return importance.permutation_importance(table, t.stack.second.score, learners.feature_columns(table))
+    return importance.permutation_importance(table, t.bases.full[1].score, learners.feature_columns(table))
+
+
+def _importance_tree(t: Tables) -> DataFrame:
+    """Contributions of the stack's boosted learner on the test rows."""
+    return importance.tree_importance(t.part_of_mart("test"), t.bases.full[0])
 
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -320,6 +319,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rate_by_age_bucket": lambda t: profiling.rate_by_age_bucket(t.stg("application")),
     "top_correlations": lambda t: profiling.top_correlations(t.raw("application_train"), "TARGET"),
     "corr_matrix": lambda t: profiling.corr_matrix(t.raw("application_train"), profiling.KEY_FEATURES),
+    "column_redundancy": lambda t: profiling.column_redundancy(t.raw("application_train")),
     "category_spread": lambda t: settled(
         profiling.category_spread(t.raw("application_train"), "TARGET"), {"spread": 9}),
     "density_histogram": lambda t: settled(profiling.density_histogram(
@@ -350,6 +350,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stacking_score": _stacking_score,
     "tune_cv": _tune_cv,
     "importance_permutation": _importance_permutation,
+    "importance_tree": _importance_tree,
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from creditloom.operators.profiling import ALREADY_USED, KEY_FEATURES
 from creditloom.operators.quality import DECLARED
 from creditloom.operators.scoring import DEFAULTS, REQUIRED
@@ -159,6 +161,9 @@ CORR = " UNION ALL ".join(
 MATRIX = " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS raw FROM raw_application_train"
     for a in KEY_FEATURES for b in KEY_FEATURES)
+REDUNDANCY = "SELECT unnest([" + ", ".join(
+    f"{{'a': '{min(a, b)}', 'b': '{max(a, b)}', 'n': CAST(regr_count({a}, {b}) AS BIGINT), 'raw': abs(corr({a}, {b}))}}"
+    for a, b in combinations(NUMERIC, 2)) + "], recursive := true) FROM raw_application_train"
 SPREAD = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, round(max(r) - min(r), 9) AS spread, count(*) AS n_categories FROM "
     f"(SELECT avg(TARGET) AS r FROM raw_application_train WHERE {c} IS NOT NULL GROUP BY {c})" for c in TEXT)
@@ -258,6 +263,8 @@ FINAL: dict[str, str] = {
     "top_correlations": f"SELECT column_name, CASE WHEN NOT isnan(raw) THEN round(raw, 6) END AS abs_corr, missing_rate "
                         f"FROM ({CORR}) ORDER BY abs_corr DESC NULLS LAST, column_name LIMIT 20",
     "corr_matrix": f"SELECT a, b, CASE WHEN NOT isnan(raw) THEN round(raw, 2) END AS corr FROM ({MATRIX})",
+    "column_redundancy": "SELECT a, b, n, abs_corr, ifnull(abs_corr >= 0.9, false) AS redundant FROM (SELECT a, b, n, "
+                         f"CASE WHEN NOT isnan(raw) THEN round(raw, 6) END AS abs_corr FROM ({REDUNDANCY}))",
     "category_spread": SPREAD,
     "density_histogram": """
         SELECT * FROM (WITH k AS (SELECT TARGET, EXT_SOURCE_2 AS x FROM raw_application_train

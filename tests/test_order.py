@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import statistics
 
 import pytest
@@ -74,15 +75,17 @@ def test_running_totals(spark, edges):
         assert {r["n_total"] for r in mine} == {total} and len(mine) == 200
 
 
-@pytest.mark.parametrize("direct_rows", [1_000_000, 50, 1])
-def test_medians(spark, direct_rows):
-    values = [((i * 7919) % 10_007) / 7 for i in range(3_001)]
-    skewed = [0.0 if i % 3 else float(i) for i in range(3_001)]
+def test_medians(spark):
+    rng = random.Random(3)
+    values = [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 9) for _ in range(3_001)]
+    skewed = [0.0 if i % 3 else -float(i) for i in range(3_001)]
     holes = [None if i % 4 == 0 else float(i % 10) for i in range(3_001)]
-    df = spark.createDataFrame(list(zip(values, skewed, holes, [None] * 3_001)), "a double, b double, c double, d double")
-    got = exact_medians(df, ["a", "b", "c", "d"], direct_rows)
-    assert got == {"a": statistics.median(values), "b": statistics.median(skewed),
-                   "c": statistics.median(v for v in holes if v is not None), "d": None}
+    even = [None] * 2_999 + [-0.0, 5e-324]
+    wide = [math.inf if i % 2 else -1e300 for i in range(3_001)]
+    named = {"a": values, "b": skewed, "c": holes, "d": [None] * 3_001, "e": even, "f": wide, "g": [-v for v in values]}
+    df = spark.createDataFrame(list(zip(*named.values())), ", ".join(f"{c} double" for c in named)).repartition(4)
+    got = exact_medians(df, list(named))
+    assert got == {c: statistics.median(v for v in vs if v is not None) if c != "d" else None for c, vs in named.items()}
 
 
 def test_lookup_join_beyond_the_size_limit(rows):

@@ -9,8 +9,8 @@ serves the next level of the current tree of every model.
 A pass adds up gradients, Hessians and rows per open node, feature and bin;
 each task adds up all its blocks first, and only these sums are shuffled. The
 driver receives the best split of every open node, extends the trees and decides
-about patience. A model's margins are carried in the state: the trees grown
-since the state was written are applied on top, and every ``CARRY`` passes the
+about patience. Where one block has all rows, its task extends a tree to its end. A model's margins are carried in the state: the trees grown
+since the state was written are applied on top, and after ``CARRY`` of them the
 state is written anew, so the work of a round does not grow with the rounds
 before it. Gradients are rounded to multiples of 2^-20 and the values of leaves to
 2^-30, which makes all sums exact and the trees independent of how rows are dealt
@@ -36,7 +36,7 @@ from ..session import written
 UNUSED, LEARNED, HELD = 0, 1, 2
 GRID, VALUE_GRID = float(1 << 20), float(1 << 30)
 BLOCK_ROWS = 32_768
-CARRY = 64
+CARRY = 8
 MAX_CATEGORIES = 60_000
 LEAST_HESSIAN = 1e-3
 
@@ -266,12 +266,11 @@ def _sampled(hashes: np.ndarray, share: float, seed: int, number: int) -> np.nda
 
 @dataclass
 class Request:
-    """What one model wants from a pass: sums at the open nodes of its current tree, and the loss of its holdout."""
+    """What one model wants from a pass: splits at the open nodes of its growing tree, and the loss of its holdout."""
 
     number: int
     model: Model  # trees: those the state's margins do not hold yet
-    tree: Tree
-    nodes: list[int]
+    growth: Growth
     features: np.ndarray
     round: int
     loss: bool
@@ -285,23 +284,29 @@ def _offsets(sizes: np.ndarray) -> np.ndarray:
 def _add_block(sums: dict, request: Request, codes: np.ndarray, labels: np.ndarray, hashes: np.ndarray, role: np.ndarray,
                margin: np.ndarray, sizes: np.ndarray) -> None:
     """Add one block's sums per node, feature and code, and its holdout loss, to those of the task."""
-    settings = request.model.settings
-    weight = np.where(labels == 1, settings.positive_weight, 1.0)
     if request.loss:
         held = role == HELD
         y, m = labels[held].astype(np.float64), margin[held]
-        losses = weight[held] * (np.logaddexp(0.0, m) - y * m)
+        losses = np.where(y == 1, request.model.settings.positive_weight, 1.0) * (np.logaddexp(0.0, m) - y * m)
         found = np.array([np.rint(losses * GRID).sum(), held.sum()])
         sums[request.number, -1] = sums.get((request.number, -1), 0) + found
-    if not request.nodes:
+    _add_splits(sums, request, codes, labels, hashes, role, margin, sizes)
+
+
+def _add_splits(sums: dict, request: Request, codes: np.ndarray, labels: np.ndarray, hashes: np.ndarray, role: np.ndarray,
+                margin: np.ndarray, sizes: np.ndarray) -> None:
+    """The sums of the open nodes."""
+    settings, tree, nodes = request.model.settings, request.growth.tree, request.growth.nodes
+    if not nodes:
         return
+    weight = np.where(labels == 1, settings.positive_weight, 1.0)
     learned = role == LEARNED
     if not request.statistics and settings.row_share < 1:
         learned &= _sampled(hashes, settings.row_share, settings.seed, request.round // settings.row_every)
-    place = np.full(len(request.tree.feature), -1)
-    place[request.nodes] = np.arange(len(request.nodes))
+    place = np.full(len(tree.feature), -1)
+    place[nodes] = np.arange(len(nodes))
     rows = np.flatnonzero(learned)
-    at = place[request.tree.leaves(codes[rows])]
+    at = place[tree.leaves(codes[rows])]
     rows, at = rows[at >= 0], at[at >= 0]
     if request.statistics:
         g, h = labels[rows].astype(np.float64), np.ones(len(rows))
@@ -313,11 +318,11 @@ def _add_block(sums: dict, request: Request, codes: np.ndarray, labels: np.ndarr
     width, count = int(chosen.sum()), len(request.features)
     cells = codes[rows][:, request.features].astype(np.int64) + _offsets(chosen) + (at * width)[:, None]
     cells = cells.ravel()
-    total = len(request.nodes) * width
+    total = len(nodes) * width
     found = np.stack([np.bincount(cells, np.repeat(g, count), total), np.bincount(cells, np.repeat(h, count), total),
                       np.bincount(cells, minlength=total)])
-    found = found.reshape(3, len(request.nodes), width)
-    for i, node in enumerate(request.nodes):
+    found = found.reshape(3, len(nodes), width)
+    for i, node in enumerate(nodes):
         before = sums.get((request.number, node))
         sums[request.number, node] = found[:, i] if before is None else before + found[:, i]
 
@@ -337,18 +342,24 @@ def best_split(sums: np.ndarray, request: Request, sizes: np.ndarray, categorica
     """The best split of one node from its sums of gradients, Hessians and rows; without ``feature`` if none gains enough."""
     s, chosen = request.model.settings, sizes[request.features]
     starts = _offsets(chosen)
-    g, h, n = sums[0] / GRID, sums[1] / GRID, sums[2]
     first = slice(0, int(chosen[0]))
-    total = (float(g[first].sum()), float(h[first].sum()), float(n[first].sum()))
+    total = (float(sums[0][first].sum()) / GRID, float(sums[1][first].sum()) / GRID, float(sums[2][first].sum()))
     out = {"total": total}
-    order = np.arange(len(g))
+    order = np.arange(sums.shape[1])
+    full, held = starts, sums[2] > 0
+    held[starts] = True
     for i in np.flatnonzero(categorical[request.features]).tolist():
         f, segment = int(request.features[i]), slice(int(starts[i]), int(starts[i] + chosen[i]))
         inside = request.model.orders.get(f)
         if inside is None:
-            inside = np.argsort(g[segment] / (h[segment] + 1.0), kind="stable")
+            inside = np.argsort(sums[0][segment] / (sums[1][segment] + GRID), kind="stable")
         order[segment] = starts[i] + inside
-    g, h, n = g[order], h[order], n[order]
+        held[segment] = True
+    # A cut behind an empty bin is that before it: bins of numbers without rows are left out of the scan.
+    order = order[held]
+    chosen = np.add.reduceat(held, starts, dtype=np.int64)
+    starts = _offsets(chosen)
+    g, h, n = sums[0][order] / GRID, sums[1][order] / GRID, sums[2][order]
 
     def running(x: np.ndarray) -> np.ndarray:
         upto = np.cumsum(x)
@@ -378,25 +389,57 @@ def best_split(sums: np.ndarray, request: Request, sizes: np.ndarray, categorica
         return out
     gain, at, missing_left, one = best
     i = int(np.searchsorted(starts, at, "right")) - 1
-    out |= {"gain": gain, "feature": int(request.features[i]), "threshold": int(at - starts[i]), "missing_left": missing_left, "left": one}
+    out |= {"gain": gain, "feature": int(request.features[i]), "threshold": int(order[at] - full[i]), "missing_left": missing_left, "left": one}
     if categorical[request.features[i]]:
         codes = np.zeros(int(chosen[i]), bool)
-        codes[order[starts[i]:at + 1] - starts[i]] = True
+        codes[order[starts[i]:at + 1] - full[i]] = True
         out["left_codes"] = codes
     return out
 
 
+@dataclass
+class Growth:
+    """A tree that is growing: its open nodes, levels and leaves so far."""
+
+    tree: Tree = field(default_factory=Tree)
+    nodes: list[int] = field(default_factory=lambda: [0])
+    depth: int = 0
+    leaves: int = 1
+
+    def extend(self, splits: dict[int, dict], s: Settings) -> None:
+        """Split the open nodes, best gains first, and open their children."""
+        tree = self.tree
+        if tree.feature == [-1] and 0 in splits:
+            g, h, n = splits[0]["total"]
+            tree.value[0], tree.cover[0] = leaf_value(g, h, s), n
+        following = []
+        for node, split in sorted(((n, x) for n, x in splits.items() if "feature" in x), key=lambda x: (-x[1]["gain"], x[0])):
+            if self.leaves >= s.leaves:
+                break
+            self.leaves += 1
+            total, left = split["total"], split["left"]
+            right = tuple(a - b for a, b in zip(total, left))
+            children = [tree.add_leaf(leaf_value(g, h, s), n) for g, h, n in (left, right)]
+            tree.feature[node], tree.threshold[node], tree.missing_left[node] = split["feature"], split["threshold"], split["missing_left"]
+            tree.left[node], tree.right[node] = children
+            if "left_codes" in split:
+                tree.left_codes[node] = split["left_codes"]
+            following += [c for c in children if tree.cover[c] >= 2 * max(s.min_rows, 1)]
+        self.depth += 1
+        self.nodes = following if self.depth < s.depth and self.leaves < s.leaves else []
+
+
 def _run_pass(state: DataFrame, requests: list[list[Request]], sizes: np.ndarray, categorical: np.ndarray, whole: bool) -> dict:
     """Answers of one pass by (model, node): a split, the holdout's loss (node -1), or plain sums of statistics.
 
-    ``whole`` says that every model's rows lie in one block: sums are complete in
-    the task and need no shuffle.
+    ``whole`` says that every model's rows lie in one block: sums are complete in the
+    task and need no shuffle, and the task goes on to the end of the tree (node -2).
     """
     by_number = {r.number: r for group in requests for r in group}
 
     def answer(number: int, node: int, sums: np.ndarray) -> bytes:
         request = by_number[number]
-        plain = node < 0 or request.statistics
+        plain = node < 0 or request.statistics or isinstance(sums, Growth)
         return pickle.dumps(sums if plain else best_split(sums, request, sizes, categorical))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,7 +457,15 @@ def _run_pass(state: DataFrame, requests: list[list[Request]], sizes: np.ndarray
                     margin = own.margins(codes) if not request.statistics else np.zeros(n)
                     if margins is not None:
                         margin = margin + margins[:, _column(request.number, len(requests))]
-                    _add_block(sums, request, codes, labels, hashes, roles[:, model.role], margin, sizes)
+                    role = roles[:, model.role]
+                    _add_block(sums, request, codes, labels, hashes, role, margin, sizes)
+                    if whole and not request.statistics:
+                        growth = request.growth
+                        while growth.nodes:
+                            growth.extend({n: best_split(sums.pop((request.number, n)), request, sizes, categorical)
+                                           for n in growth.nodes if (request.number, n) in sums}, model.settings)
+                            _add_splits(sums, request, codes, labels, hashes, role, margin, sizes)
+                        sums[request.number, -2] = growth
         keys = list(sums)
         content = [answer(m, node, sums[m, node]) if whole else np.asarray(sums[m, node], np.float64).tobytes() for m, node in keys]
         yield pa.RecordBatch.from_arrays([pa.array([m for m, _ in keys], pa.int32()), pa.array([n for _, n in keys], pa.int32()),
@@ -440,7 +491,7 @@ def _column(number: int, groups: int) -> int:
 
 
 class _Grower:
-    """The driver's side of one model: its current tree, open nodes and patience."""
+    """The driver's side of one model: its current tree and patience."""
 
     def __init__(self, number: int, model: Model, sizes: np.ndarray) -> None:
         self.number, self.model = number, model
@@ -452,12 +503,11 @@ class _Grower:
     def _start(self) -> None:
         """Open the next tree, or only ask for the last loss where no round is left."""
         s = self.model.settings
-        self.tree, self.depth, self.leaves = Tree(), 0, 1
         self.round = len(self.model.trees)
         full = self.round >= s.rounds
         if full and not s.patience:
             self.done = True
-        self.nodes = [] if full else [0]
+        self.growth = Growth(nodes=[] if full else [0])
         share = max(1, math.ceil(s.feature_share * len(self.able)))
         rng = np.random.Generator(np.random.Philox(key=[s.seed, self.round]))
         self.features = np.sort(rng.permutation(self.able)[:share])
@@ -465,11 +515,11 @@ class _Grower:
 
     def request(self) -> Request:
         recent = replace(self.model, trees=self.model.trees[self.carried:], losses=[])
-        return Request(self.number, recent, self.tree, self.nodes, self.features, self.round, self.asks_loss)
+        return Request(self.number, recent, self.growth, self.features, self.round, self.asks_loss)
 
     def take(self, answers: dict) -> None:
-        """Judge the holdout's loss, then split the open nodes, best gains first."""
-        s, tree = self.model.settings, self.tree
+        """Judge the holdout's loss, then split the open nodes."""
+        s = self.model.settings
         if self.asks_loss:
             total, held = answers.get((self.number, -1), (0.0, 0))
             self.asks_loss = False
@@ -477,30 +527,15 @@ class _Grower:
                 self.model.losses.append(total / GRID / held)
                 if self.round - self.model.best_rounds() >= s.patience:
                     self.done = True
-        if self.done or not self.nodes:
+        if self.done or not self.growth.nodes:
             self.done = True
             return
-        splits = [(answers[self.number, n], n) for n in self.nodes if (self.number, n) in answers]
-        if tree.feature == [-1] and splits:
-            g, h, n = splits[0][0]["total"]
-            tree.value[0], tree.cover[0] = leaf_value(g, h, s), n
-        following = []
-        for split, node in sorted((x for x in splits if "feature" in x[0]), key=lambda x: (-x[0]["gain"], x[1])):
-            if self.leaves >= s.leaves:
-                break
-            self.leaves += 1
-            total, left = split["total"], split["left"]
-            right = tuple(a - b for a, b in zip(total, left))
-            children = [tree.add_leaf(leaf_value(g, h, s), n) for g, h, n in (left, right)]
-            tree.feature[node], tree.threshold[node], tree.missing_left[node] = split["feature"], split["threshold"], split["missing_left"]
-            tree.left[node], tree.right[node] = children
-            if "left_codes" in split:
-                tree.left_codes[node] = split["left_codes"]
-            following += [c for c in children if tree.cover[c] >= 2 * max(s.min_rows, 1)]
-        self.depth += 1
-        self.nodes = following if self.depth < s.depth and self.leaves < s.leaves else []
-        if not self.nodes:
-            self.model.trees.append(tree)
+        if (self.number, -2) in answers:
+            self.growth = answers[self.number, -2]
+        else:
+            self.growth.extend({n: answers[self.number, n] for n in self.growth.nodes if (self.number, n) in answers}, s)
+        if not self.growth.nodes:
+            self.model.trees.append(self.growth.tree)
             self._start()
 
 
@@ -512,7 +547,7 @@ def _statistics(state: DataFrame, models: list[Model], groups: int, quantizer: Q
     wanted = np.array([names.index(c) for c in encoded] or [0])
     requests: list[list[Request]] = [[] for _ in range(groups)]
     for number, model in enumerate(models):
-        requests[number % groups].append(Request(number, model, Tree(), [0], wanted, 0, False, statistics=True))
+        requests[number % groups].append(Request(number, model, Growth(), wanted, 0, False, statistics=True))
     answers = _run_pass(state, requests, sizes, categorical, whole)
     for number, model in enumerate(models):
         if (number, 0) not in answers:
@@ -555,7 +590,6 @@ def grow(blocks: DataFrame, quantizer: Quantizer, models: list[Model]) -> list[M
     if any(not m.trees for m in models):
         _statistics(state, [m if not m.trees else replace(m, orders={}) for m in models], groups, quantizer, whole)
     growers = [_Grower(i, m, sizes) for i, m in enumerate(models)]
-    passes = 0
     while active := [g for g in growers if not g.done]:
         requests: list[list[Request]] = [[] for _ in range(groups)]
         for grower in active:
@@ -563,8 +597,7 @@ def grow(blocks: DataFrame, quantizer: Quantizer, models: list[Model]) -> list[M
         answers = _run_pass(state, requests, sizes, categorical, whole)
         for grower in active:
             grower.take(answers)
-        passes += 1
-        if passes % CARRY == 0:
+        if max(len(g.model.trees) - g.carried for g in active) >= CARRY:
             state = _carried(state, growers, groups, fields)
     state.unpersist()
     return models

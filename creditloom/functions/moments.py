@@ -1,7 +1,8 @@
-"""Co-moments of all column pairs, each over the rows where both are known, from one scan without expanding rows."""
+"""Moments of many columns, and co-moments of all their pairs over the rows where both are known, without expanding rows."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,28 @@ from .numeric import named
 NOTHING = 1e-13
 
 
+def column_moments(df: DataFrame, cols: list[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Mean and population standard deviation of every column over its known values."""
+    doubles = df.select(*[F.expr(f"CAST(`{c}` AS DOUBLE)").alias(c) for c in cols])
+    means = doubles.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    shift = np.array([0.0 if means[c] is None else means[c] for c in cols])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, s, q = (np.zeros(len(cols)) for _ in range(3))
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                x = column.drop_null().to_numpy(zero_copy_only=False).astype(np.float64) - shift[i]
+                n[i], s[i], q[i] = n[i] + len(x), s[i] + x.sum(), q[i] + x @ x
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cols))), *[pa.array(x) for x in (n, s, q)]], names=["i", "n", "s", "q"])
+
+    sums = doubles.mapInArrow(add, "i long, n double, s double, q double").groupBy("i").agg(*[F.sum(c).alias(c) for c in "nsq"])
+    out: dict[str, tuple[float | None, float | None]] = dict.fromkeys(cols, (None, None))
+    for r in sums.where("n > 0").collect():  # one row per column
+        spread = r["q"] - r["s"] ** 2 / r["n"]
+        out[cols[r["i"]]] = (float(shift[r["i"]] + r["s"] / r["n"]), math.sqrt(spread / r["n"]) if spread > NOTHING * r["q"] else 0.0)
+    return out
+
+
 def co_moments(df: DataFrame, cols: list[str], against: str | None = None) -> DataFrame:
     """``a, b, n, known, rows, corr`` for every pair a <= b in the order of ``cols``, or for ``against`` and every column.
 

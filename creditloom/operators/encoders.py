@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.lookup import fitted, fitted_join
-from ..functions.numeric import aggregate
-from ..functions.order import exact_medians
+from ..functions.moments import column_moments
+from ..functions.order import exact_medians, key_hash
 from .profiling import string_columns
 
 # Order of the age groups, target-encoded columns and the constants of the blend.
@@ -66,6 +67,34 @@ def fit_target_encoder(df: DataFrame, label: str = "target", cols: list[str] | N
     return TargetEncoder(small, prior, cols, pinned)
 
 
+def ordered_target_stats(df: DataFrame, cols: list[str] | None = None, key: str = "loan_id", label: str = "target",
+                         prior_rows: float = 1.0, seed: int | str = 42, rows_per_cell: int = 50_000) -> DataFrame:
+    """``key, column_name, encoded``: the label's mean over the rows of the same category that come earlier in a hash order.
+
+    The overall mean counts as ``prior_rows`` rows more; no row sees its own label.
+    Rows are summed in cells of the hash, whose number follows from the row count, and
+    a cell starts from the totals of those before it: a category may hold any share of
+    the rows. NULL is a category of its own.
+    """
+    cols = TARGET_ENCODED if cols is None else cols
+    rows = df.where(F.col(label).isNotNull()).select(F.col(key).alias("k"), F.col(label).alias("y"), key_hash(key, seed).alias("h"), *cols)
+    n, prior = rows.agg(F.count("*"), F.avg("y")).first()
+    digits = 1
+    while 16 ** digits * rows_per_cell < n:
+        digits += 1
+    long = rows.withColumn("cell", F.substring("h", 1, digits)).unpivot(["k", "y", "h", "cell"], cols, "column_name", "category")
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    earlier = before.partitionBy("column_name", "category").orderBy("cell")
+    cells = long.groupBy("column_name", "category", "cell").agg(F.sum("y").alias("s"), F.count("*").alias("m")).select(
+        F.col("column_name").alias("__n"), F.col("category").alias("__c"), F.col("cell").alias("__cell"),
+        F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s_before"), F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("n_before"))
+    met = long.join(cells, F.expr("column_name = __n AND category <=> __c AND cell = __cell"))
+    inside = before.partitionBy("column_name", "category", "cell").orderBy("h", "k")
+    seen = F.col("s_before") + F.coalesce(F.sum("y").over(inside), F.lit(0))
+    rows_seen = F.col("n_before") + F.count("*").over(inside)
+    return met.select(F.col("k").alias(key), "column_name", ((seen + F.lit(prior) * prior_rows) / (rows_seen + prior_rows)).alias("encoded"))
+
+
 def fill_unknown(df: DataFrame, cols: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
     """Fill missing categories with a fixed name and bring the columns into a given order."""
     filled = df.na.fill(UNKNOWN, cols or string_columns(df))
@@ -90,11 +119,8 @@ def impute_median(df: DataFrame, medians: ColumnValues) -> DataFrame:
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> ColumnValues:
-    """Mean and population standard deviation of every column; columns become rows of one aggregate."""
-    doubles = df.select(*[F.expr(f"CAST({c} AS DOUBLE) AS {c}") for c in cols])
-    rows = aggregate(doubles.unpivot([], cols, "name", "x"), ["name"], {"mean": "avg(x)", "sd": "stddev_pop(x)"})
-    found = {r["name"]: (r["mean"], r["sd"]) for r in rows.collect()}
-    return ColumnValues({c: found.get(c, (None, None)) for c in cols})
+    """Mean and population standard deviation of every column."""
+    return ColumnValues(column_moments(df, cols))
 
 
 def standardize(df: DataFrame, scaler: ColumnValues) -> DataFrame:

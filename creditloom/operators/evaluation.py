@@ -27,15 +27,18 @@ def judged(scored: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- ranking curves
 
-def _score_counts(scored: DataFrame, by: list[str]) -> DataFrame:
-    """Positives and negatives per distinct score; combined map-side before the shuffle."""
+def score_counts(scored: DataFrame, by: list[str]) -> DataFrame:
+    """Positives and negatives per distinct score; combined map-side before the shuffle.
+
+    Every metric follows from these counts; written once, they stand for the scores.
+    """
     return judged(scored).groupBy(*by, "score").agg(
         F.count_if(F.col("target") == 1).alias("pos"), F.count_if(F.col("target") == 0).alias("neg"))
 
 
 def _cumulative(scored: DataFrame, by: list[str] = (), neighbours: bool = False) -> DataFrame:
     edges = quantile_edges(judged(scored), "score", default_cells(scored))
-    return running_totals(_score_counts(scored, list(by)), "score", ["pos", "neg"], by=list(by), edges=edges,
+    return running_totals(score_counts(scored, list(by)), "score", ["pos", "neg"], by=list(by), edges=edges,
                           last=["pos", "neg"] if neighbours else [])
 
 
@@ -45,10 +48,10 @@ def auc(scored: DataFrame, by: list[str] = (), min_rows: int = 0) -> DataFrame:
     Pairs are won inside score cells first, then between cells, over one row per
     cell. They are counted in decimals: exact up to the last division.
     """
-    return _auc_of_counts(_score_counts(scored, list(by)), list(by), min_rows)
+    return auc_of_counts(score_counts(scored, list(by)), list(by), min_rows)
 
 
-def _auc_of_counts(counts: DataFrame, by: list[str], min_rows: int) -> DataFrame:
+def auc_of_counts(counts: DataFrame, by: list[str], min_rows: int) -> DataFrame:
     counts = with_cells(counts, "score", quantile_edges(counts, "score", default_cells(counts)))
     inside = W.partitionBy(*by, "cell").orderBy("score").rowsBetween(W.unboundedPreceding, 0)
     before = W.partitionBy(*by).orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
@@ -68,11 +71,22 @@ def _auc_of_counts(counts: DataFrame, by: list[str], min_rows: int) -> DataFrame
 def auc_by_group(scored: DataFrame, group: str = "gender_clean", groups: tuple[str, ...] = GROUPS,
                  min_rows: int = MIN_GROUP_ROWS) -> DataFrame:
     """AUC of every audited group with enough rows, and of the audited rows together (``all``)."""
-    counts = _score_counts(scored.where(F.col(group).isin(*groups)), [group])
-    once = F.explode(F.array(F.col(group), F.lit("all"))).alias(group)
-    both = counts.select("score", "pos", "neg", once).groupBy(group, "score").agg(
+    counts = score_counts(scored.where(F.col(group).isin(*groups)), [group])
+    return auc_of_counts(_also(counts, group, F.array(F.col(group), F.lit("all"))), [group], min_rows)
+
+
+def _also(counts: DataFrame, group: str, groups: Column) -> DataFrame:
+    """Counts per score of all ``groups`` that a row is in."""
+    return counts.select("score", "pos", "neg", F.explode(groups).alias(group)).groupBy(group, "score").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    return _auc_of_counts(both, [group], min_rows)
+
+
+def aucs_of_counts(counts: DataFrame, group: str = "gender_clean", groups: tuple[str, ...] = GROUPS,
+                   everyone: str = "*") -> DataFrame:
+    """AUC of all rows (``everyone``), of the audited groups, and of the audited rows together (``all``)."""
+    audited = F.col(group).isin(*groups)
+    both = F.when(audited, F.array(F.col(group), F.lit("all"), F.lit(everyone))).otherwise(F.array(F.lit(everyone)))
+    return auc_of_counts(_also(counts, group, both), [group], 0)
 
 
 def roc_curve(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
@@ -128,9 +142,17 @@ def threshold_sweep(scored: DataFrame) -> DataFrame:
     One pass counts rows per interval between thresholds; the sums over the
     intervals above a threshold then run over at most 99 rows.
     """
-    met = judged(scored).groupBy(_thresholds_met(F.col("score")).alias("step")).agg(
-        F.count_if(F.col("target") == 1).alias("pos"), F.count_if(F.col("target") == 0).alias("neg"))
-    steps = scored.sparkSession.range(LAST_THRESHOLD + 1).select(F.col("id").cast("int").alias("step"))
+    return _swept(judged(scored).groupBy(_thresholds_met(F.col("score")).alias("step")).agg(
+        F.count_if(F.col("target") == 1).alias("pos"), F.count_if(F.col("target") == 0).alias("neg")))
+
+
+def sweep_of_counts(counts: DataFrame) -> DataFrame:
+    """:func:`threshold_sweep` from counts per score."""
+    return _swept(counts.groupBy(_thresholds_met(F.col("score")).alias("step")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+
+
+def _swept(met: DataFrame) -> DataFrame:
+    steps = met.sparkSession.range(LAST_THRESHOLD + 1).select(F.col("id").cast("int").alias("step"))
     filled = steps.join(met, "step", "left").na.fill(0, ["pos", "neg"])
     above = W.orderBy(F.desc("step")).rowsBetween(W.unboundedPreceding, 0)
     everything = W.partitionBy()
@@ -168,6 +190,14 @@ def _confusion(threshold: float) -> dict[str, str]:
     }
 
 
+def confusion_of_counts(counts: DataFrame, threshold: float, group: str = "gender_clean") -> DataFrame:
+    """``tn, fp, fn, tp`` of every group, and of all rows (``everyone``), from counts per group and score."""
+    t = f"{threshold!r}D"
+    return counts.groupingSets([[group], []], group).agg(F.grouping(group).cast("boolean").alias("everyone"), *named({
+        "tn": f"coalesce(sum(if(score < {t}, neg, 0)), 0)", "fp": f"coalesce(sum(if(score >= {t}, neg, 0)), 0)",
+        "fn": f"coalesce(sum(if(score < {t}, pos, 0)), 0)", "tp": f"coalesce(sum(if(score >= {t}, pos, 0)), 0)"}))
+
+
 def rates(counts: DataFrame) -> DataFrame:
     """Rates of confusion counts ``tn, fp, fn, tp``, rounded to four digits."""
     return counts.select(*counts.columns, *named({name: duck_round(text, 4) for name, text in {
@@ -185,7 +215,11 @@ def confusion_metrics(scored: DataFrame, threshold: float) -> DataFrame:
 
 def class_report(scored: DataFrame, threshold: float) -> DataFrame:
     """Precision, recall, F1 and support per class, with accuracy, macro and weighted average."""
-    c = judged(scored).agg(*named(_confusion(threshold)))
+    return class_rows(judged(scored).agg(*named(_confusion(threshold))))
+
+
+def class_rows(c: DataFrame) -> DataFrame:
+    """:func:`class_report` from one row of ``tn, fp, fn, tp``."""
     per_class = c.select(*named({
         "zero": "struct(tn AS hit, tn + fn AS predicted, tn + fp AS support)",
         "one": "struct(tp AS hit, tp + fp AS predicted, tp + fn AS support)",
@@ -213,7 +247,11 @@ def class_report(scored: DataFrame, threshold: float) -> DataFrame:
 def fairness_by_group(scored: DataFrame, threshold: float, group: str = "gender_clean",
                       groups: tuple[str, ...] = GROUPS) -> DataFrame:
     """Selection rate, false positive and false negative rate of the audited groups; undefined rates are 0."""
-    counts = judged(scored).where(F.col(group).isin(*groups)).groupBy(group).agg(*named(_confusion(threshold)))
+    return group_rates(judged(scored).where(F.col(group).isin(*groups)).groupBy(group).agg(*named(_confusion(threshold))), group)
+
+
+def group_rates(counts: DataFrame, group: str = "gender_clean") -> DataFrame:
+    """:func:`fairness_by_group` from ``tn, fp, fn, tp`` per group."""
     return counts.select(group, *named({
         "n_rows": "tn + fp + fn + tp",
         "selection_rate": _or_zero("(fp + tp)", "(tn + fp + fn + tp)"),

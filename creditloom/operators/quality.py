@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -50,53 +50,51 @@ DECLARED: list[Check] = [
 COLUMNS = ["table_name", "column_name", "check_kind", "failures"]
 
 
-def _labelled(df: DataFrame, table: str, kind: str) -> DataFrame:
-    return df.select(F.lit(table).alias("table_name"), "column_name", F.lit(kind).alias("check_kind"), "failures")
+def _items(number: int, check: Check) -> Column:
+    """What a row says about a check, null for nothing: ``check`` and a ``value`` that is counted with its copies."""
+    value = F.col(check.column).cast("string")
+    says, counted = {
+        "not_null": (value.isNull(), F.lit(None).cast("string")),
+        "unique": (value.isNotNull(), value),
+        "accepted_values": (~value.isin(*check.values), value),
+    }[check.kind]
+    return F.when(says, F.struct(F.lit(number).alias("check"), counted.alias("value")))
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """One row per check with its failures: NULL rows, values that occur more than once, or distinct values not accepted.
+
+    NULL is neither repeated nor unaccepted. Every table is scanned once for all its
+    checks; rows send on only their keys and what offends, combined map-side, and
+    two exchanges serve all tables.
+    """
+    parts = []
+    for name in dict.fromkeys(c.table for c in checks):
+        items = F.array(*[_items(i, c) for i, c in enumerate(checks) if c.table == name])
+        parts.append(tables[name].select(F.explode(F.filter(items, lambda x: x.isNotNull())).alias("x")).select("x.*"))
+    copies = reduce(DataFrame.unionByName, parts).groupBy("check", "value").agg(F.count("*").alias("n"))
+    found = copies.groupBy("check").agg(F.sum("n").alias("not_null"), F.count_if(F.col("n") > 1).alias("unique"),
+                                        F.count("*").alias("accepted_values"))
+    declared = copies.sparkSession.createDataFrame([(i, c.table, c.column, c.kind) for i, c in enumerate(checks)],
+                                                   "check int, table_name string, column_name string, check_kind string")
+    failures = F.coalesce(F.expr("CASE check_kind WHEN 'not_null' THEN not_null WHEN 'unique' THEN unique ELSE accepted_values END"),
+                          F.lit(0).cast("long"))
+    return declared.join(F.broadcast(found), "check", "left").withColumn("failures", failures).select(*COLUMNS)  # a row per check
 
 
 def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """NULL rows per column; all columns in one scan."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    rows = counts.unpivot([], columns, "column_name", "failures")
-    return _labelled(rows, table, "not_null")
+    """NULL rows per column."""
+    return run_checks({table: df}, [Check(table, c, "not_null") for c in columns])
 
 
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Number of values that occur more than once; NULLs do not count."""
-    copies = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("copies"))
-    repeated = copies.agg(F.count_if(F.col("copies") > 1).alias("failures"))
-    return _labelled(repeated.withColumn("column_name", F.lit(column)), table, "unique")
+    """Number of values that occur more than once."""
+    return run_checks({table: df}, [Check(table, column, "unique")])
 
 
 def accepted_values(df: DataFrame, table: str, allowed: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Distinct values outside the allowed ones; NULL passes. All columns in one scan.
-
-    Only offending values leave the scan, so the shuffle is empty on clean data.
-    """
-    values = F.array(*[
-        F.when(~F.col(c).cast("string").isin(*ok), F.struct(F.lit(c).alias("column_name"),
-                                                           F.col(c).cast("string").alias("value")))
-        for c, ok in allowed.items()])
-    wrong = df.select(F.explode(F.filter(values, lambda v: v.isNotNull())).alias("v")).select("v.*").distinct()
-    counts = wrong.agg(*[F.count_if(F.col("column_name") == c).alias(c) for c in allowed])
-    return _labelled(counts.unpivot([], list(allowed), "column_name", "failures"), table, "accepted_values")
-
-
-def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """One row per check with its failures."""
-    parts = []
-    for name in dict.fromkeys(c.table for c in checks):
-        mine = [c for c in checks if c.table == name]
-        if columns := [c.column for c in mine if c.kind == "not_null"]:
-            parts.append(not_null(tables[name], name, columns))
-        parts += [unique(tables[name], name, c.column) for c in mine if c.kind == "unique"]
-        if allowed := {c.column: c.values for c in mine if c.kind == "accepted_values"}:
-            parts.append(accepted_values(tables[name], name, allowed))
-    return _union(parts).select(*COLUMNS)
+    """Distinct values outside the allowed ones."""
+    return run_checks({table: df}, [Check(table, c, "accepted_values", ok) for c, ok in allowed.items()])
 
 
 def quality_report(tables: dict[str, DataFrame], checks: list[Check] = DECLARED) -> DataFrame:

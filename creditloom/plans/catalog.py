@@ -14,7 +14,7 @@ from ..operators import (application, balances, bureau, encoders, evaluation, im
 from ..session import written
 from ..sources.schemas import RAW_TABLES
 from ..sources.standins import given_table, read_standin
-from .mart import STAGED, credit_mart, ordered_mart, staged
+from .mart import STAGED, bucketed_staging, credit_mart, mart_of_staged, ordered_mart, staged
 from .report import evaluation_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,11 +169,16 @@ def _linear_importance(t: Tables) -> DataFrame:
 
 
 def _evaluation_report(t: Tables) -> DataFrame:
-    scored = splits.stratified_split(written(t.scored(), "scored"))
-    report = evaluation_report(scored.where("split = 'val'"), scored.where("split = 'test'"), _linear_importance(t))
+    report = evaluation_report(splits.stratified_split(t.scored()), _linear_importance(t))
     return settled(report, {"value": 9})
 
 
+def _stack_report(t: Tables) -> DataFrame:
+    """The whole chain on the scores of the fitted stack, with the contributions of its boosted learner."""
+    scored = t.stack.score(t.split_mart.where("split <> 'train'"))
+    return evaluation_report(scored, _importance_tree(t))
+
+
 def _gaps(t: Tables) -> DataFrame:
     by_group = evaluation.fairness_by_group(t.scored(), THRESHOLD)
     return settled(evaluation.fairness_gap(by_group, evaluation.auc_by_group(t.scored())), {"gap": 9})
@@ -224,6 +229,12 @@ def _tree_cat_model(t: Tables) -> DataFrame:
     return _fit_report(t, model).withColumn("n_trees", F.lit(model.trees()))
 
 
+def _given_oof(t: Tables) -> DataFrame:
+    """Two given scores in place of the learners', with the folds of the whole table."""
+    folded = splits.stratified_folds(t.stg("application").select("loan_id", "target"))
+    return folded.withColumns({"p1": F.expr("(loan_id * 7919) % 1000 / 1e3"), "p2": F.expr("(loan_id * 104729) % 17 / 17e0")})
+
+
 def _stacking_meta(t: Tables) -> DataFrame:
     """Weights of the meta model next to the out-of-fold AUC of its two inputs."""
     regression = t.stack.meta.stages[-1]
@@ -277,6 +288,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 
     "mart_features": lambda t: settled(t.mart(), MART_DIGITS),
     "mart_ordered": lambda t: ordered_mart(settled(t.mart(), MART_DIGITS)),
+    "mart_bucketed": lambda t: settled(mart_of_staged(bucketed_staging(t.spark, t.raw).__getitem__), MART_DIGITS),
     "mart_roundtrip": lambda t: settled(written(t.mart(), "mart"), MART_DIGITS),
 
     "dq_not_null": lambda t: _checks(t, "not_null"),
@@ -290,6 +302,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 
     "ordinal_encode": lambda t: encoders.ordinal_encode(t.features().select("loan_id", "age_group")),
     "target_encode": _target_encode,
+    "ordered_target_stats": lambda t: settled(encoders.ordered_target_stats(t.stg("application")), {"encoded": 9}),
     "fill_unknown": lambda t: encoders.fill_unknown(t.features()),
     "impute_median": _impute_median,
     "standardize": _standardize,
@@ -345,12 +358,15 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "gbt_model": _gbt_model,
     "tree_cat_model": _tree_cat_model,
     "stacking_oof": lambda t: t.oof,
+    "oof_folds": lambda t: t.oof.where("p1 BETWEEN 0 AND 1 AND p2 BETWEEN 0 AND 1").select("loan_id", "target", "fold"),
+    "fold_auc_given": lambda t: settled(stacking.fold_aucs(_given_oof(t)), {"auc": 12}),
     "stacking_fold_auc": lambda t: stacking.fold_aucs(t.oof),
     "stacking_meta": _stacking_meta,
     "stacking_score": _stacking_score,
     "tune_cv": _tune_cv,
     "importance_permutation": _importance_permutation,
     "importance_tree": _importance_tree,
+    "stack_report": _stack_report,
 }
 
 

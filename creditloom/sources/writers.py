@@ -53,3 +53,9 @@ def write_importance(importance: DataFrame, path: str) -> None:
     """One sorted CSV; the ranking has one row per feature, so a single file is small."""
     measure = importance.columns[1]
     importance.orderBy(F.desc(measure), "feature").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A table at ``path``, one sorted file per bucket of the key's hash, read back under ``name``."""
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -94,6 +94,21 @@ def _gap(rates: str, aucs: str) -> str:
 PARTS["test_gaps"] = _gap("test_rates", "test_group_auc")
 
 
+def _classes(counts: str) -> str:
+    """Precision p, recall r, F1 f and support s per class and on average, from confusion counts."""
+    return f"""WITH c AS ({counts}), k AS (
+          SELECT '0' AS label, ifnull(tn / nullif(tn + fn, 0), 0) AS p, ifnull(tn / nullif(tn + fp, 0), 0) AS r,
+            ifnull(2 * tn / nullif(2 * tn + fn + fp, 0), 0) AS f, tn + fp AS s FROM c
+          UNION ALL SELECT '1', ifnull(tp / nullif(tp + fp, 0), 0), ifnull(tp / nullif(tp + fn, 0), 0),
+            ifnull(2 * tp / nullif(2 * tp + fn + fp, 0), 0), tp + fn FROM c)
+        SELECT * FROM k UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(s) FROM k
+          UNION ALL SELECT 'weighted avg', sum(p * s) / sum(s), sum(r * s) / sum(s), sum(f * s) / sum(s), sum(s) FROM k
+          UNION ALL SELECT 'accuracy', (tn + tp) / total, (tn + tp) / total, (tn + tp) / total, total FROM c"""
+
+
+PARTS["test_classes"] = _classes("SELECT * FROM test_confusion")
+
+
 def _report() -> str:
     def one(section: str, measure: str, value: str, source: str, subject: str = "CAST(NULL AS VARCHAR)") -> str:
         return (f"SELECT '{section}' AS section, {subject} AS subject, '{measure}' AS measure, "
@@ -103,6 +118,7 @@ def _report() -> str:
     rows.append(one("metrics", "auc", "auc", "test_auc"))
     rows += [one("metrics", m, m, "test_confusion")
              for m in ("tn", "fp", "fn", "tp", "accuracy", "error_rate", "recall", "fpr", "fnr")]
+    rows += [one("classes", m, m[0], "test_classes", "label") for m in ("precision", "recall", "f1", "support")]
     rows += [one("fairness", r, r, "test_rates", "gender_clean") for r in RATES]
     rows.append(one("fairness", "auc", "auc", "test_group_auc", "gender_clean"))
     rows.append(one("fairness_gap", "gap", "gap", "test_gaps", "metric"))
@@ -191,6 +207,7 @@ FINAL: dict[str, str] = {
     "latest_per_key": "SELECT * FROM prev_latest",
     "mart_features": MART,
     "mart_ordered": f"{MART} ORDER BY loan_id",
+    "mart_bucketed": MART,
     "mart_roundtrip": MART,
     "dq_not_null": _check("not_null"),
     "dq_unique": _check("unique"),
@@ -201,6 +218,22 @@ FINAL: dict[str, str] = {
     "fold_assign": "SELECT loan_id, target, CAST(fold AS INTEGER) AS fold FROM ranked",
     "ordinal_encode": "SELECT loan_id, CASE age_group WHEN 'young' THEN 0e0 WHEN 'adult' THEN 1e0 WHEN 'senior' THEN 2e0 "
                       "END AS age_group FROM app_features",
+    "ordered_target_stats": " UNION ALL ".join(
+        f"SELECT loan_id, '{c}' AS column_name, round((ifnull(sum(target) OVER w, 0) + (SELECT avg(target) FROM stg_application)) / "
+        f"(count(*) OVER w + 1), 9) AS encoded FROM stg_application WINDOW w AS (PARTITION BY {c} ORDER BY md5('42|' || loan_id), "
+        "loan_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" for c in catalog.encoders.TARGET_ENCODED),
+    "oof_folds": """
+        SELECT loan_id, target, CAST(ntile(5) OVER (PARTITION BY target ORDER BY md5('42|' || loan_id), loan_id) - 1 AS INTEGER) AS fold
+        FROM split WHERE split = 'train'""",
+    "fold_auc_given": """
+        SELECT * FROM (WITH g AS (SELECT loan_id, target, CAST(fold AS INTEGER) AS fold, (loan_id * 7919) % 1000 / 1e3 AS p1,
+                                    (loan_id * 104729) % 17 / 17e0 AS p2 FROM ranked),
+          l AS (SELECT 'p1' AS learner, fold, target, p1 AS p FROM g UNION ALL SELECT 'p2', fold, target, p2 FROM g),
+          b AS (SELECT * FROM l UNION ALL SELECT learner, NULL, target, p FROM l),
+          r AS (SELECT *, rank() OVER (PARTITION BY learner, fold ORDER BY p)
+                  + (count(*) OVER (PARTITION BY learner, fold, p) - 1) / 2 AS place FROM b)
+        SELECT learner, fold, count(*) AS n_rows, round((sum(place) FILTER (target = 1) - sum(target) * (sum(target) + 1) / 2)
+          / (sum(target) * (count(*) - sum(target))), 12) AS auc FROM r GROUP BY learner, fold)""",
     "target_encode": "SELECT * FROM " + " JOIN ".join(
         f"encoded_{c}" + (" USING (loan_id)" if i else "") for i, c in enumerate(catalog.encoders.TARGET_ENCODED)),
     "fill_unknown": "SELECT * REPLACE (" + ", ".join(
@@ -220,16 +253,8 @@ FINAL: dict[str, str] = {
                       "(SELECT *, 'best_f1' AS choice FROM sweep ORDER BY f1 DESC, threshold LIMIT 1) UNION ALL "
                       "(SELECT *, 'best_youden' FROM sweep ORDER BY youden_j DESC, threshold LIMIT 1) UNION ALL "
                       "(SELECT *, 'default' FROM sweep WHERE threshold = 0.5))",
-    "class_report": f"""
-        SELECT * FROM (WITH c AS ({confusion('scored', '0.3')}), k AS (
-          SELECT '0' AS label, ifnull(tn / nullif(tn + fn, 0), 0) AS p, ifnull(tn / nullif(tn + fp, 0), 0) AS r,
-            ifnull(2 * tn / nullif(2 * tn + fn + fp, 0), 0) AS f, tn + fp AS s FROM c
-          UNION ALL SELECT '1', ifnull(tp / nullif(tp + fp, 0), 0), ifnull(tp / nullif(tp + fn, 0), 0),
-            ifnull(2 * tp / nullif(2 * tp + fn + fp, 0), 0), tp + fn FROM c)
-        SELECT label, round(p, 9) AS precision, round(r, 9) AS recall, round(f, 9) AS f1, CAST(s AS BIGINT) AS support FROM (
-          SELECT * FROM k UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(s) FROM k
-          UNION ALL SELECT 'weighted avg', sum(p * s) / sum(s), sum(r * s) / sum(s), sum(f * s) / sum(s), sum(s) FROM k
-          UNION ALL SELECT 'accuracy', (tn + tp) / total, (tn + tp) / total, (tn + tp) / total, total FROM c))""",
+    "class_report": f"SELECT label, round(p, 9) AS precision, round(r, 9) AS recall, round(f, 9) AS f1, CAST(s AS BIGINT) AS support "
+                    f"FROM ({_classes(confusion('scored', '0.3'))})",
     "confusion_metrics": f"SELECT * EXCLUDE (total) FROM ({confusion('scored', '0.3')})",
     "roc_curve": """
         SELECT score AS threshold, fp / n AS fpr, tp / p AS tpr FROM curve

@@ -8,7 +8,7 @@ from oracle.queries import statements
 
 QUERIES, STATEMENTS = registered(), statements()
 MODEL_QUERIES = {"lr_baseline", "gbt_model", "tree_cat_model", "stacking_oof", "stacking_fold_auc", "stacking_meta",
-                 "stacking_score", "tune_cv", "importance_permutation", "importance_tree"}
+                 "stacking_score", "tune_cv", "importance_permutation", "importance_tree", "stack_report"}
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))

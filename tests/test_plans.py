@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from creditloom.operators import bureau, evaluation, installments, previous
+from creditloom.operators import bureau, evaluation, installments, previous, profiling, quality
+from creditloom.plans import mart
 
 
 @pytest.fixture
@@ -63,3 +64,23 @@ def test_split_does_not_shuffle_the_table(tables):
 def test_bureau_is_scanned_once(tables):
     plan = plan_of(bureau.bureau_features(tables.stg("bureau")))
     assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_bucketed_staging_needs_no_exchange_by_loan(tables, large_tables):
+    """But for the balance history, which is combined by credit before it has a loan."""
+    stg = mart.bucketed_staging(tables.spark, tables.raw)
+    plan = plan_of(mart.mart_of_staged(stg.__getitem__))
+    assert len(re.findall(r"Exchange hashpartitioning\(loan_id", plan)) == 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_correlations_expand_no_rows(tables):
+    raw = tables.raw("application_train")
+    for df in (profiling.corr_matrix(raw, profiling.KEY_FEATURES), profiling.top_correlations(raw, "TARGET"), profiling.column_redundancy(raw)):
+        assert "Expand" not in plan_of(df) and "Generate" not in plan_of(df)
+
+
+def test_checks_scan_every_table_once(tables):
+    plan = plan_of(quality.quality_report({n: tables.raw(n) for n in ("application_train", "bureau")},
+                                          [c for c in quality.DECLARED if c.table in ("application_train", "bureau")]))
+    assert plan.count("Generate explode") == 2 and len(re.findall(r"Exchange hashpartitioning", plan)) <= 2

@@ -82,7 +82,7 @@ def op7_rule_bitmask_ledger(spark: SparkSession, folder: str) -> DataFrame:
 def op8_mixed_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Size, target and words taken of every document."""
     table = mixing.taken_words(*mixing.mix(given(spark, folder, "documents")))
-    return table.select("doc_id", "size", "source_size", "target", "taken")
+    return table.select("held.doc_id", "size", "source_size", "target", "taken")
 
 
 def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:

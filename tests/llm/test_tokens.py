@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from corpus_texts import TEXTS
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from creditloom.llm import huffman, mixing, packing
+from creditloom.llm.shingles import mixed
 from creditloom.llm.tokens import pieces_of
 from creditloom.session import scratch_path
 
@@ -23,9 +27,11 @@ BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.pa
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_pieces_give_the_ids_of_whole_texts(path):
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     odd = ["  a  b", "a \n b", "a\n\n  b c", "'s 't ' s", "\u039f\u0394\u039f\u03a3 \u039f\u0394\u039f\u03a3", "a\x1c b \x85c", " \n \n  x",
-           "x.\nY z, \u0130stanbul", "a\u0301 e\u0301", "1 2 3  4"]
+           "x.\nY z, \u0130stanbul", "a\u0301 e\u0301", "1 2 3  4", "hello <|endoftext|> x", "<|endoftext|>", "a<|ENDOFTEXT|>b <|startoftext|>",
+           "it.\nThe", "a\nb\nc d\ne", "end.\n\nNew\n", "\nx", "x \ny", "x\n y", "It's\nfine'\n's", "stepf$$$ x%%%\n&&&y ###", "a)(b ab)( cd''.",
+           "\u00c9t\u00e9!\n\u00c9t\u00e9?!", "don't.\nDon't, DON'T!", "ab_cd_ ef__\n_gh", "x\u0301.\ny", "\u00df.\r\nz", "w1. 2w, 3.\n4", "q" * 50 + "\nr",
+           "<|endoftext|> <|endof text|> x", "x <|endoftext|", "<|", "|>", "a <|endoftext|>\n\n b <|STARTOFTEXT|> c"]
     texts = TEXTS + odd
     for _ in range(2):  # the second time from memory
         for text, ids in zip(texts, pieces_of(path).encode(texts)):
@@ -60,7 +66,6 @@ def test_plan_places_every_token_once_and_pads_one_window():
 def test_packed_pieces_hold_the_documents(documents, nothing):
     rows = packing.packed(documents, BYTES, window=64).collect()
     plain = Tokenizer.from_file(BYTES)
-    plain.encode_special_tokens = True
     wanted = Counter((r["doc_id"], i) for r in documents.collect() for i in plain.encode(r["text"] or "", add_special_tokens=False).ids + [0])
     found = Counter((r["doc_id"], i) for r in rows for i in np.frombuffer(r["ids"], "<u4").tolist())
     assert found == wanted
@@ -74,11 +79,16 @@ def test_packed_pieces_hold_the_documents(documents, nothing):
     assert packing.packed(nothing, BYTES).count() == 0
 
 
-@pytest.mark.parametrize("used, n", [(1, 10), (2, 40), (900, 5_000), (40_000, 300_000)])
+@pytest.mark.parametrize("used, n", [(1, 10), (2, 40), (900, 5_000), (40_000, 300_000), (150_000, 400_000)])
 def test_huffman_round_trip_and_limit(used, n):
     ids = np.minimum(np.random.default_rng(1).zipf(1.3, n) - 1, used - 1)
     lengths = huffman.code_lengths(np.bincount(ids))
-    assert lengths.max() <= huffman.MAX_BITS
+    assert lengths.max() <= huffman.bit_limit(used)
+    if used > 1 << huffman.TABLE_BITS:
+        ids = np.concatenate([ids, np.arange(used)])  # all ids occur, so codes are longer than the table
+        lengths = huffman.code_lengths(np.bincount(ids))
+        assert huffman.TABLE_BITS < lengths.max() <= huffman.bit_limit(used)
+        n = len(ids)
     stream, checkpoints = huffman.encode_block(ids, huffman.canonical(lengths), lengths)
     assert (huffman.decode_block(stream, checkpoints, n, huffman.decoding_table(lengths)) == ids).all()
 
@@ -95,13 +105,15 @@ def test_files_give_every_document_back(spark, documents, nothing):
     huffman.write(documents, path, WORDS, 2)
     rows = huffman.read(spark, path).orderBy("start").collect()
     plain = Tokenizer.from_file(WORDS)
-    plain.encode_special_tokens = True
     wanted = Counter((r["doc_id"], zlib.crc32(np.array(plain.encode(r["text"] or "", add_special_tokens=False).ids + [2], "<u4").tobytes()))
                      for r in documents.collect())
     assert Counter((r["doc_id"], zlib.crc32(r["ids"])) for r in rows) == wanted
     assert [r["start"] for r in rows] == [0, *itertools.accumulate(r["n"] for r in rows)][:-1]
     ids = [r["doc_id"] for r in rows]
     assert ids == sorted(ids, key=lambda i: -1 if i is None else i)
+    files = sorted(Path(f"{path}/blocks").rglob("*.parquet"))
+    stored = [i for f in files for r in pq.read_table(f, columns=["doc_ids"], partitioning=None).column(0).to_pylist() for i in r]
+    assert stored == ids
     empty = scratch_path(spark, "coded")
     huffman.write(nothing, empty, WORDS, 2)
     assert huffman.read(spark, empty).count() == 0
@@ -115,8 +127,13 @@ def test_targets_stop_at_three_times_a_source():
 
 def test_draws_and_permutations_are_complete():
     slots = np.array([5, 0, 1000, 37])
-    drawn = mixing.shard_draws(slots, 7, 1)
-    assert (drawn.sum(0) == slots).all() and np.ptp(drawn.sum(1)) <= 1
+    draws = mixing.ShardDraws(slots, 7, 1)
+    found = [draws.shard(j) for j in range(7)]
+    counts = np.array([c for c, _ in found])
+    assert (counts.sum(0) == slots).all() and np.ptp(counts.sum(1)) <= 1
+    assert (np.array([b for _, b in found]) == np.cumsum(counts, 0) - counts).all()
+    alone = [mixing.ShardDraws(slots, 7, 1).shard(j)[0] for j in (5, 2)]
+    assert (np.array(alone) == counts[[5, 2]]).all()
     for n in (1, 2, 5, 1000):
         assert sorted(mixing.permuted(np.arange(n), np.full(n, n), np.full(n, 9))) == list(range(n))
 
@@ -129,4 +146,68 @@ def test_mix_takes_whole_passes_and_meets_targets(documents, nothing):
     words = mixing.mixed_texts(documents, block_words=16)
     assert words.columns == documents.columns
     assert words.agg(F.sum(F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")))).first()[0] == table["taken"].sum()
-    assert mixing.taken_words(*mixing.mix(nothing)).count() == 0
+    assert mixing.taken_words(*mixing.mix(nothing)).count() == 0 and mixing.mixed_blocks(nothing).count() == 0
+
+
+@pytest.fixture(scope="module")
+def sourced(spark):
+    """A source with a third of all words, a null source, small ones, repeated rows, and columns of inner names."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(i * 7 % 60)), ["hot", None, "b", "c"][max(0, i % 6 - 2)], "x", i) for i in range(150)]
+    rows += rows[:5]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, size string, row long")
+
+
+def plain_mix(docs, block_words, seed, shard_slots):
+    """Texts of all slots, from streams in memory."""
+    streams, sizes = {}, Counter()
+    for r in sorted(docs.withColumn("h", F.xxhash64("doc_id", "text")).collect(), key=lambda r: r["h"]):
+        words = (r["text"] or "").split()
+        streams.setdefault(r["source"], []).extend((r["doc_id"], w) for w in words)
+        sizes[r["source"]] += len(words)
+    names = sorted(s for s in streams if s is not None) + [None]
+    goals = mixing.targets(sizes, mixing.cyclic_weights(list(sizes)), sum(sizes.values()), 3)
+    blocks = [-(-len(streams[s]) // block_words) for s in names]
+    slots = np.array([min(3 * b, round(goals[s] * b / sizes[s])) for s, b in zip(names, blocks)])
+    draws = mixing.ShardDraws(slots, -(-int(slots.sum()) // shard_slots), seed)
+    out, taken, seen = {}, Counter(), [set() for _ in names]
+    for shard in range(draws.shards):
+        counts, before = draws.shard(shard)
+        for i, s in enumerate(names):
+            for o in range(counts[i]):
+                turn, place = divmod(int(before[i]) + o, blocks[i])
+                key = int.from_bytes(hashlib.blake2b(f"{seed}|{s!r}".encode(), digest_size=8).digest()) + turn
+                block = int(mixing.permuted(np.array([place]), np.array([blocks[i]]), mixed(np.array([key & (1 << 64) - 1], np.uint64)))[0])
+                assert (turn, block) not in seen[i]
+                seen[i].add((turn, block))
+                words = streams[s][block * block_words:(block + 1) * block_words]
+                out[shard, s, turn, block] = " ".join(w for _, w in words)
+                taken.update(d for d, _ in words)
+    return out, taken
+
+
+def test_mix_equals_plain_streams(spark, sourced, monkeypatch, tmp_path):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 40)
+    wanted, taken = plain_mix(sourced, 16, 42, 40)
+    found = mixing.mixed_blocks(sourced, block_words=16).collect()
+    assert {(r["shard"], r["source"], r["pass"], r["block"]): r["text"] for r in found} == wanted
+    by_shard = Counter(r["shard"] for r in found)
+    assert len(by_shard) > 3 and np.ptp(list(by_shard.values())) <= 1
+    for shard, n in by_shard.items():
+        assert sorted(r["slot"] for r in found if r["shard"] == shard) == list(range(n))
+    results = []
+    for parts, cell_rows in ((1, 50_000), (9, 20)):
+        monkeypatch.setattr(mixing, "CELL_ROWS", cell_rows)
+        docs = sourced.repartition(parts, F.rand(parts))
+        table = mixing.taken_words(*mixing.mix(docs, block_words=16, keep=("doc_id", "size", "row")))
+        assert table.select("held.*").columns == ["doc_id", "size", "row"]
+        results.append(Counter())
+        for r in table.collect():
+            results[-1][r["held"]["doc_id"]] += r["taken"]
+    assert results[0] == results[1] == Counter({i: taken[i] for i in results[0]})
+
+
+def test_mix_of_very_many_sources(spark):
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("a b c d e").alias("text"), F.concat(F.lit("host"), F.col("id") % 20_000).alias("source"))
+    table = mixing.taken_words(*mixing.mix(docs, block_words=4))
+    facts = table.agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max(F.expr("taken / size")).alias("most")).first()
+    assert facts["n"] == 60_000 and abs(facts["taken"] - 300_000) < 30_000 and facts["most"] <= 3

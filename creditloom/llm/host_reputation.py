@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.lookup import lookup_join
 
+from .tables import kept
+
 # Public suffixes of two labels that are known by default. Others are one label long. A list of one's own may hold
 # suffixes of any number of labels and wildcards: under *.ck every name of one label more is a suffix, but for exceptions (!www.ck).
 TWO_LABEL_SUFFIXES = ("ac.jp", "ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br",
@@ -132,8 +134,8 @@ def host_posteriors(outcomes: DataFrame, hosts: DataFrame, settings: Settings =
     """
     counts = outcomes.where("good IS NOT NULL").groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("good").cast("long")).alias("good"))
-    table = with_levels(hosts.select("host").unionByName(counts.select("host")).distinct().join(counts, "host", "left")
-                        .fillna(0, ["n", "good"]), suffixes)
+    table = kept(with_levels(hosts.select("host").unionByName(counts.select("host")).distinct().join(counts, "host", "left")
+                             .fillna(0, ["n", "good"]), suffixes), "hosts")
     all_pages = table.agg(F.expr("(coalesce(sum(good), 0) + 1D) / (coalesce(sum(n), 0) + 2D)").alias("mean"))
     parent = all_pages.withColumn("level", F.lit(0))
     rows = table
@@ -141,14 +143,14 @@ def host_posteriors(outcomes: DataFrame, hosts: DataFrame, settings: Settings =
         keys = ["suffix", "domain", "host"][:level + 1]
         here = table.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
         if level:
-            here = here.join(parent, keys[:-1])
+            here = kept(here.join(parent, keys[:-1]), name)
         else:
             here = here.join(F.broadcast(parent), F.lit(True))  # one row of totals
         strength = _strength(here, F.col("mean"), settings)
         here = here.join(F.broadcast(strength), F.lit(True))  # one row
         a = F.col("strength") * F.col("mean") + F.col("good")
         b = F.col("strength") * (1 - F.col("mean")) + F.col("n") - F.col("good")
-        here = here.withColumns({"a": a, "b": b})
+        here = kept(here.withColumns({"a": a, "b": b}), name)  # used for the next level's prior twice
         parent = here.select(*keys, F.expr("a / (a + b)").alias("mean"))
         rows = here
     return rows.select("host", "domain", "suffix", "n", "good", F.expr("a / (a + b)").alias("mean"),

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.lookup import lookup_join
 
+from .tables import kept
+
 END = "\r\n\r\n"
 FILE_BYTES = 16 << 20
 RECORD = "urn:page:"
@@ -128,12 +130,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """Every record with length and digest of its full payload, revisits by their response's.
 
-    Only headers are shuffled. A response that several equal rows wrote counts once.
+    Archives are parsed once: headers are written, and only they are shuffled. A response that several equal rows wrote
+    counts once.
     """
+    records = kept(records.drop("payload"), "headers")
     found = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("original"), F.col(
         "own_digest").alias("stated_digest")).agg(F.first("own_bytes").alias("found_bytes"))
     key = F.when(F.col("record_type") == "revisit", F.col("refers_to")).otherwise(F.col("record_id"))
-    heads = records.drop("payload").withColumn("original", key)
+    heads = records.withColumn("original", key)
     joined = heads.join(found, ["original", "stated_digest"], "left")
     return joined.select("record_id", "url", "record_type", "refers_to",
                          F.col("found_bytes").alias("payload_bytes"),

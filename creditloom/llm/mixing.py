@@ -143,14 +143,14 @@ def positions(layout: DataFrame) -> DataFrame:
     """
     rows = layout.where("size > 0").select("index", "row", "size", "h")
     bits = max(0, math.ceil(math.log2(max(rows.count(), 1) / CELL_ROWS)))
-    rows = rows.withColumn("cell", F.shiftright("h", 64 - bits) if bits else F.lit(0).cast("long"))
-    cells = rows.groupBy("index", "cell").agg(F.sum("size").alias("words"))
+    # Cells are dealt by source and cell as one key: two columns would let Spark deal by the source alone.
+    cell = F.shiftright("h", 64 - bits) if bits else F.lit(0).cast("long")
+    rows = rows.withColumn("cell", F.struct(F.col("index").alias("i"), cell.alias("c")))
+    cells = rows.groupBy("cell").agg(F.sum("size").alias("words"))
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    cells = cells.select(F.col("index").alias("__i"), F.col("cell").alias("__c"), F.expr(
-        f"coalesce(sum(words) OVER (PARTITION BY index ORDER BY cell {before}), 0)").alias("shift"))
-    met = rows.join(cells, F.expr("index = __i AND cell = __c"))
-    inside = F.expr(f"coalesce(sum(size) OVER (PARTITION BY index, cell ORDER BY h, row {before}), 0)")
-    return met.select("index", "row", "size", (F.col("shift") + inside).alias("start"))
+    cells = cells.select("cell", F.expr(f"coalesce(sum(words) OVER (PARTITION BY cell.i ORDER BY cell.c {before}), 0)").alias("shift"))
+    inside = F.expr(f"coalesce(sum(size) OVER (PARTITION BY cell ORDER BY h, row {before}), 0)")
+    return rows.join(cells, "cell").select("index", "row", "size", (F.col("shift") + inside).alias("start"))
 
 
 def mix(docs: DataFrame, source: str = "source", text: str = "text", keep: tuple[str, ...] = ("doc_id",),

@@ -1,11 +1,13 @@
 """Token ids of whole texts with a public tokenizer file, exact and fast.
 
-Byte-pair merges never cross a space between two visible characters, so the ids
-of a text are the ids of its space-separated pieces in order. Each Python worker
-keeps the ids of pieces it has met, up to a bound, and gives only new pieces to
-the tokenizer: words of common letters straight to its merges, all others in batches
-through all of its steps. A space that touches other white space is not used
-as a cut: such pieces stay joined.
+Byte-pair merges cross neither a space nor a line end between two visible
+characters, nor the place where letters end and punctuation begins, so the ids of
+a text are the ids of its pieces in order. Each Python worker keeps the ids of
+pieces it has met, up to a bound, and gives only new pieces to the tokenizer:
+words of common letters straight to its merges, all others in batches through all
+of its steps. White space that touches other white space is not used as a cut:
+such pieces stay joined. A text that quotes a special token, in any case, is
+encoded whole, so that it gets the ids the library gives by default.
 """
 
 from __future__ import annotations
@@ -15,16 +17,19 @@ import re
 import string
 from array import array
 from collections.abc import Callable, Iterable
+from itertools import islice
 
 import numpy as np
 from tokenizers import Tokenizer
 
-MAX_PIECES = 600_000
+MAX_PIECES = 1_200_000
 LONGEST_PIECE = 40
 _VISIBLE = frozenset(string.ascii_letters + string.digits + string.punctuation) | {
     c for c in map(chr, range(0xC0, 0x250)) if c.isalpha()}
 # Words of these letters are one pre-token and equal to their normal form, whatever the Unicode version.
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
+# Punctuation behind a word of common letters is a piece of its own; apostrophes may belong to either side.
+_TAIL = "".join(c for c in string.punctuation if c != "'")
 _PROBES = (" Then", " \u00c9t\u00e9", " fran\u00e7ais", " Gr\u00f6\u00dfe", " xq", " I")
 _workers: dict[str, Pieces] = {}
 
@@ -38,37 +43,43 @@ class Pieces:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
+        self.whole = Tokenizer.from_file(path)  # never changed: gives the library's own ids
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.parted = Tokenizer.from_file(path)
-        self.mark, part = max(self.parted.get_added_tokens_decoder().items())
+        added = self.parted.get_added_tokens_decoder()
+        self.mark, part = max(added.items())
         self.part = part.content
+        self.quoted = re.compile("|".join(re.escape(t.content) for t in added.values()), re.IGNORECASE).search
+        self.sign = os.path.commonprefix([t.content for t in added.values()])[:1]
         self.parted.model._resize_cache(0)  # every piece is given once
+        #: Ids of words that follow a space, and of those that start a line.
         self.known: dict[str, bytes] = {}
-        self.spell = self._spelling()
+        self.bare: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.spelled = self._spelling()
+        self.line_end = self._learn(["\n"])["\n"]
 
-    def _spelling(self) -> Callable[[str], str] | None:
-        """How a word after a space is written for the merges alone, if one of the usual ways gives the tokenizer's ids."""
+    def _spelling(self) -> tuple[Callable[[str], str], Callable[[str], str]] | None:
+        """How a word after a space, and one without, is written for the merges alone, if a usual way gives the tokenizer's ids."""
         self.merges = self.tokenizer.model
         self.merges._resize_cache(0)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level vocabularies leave as they are
         others = iter(range(256, 512))
         letters = {b: b if b in plain else next(others) for b in range(256)}
-        ways = (lambda w: (" " + w).encode().decode("latin-1").translate(letters),
-                lambda w: w.lower().encode().decode("latin-1").translate(letters))
-        for way in ways:
-            if all([t.id for t in self.merges.tokenize(way(p[1:]))] == self.tokenizer.encode(p, add_special_tokens=False).ids
-                   for p in _PROBES):
-                return way
+
+        def bytewise(w: str) -> str:
+            return w.encode().decode("latin-1").translate(letters)
+
+        for ways in ((lambda w: bytewise(" " + w), bytewise), (lambda w: bytewise(w.lower()),) * 2):
+            if all([t.id for t in self.merges.tokenize(way(p[1:]))] == self.tokenizer.encode(p[skip:], add_special_tokens=False).ids
+                   for p in _PROBES for skip, way in enumerate(ways)):
+                return ways
         return None
 
     def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        pieces = list(pieces)
-        learned = dict.fromkeys(pieces, b"")  # in the given order
-        plain = [p for p in pieces if "<|" not in p]
-        if len(plain) < len(pieces):
-            for p in set(pieces).difference(plain):
-                learned[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+        plain = list(pieces)
+        learned = dict.fromkeys(plain, b"")  # in the given order
         for at in range(0, len(plain), 20_000):
             some = plain[at:at + 20_000]
             [found] = self.parted.encode_batch_fast([self.part.join(some)], add_special_tokens=False)
@@ -80,51 +91,83 @@ class Pieces:
                 start = end + 1
         return learned
 
-    def _remember(self, words: list[str]) -> None:
-        """Learn words that follow a space. A last full stop or comma after a letter is always a piece of its own."""
-        known, stems, needed = self.known, [], []
+    def _remember(self, words: Iterable[str], known: dict[str, bytes], bare: bool) -> None:
+        """Learn words that follow a space, or start a line; punctuation at their end is learned apart."""
+        stems, needed = [], set()
         for w in words:
-            (stems if w[-1] in ".," and w[-2:-1].isalpha() else needed).append(w)
-        needed += {w[:-1] for w in stems}.difference(known, needed)
-        if self.spell:
-            merged, spell, rest = self.merges.tokenize, self.spell, []
+            stem = w.rstrip(_TAIL)
+            if len(stem) < len(w) and _LETTERS(stem):
+                stems.append((w, stem))
+                if stem not in known:
+                    needed.add(stem)
+            else:
+                needed.add(w)
+        if self.spelled:
+            merged, spell, rest = self.merges.tokenize, self.spelled[bare], []
             for w in needed:
                 if _LETTERS(w):
                     known[w] = array("I", [t.id for t in merged(spell(w))]).tobytes()
                 else:
                     rest.append(w)
             needed = rest
-        known.update(zip(needed, self._learn([" " + w for w in needed]).values()))
-        if stems:
-            marks = {m: self._learn([m])[m] for m in ".,"}
-            for w in stems:
-                known[w] = known[w[:-1]] + marks[w[-1]]
+        known.update(zip(needed, self._learn([w if bare else " " + w for w in needed]).values()))
+        tails = self.tails
+        if len(tails) > MAX_PIECES:
+            tails.clear()
+        tails.update(self._learn({w[len(stem):] for w, stem in stems}.difference(tails)))
+        for w, stem in stems:
+            known[w] = known[stem] + tails[w[len(stem):]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text; a null text has none."""
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        known, visible = self.known, _VISIBLE
-        heads, rests, new, unknown = [], [], set(), []
-        for text in texts:
-            head, *rest = (text or "").split(" ")
-            heads.append(head)
-            rests.append(rest)
-            missing = set(rest).difference(known)
-            unknown.append(missing)
-            new |= missing
-        odd = {w for w in new if not w or len(w) > LONGEST_PIECE or not (
-            (w[0] in visible or w[0].isalpha()) and (w[-1] in visible or w[-1].isalpha()))}
-        self._remember(list(new - odd))
-        first = self._learn({h for h in heads if h})
+        for held in (self.known, self.bare):
+            if len(held) > MAX_PIECES:  # common pieces are met early: the older half stays
+                for w in list(islice(held, MAX_PIECES // 2, None)):
+                    del held[w]
+        known, bare = self.known, self.bare
+        parts, new, starts, whole = [], set(), set(), {}
+        for i, text in enumerate(texts):
+            text = text or ""
+            if self.sign in text and self.quoted(text):
+                parts.append(None)
+                continue
+            lines = []
+            for line in text.split("\n"):
+                head, *rest = line.split(" ")
+                ids = list(map(known.get, rest))
+                try:
+                    lines.append((head, rest, b"".join(ids), ()))
+                except TypeError:  # some are not known
+                    missing = {w for w, known_ids in zip(rest, ids) if known_ids is None}
+                    new |= missing
+                    lines.append((head, rest, ids, missing))
+            if len(lines) > 1 or lines[0][1]:
+                for k, (head, *_) in enumerate(lines):
+                    if not head or not _visible(head[-1]) or (k and not _visible(head[0])):
+                        whole[i] = None
+                        break
+            starts.update(head for head, *_ in lines)
+            parts.append(lines)
+        odd = {w for w in new if not w or len(w) > LONGEST_PIECE or not (_visible(w[0]) and _visible(w[-1]))}
+        self._remember(new - odd, known, bare=False)
+        starts.discard("")
+        long = {w for w in starts if len(w) > LONGEST_PIECE}
+        self._remember(starts.difference(bare, long), bare, bare=True)
+        first = self._learn(long)
         first[""] = b""
-        out, whole = [], {}
-        for i, (head, rest) in enumerate(zip(heads, rests)):
-            if odd.isdisjoint(unknown[i]) and (not rest or (head and _visible(head[-1]))):
-                out.append(first[head] + b"".join(map(known.__getitem__, rest)))
-            else:
-                out.append(b"")
+        out = []
+        for i, lines in enumerate(parts):
+            if lines is None:
+                out.append(np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            if i in whole or not all(odd.isdisjoint(missing) for *_, missing in lines):
                 whole[i] = _cut(texts[i])
+                out.append(b"")
+                continue
+            out.append(self.line_end.join([
+                (first[head] if head in first else bare[head]) + (
+                    b"".join([known[w] if known_ids is None else known_ids for w, known_ids in zip(rest, ids)]) if missing else ids)
+                for head, rest, ids, missing in lines]))
         if whole:
             learned = self._learn({p for pieces in whole.values() for p in pieces if p[0] != " " or p[1:] not in known})
             for i, pieces in whole.items():

@@ -1,14 +1,17 @@
 """Token ids in files of length-limited canonical Huffman codes.
 
-Global counts of the ids give code lengths of at most 16 bits by package-merge;
-lengths alone define the canonical code. Ids are stored in blocks of whole
+Global counts of the ids give length-limited code lengths by package-merge: at
+most 16 bits, or two more than a fixed code for larger vocabularies takes, up to
+32. Lengths alone define the canonical code. Ids are stored in blocks of whole
 documents, in ascending order of document. A block is independent: it holds its
 bit stream and a bit offset for every ``STRIDE`` ids, so a decoder starts at all
-checkpoints at once and steps through them with one table of 2^16 entries.
+checkpoints at once and steps through them with one table of 2^16 entries; the
+few codes of more bits are found in a second, sorted one.
 
-A file set is a folder with ``codebook`` (id, bits) and ``blocks``, both written
-by Spark. Only the codebook, at most one row per id of the vocabulary, passes
-through the driver.
+A file set is a folder with ``codebook`` (id, bits), ``blocks`` and their
+``schema``, written by Spark. Blocks lie in a folder per range of documents; folders and their files
+in the order of their names hold the documents in ascending order. Only the
+codebook, at most one row per id of the vocabulary, passes through the driver.
 
 Defined results: a null text is an empty one, a document of its end id alone;
 null document ids come first; rows with equal ids follow each other in a fixed
@@ -19,6 +22,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +37,22 @@ from creditloom.functions.lookup import lookup_join
 from .tables import kept
 from .tokens import pieces_of
 
-MAX_BITS = 16
+TABLE_BITS = 16
+LONGEST_CODE = 32
 STRIDE = 128
 BLOCK_IDS = 1 << 18
 
 
-def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
+def bit_limit(used: int) -> int:
+    """The longest code that ``used`` different ids get."""
+    return TABLE_BITS if used <= 1 << TABLE_BITS else min((used - 1).bit_length() + 2, LONGEST_CODE)
+
+
+def code_lengths(counts: np.ndarray, limit: int | None = None) -> np.ndarray:
     """Optimal code lengths of at most ``limit`` bits by package-merge; 0 for ids that do not occur."""
     lengths = np.zeros(len(counts), np.int64)
     used = np.flatnonzero(counts)
+    limit = bit_limit(len(used)) if limit is None else limit
     if len(used) < 2:
         lengths[used] = 1
         return lengths
@@ -77,14 +88,31 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decoding_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every 16-bit window of a stream, the id that starts it and its bits."""
+@dataclass(frozen=True)
+class DecodingTable:
+    """For every 16-bit window of a stream, the id that starts it and its bits (0 bits: a longer code); longer codes, filled up
+    to 32 bits, in ascending order with their ids and bits."""
+
+    ids: np.ndarray
+    bits: np.ndarray
+    long_codes: np.ndarray
+    long_ids: np.ndarray
+    long_bits: np.ndarray
+
+
+def decoding_table(lengths: np.ndarray) -> DecodingTable:
+    """Both tables of a canonical code."""
     codes, used = canonical(lengths), np.flatnonzero(lengths)
-    ids, bits = np.zeros(1 << MAX_BITS, np.int64), np.ones(1 << MAX_BITS, np.int64)
-    order = used[np.argsort(codes[used] << (MAX_BITS - lengths[used]), kind="stable")]
-    widths = 1 << (MAX_BITS - lengths[order])
+    short, long = used[lengths[used] <= TABLE_BITS], used[lengths[used] > TABLE_BITS]
+    ids, bits = np.zeros(1 << TABLE_BITS, np.int64), np.zeros(1 << TABLE_BITS, np.int64)
+    order = short[np.argsort(codes[short] << (TABLE_BITS - lengths[short]), kind="stable")]
+    widths = 1 << (TABLE_BITS - lengths[order])
     ids[:widths.sum()], bits[:widths.sum()] = np.repeat(order, widths), np.repeat(lengths[order], widths)
-    return ids, bits
+    if not len(long):
+        bits[widths.sum():] = 1  # no stream holds these windows, but for the zeros behind its end
+    filled = codes[long] << (LONGEST_CODE - lengths[long])
+    order = np.argsort(filled, kind="stable")
+    return DecodingTable(ids, bits, filled[order], long[order], lengths[long][order])
 
 
 def encode_block(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, bytes]:
@@ -101,19 +129,24 @@ def encode_block(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tup
     return stream.astype(">u4").tobytes(), starts[::STRIDE].astype("<u4").tobytes()
 
 
-def decode_block(stream: bytes, checkpoints: bytes, n: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def decode_block(stream: bytes, checkpoints: bytes, n: int, table: DecodingTable) -> np.ndarray:
     """The ids of a block, decoded from all checkpoints side by side."""
     words = np.append(np.frombuffer(stream, ">u4").astype(np.uint64), np.uint64(0))
     at = np.frombuffer(checkpoints, "<u4").astype(np.int64)
-    ids, bits = table
     out = np.zeros((len(at), STRIDE), np.int64)
     last = (len(words) - 2) << 5
     for step in range(min(STRIDE, n)):
         word = at >> 5
         pair = words[word] << np.uint64(32) | words[word + 1]
-        window = (pair >> (48 - (at & 31)).astype(np.uint64)).astype(np.int64) & 0xFFFF
-        out[:, step] = ids[window]
-        at = np.minimum(at + bits[window], last)  # the last lane may run past its ids
+        window = (pair >> (32 - (at & 31)).astype(np.uint64)).astype(np.int64) & 0xFFFFFFFF
+        start = window >> (LONGEST_CODE - TABLE_BITS)
+        found, bits = table.ids[start], table.bits[start]
+        if len(table.long_codes) and not bits.all():
+            lane = np.flatnonzero(bits == 0)
+            place = np.searchsorted(table.long_codes, window[lane], "right") - 1
+            found[lane], bits[lane] = table.long_ids[place], table.long_bits[place]
+        out[:, step] = found
+        at = np.minimum(at + bits, last)  # the last lane may run past its ids
     return out.ravel()[:n]
 
 
@@ -199,7 +232,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str =
     schema = (f"part long, first_place long, first_start long, n long, doc_ids array<{kind.simpleString()}>, "
               "doc_lengths array<long>, checkpoints binary, stream binary")
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    rows.mapInArrow(blocks, schema).write.option("compression", "none").parquet(f"{path}/blocks")
+    made = rows.mapInArrow(blocks, schema).withColumn("range", F.format_string("%08d", "part"))
+    made.sortWithinPartitions("range", "first_place").write.partitionBy("range").option("compression", "none").parquet(f"{path}/blocks")
+    spark.createDataFrame([(schema,)], "value string").coalesce(1).write.text(f"{path}/schema")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -209,7 +244,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     for r in book:
         lengths[r["id"]] = r["bits"]
     shared = spark.sparkContext.broadcast(decoding_table(lengths))
-    blocks = spark.read.parquet(f"{path}/blocks")
+    blocks = spark.read.schema(spark.read.text(f"{path}/schema").first()[0]).parquet(f"{path}/blocks")
     kind = blocks.schema["doc_ids"].dataType.elementType
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -287,3 +287,33 @@ def test_registered_stack_and_search_run_the_published_settings(monkeypatch):
     with pytest.raises(StopIteration):
         catalog._tune_cv(table)
     assert seen[-1] == ([replace(tuning.SHARED, **t) for t in tuning.draw_trials()], tuning.FOLDS)
+
+
+def test_models_on_one_block_take_as_many_jobs_for_any_number_of_rounds(spark, parts):
+    """A task that holds all rows of a model grows all its trees, so models wait neither for jobs nor for each other."""
+    train, _ = parts
+    table = train.withColumn("role0", F.when(F.col("loan_id") % 4 > 0, LEARNED).otherwise(HELD))
+    quantizer = learners.tree_quantizer(train, 64)
+    features, encode = learners.encoded_features(quantizer)
+    blocks = boosting.coded_blocks(table, quantizer, "target", "loan_id", ["role0"])
+    jobs = []
+    for rounds in (2, 12):
+        spark.sparkContext.setJobGroup(f"rounds {rounds}", "boosting")
+        models = boosting.grow(blocks, quantizer, [Model(0, Settings(rounds=rounds, depth=3, seed=s), features, encode) for s in (1, 2)])
+        assert [len(m.trees) for m in models] == [rounds, rounds]
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds {rounds}")))
+    assert jobs[0] == jobs[1]
+
+
+@pytest.mark.parametrize("heavy", [1.0, 1e12])
+def test_sums_of_a_node_are_those_of_its_rows(heavy):
+    """Also where Hessians leave no room for the number of rows, and over several chunks."""
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 7, (9000, 3)).astype(np.uint16)
+    g, h = rng.integers(-99, 99, 9000).astype(float), np.rint(rng.integers(0, 99, 9000) * heavy)
+    rows = np.flatnonzero(rng.random(9000) < 0.6)
+    found = boosting._node_sums(codes, rows, g, h, np.array([0, 7, 14]), 21)
+    for f, code in itertools.product(range(3), range(7)):
+        here = rows[codes[rows, f] == code]
+        assert found[:, 7 * f + code].tolist() == [g[here].sum(), h[here].sum(), len(here)]
+    assert not boosting._node_sums(codes, rows[:0], g, h, np.array([0, 7, 14]), 21).any()

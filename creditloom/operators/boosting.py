@@ -14,10 +14,11 @@ since the state was written are applied on top, and after ``CARRY`` of them the
 state is written anew, so the work of a round does not grow with the rounds
 before it.
 
-A table of at most ``WHOLE_BLOCKS`` times ``BLOCK_ROWS`` rows is one block. Then
-every model is a task of its own, which grows all its trees on a copy of the
-block: sums are complete in the task, no model waits for another, and of two
-children only the smaller is summed, the other is what remains of their parent.
+Up to ``WHOLE_ROWS`` rows every model is a task of its own, which reads all
+blocks and grows all its trees: sums are complete in the task, no model waits for
+another, and of two children only the smaller is summed, the other is what
+remains of their parent. Nodes of many rows are summed column by column; columns
+of few codes are joined to one, whose sums are then added up for each of them.
 
 Gradients are rounded to multiples of 2^-20 and the values of leaves to
 2^-30, which makes all sums exact and the trees independent of how rows are dealt
@@ -44,8 +45,10 @@ from ..session import written
 UNUSED, LEARNED, HELD = 0, 1, 2
 GRID, VALUE_GRID = float(1 << 20), float(1 << 30)
 BLOCK_ROWS = 32_768
-WHOLE_BLOCKS = 4
+WHOLE_ROWS = 1 << 20
 CHUNK_ROWS = 4096
+WIDE_ROWS = 16_384
+JOINED_CODES = 1024
 DRIVER_SUMS = 32 << 20
 CARRY = 8
 MAX_CATEGORIES = 60_000
@@ -232,14 +235,12 @@ class Model:
 
 
 def coded_blocks(df: DataFrame, quantizer: Quantizer, label: str, key: str, roles: list[str], rows: int | None = None) -> DataFrame:
-    """``block, n, codes, labels, hashes, roles``: numbered blocks of about ``BLOCK_ROWS`` rows as matrices, or a single one of
-    at most ``WHOLE_BLOCKS`` times as many; written once.
+    """``block, n, codes, labels, hashes, roles``: numbered blocks of about ``BLOCK_ROWS`` rows as matrices; written once.
 
     Rows without a label are left out. ``roles`` are columns of ``UNUSED``, ``LEARNED`` or ``HELD``.
     """
     rows = df.where(F.col(label).isNotNull())
     parts = max(1, math.ceil(rows.count() / BLOCK_ROWS))
-    parts, most = (1, WHOLE_BLOCKS * BLOCK_ROWS) if parts <= WHOLE_BLOCKS else (parts, BLOCK_ROWS)
     features = dict.fromkeys(quantizer.features)
     hashed = F.xxhash64(F.col(key)).alias("__hash")
     chosen = rows.select(*features, F.col(label).cast("byte").alias("__label"), hashed,
@@ -263,7 +264,7 @@ def coded_blocks(df: DataFrame, quantizer: Quantizer, label: str, key: str, role
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_ROWS):
                 held.append(batch.slice(at, BLOCK_ROWS))
-                if sum(b.num_rows for b in held) >= most:
+                if sum(b.num_rows for b in held) >= BLOCK_ROWS:
                     yield block()
                     held, block_number = [], block_number + parts
         if held:
@@ -364,20 +365,90 @@ def _add_block(sums: dict, request: Request, codes: np.ndarray, labels: np.ndarr
         sums[request.number, node] = sums.get((request.number, node), 0) + found
 
 
-def _whole_tree(growth: Growth, request: Request, codes: np.ndarray, rows: np.ndarray, g: np.ndarray, h: np.ndarray, sizes: np.ndarray,
-                categorical: np.ndarray) -> None:
-    """Extend a tree to its end in the task that holds all rows; the rows and sums of open nodes are kept between levels."""
-    tree, chosen = growth.tree, sizes[request.features]
-    some = codes[:, request.features] if len(request.features) < codes.shape[1] else codes
-    offsets, width = _offsets(chosen), int(chosen.sum())
-    held = {0: (rows, _node_sums(some, rows, g, h, offsets, width))}
+@dataclass(frozen=True)
+class _Joined:
+    """Columns of few codes as one: its codes per row, the columns and how many codes each of them has."""
+
+    codes: np.ndarray
+    features: list[int]
+    sizes: list[int]
+
+
+def _joined_columns(codes: np.ndarray, sizes: np.ndarray, features: np.ndarray) -> list[_Joined]:
+    """All columns, joined in ascending order of their codes as long as there are no more than ``JOINED_CODES`` together."""
+    groups: list[list[int]] = []
+    for f in sorted(features.tolist(), key=lambda f: int(sizes[f])):
+        if groups and math.prod(int(sizes[x]) for x in groups[-1]) * int(sizes[f]) <= JOINED_CODES:
+            groups[-1].append(f)
+        else:
+            groups.append([f])
+    found = []
+    for group in groups:
+        joined = codes[:, group[0]]
+        for f in group[1:]:
+            joined = joined * np.uint16(sizes[f]) + codes[:, f]
+        found.append(_Joined(joined, group, [int(sizes[f]) for f in group]))
+    return found
+
+
+def _wide_sums(joined: list[_Joined], rows: np.ndarray, g: np.ndarray, h: np.ndarray, features: np.ndarray, offsets: np.ndarray,
+               width: int) -> np.ndarray:
+    """What :func:`_node_sums` gives for the chosen features, column by column."""
+    start = dict(zip(features.tolist(), offsets.tolist()))
+    joined = [one for one in joined if not start.keys().isdisjoint(one.features)]
+    totals = [np.zeros((3, math.prod(one.sizes))) for one in joined]
+    digits = WIDE_ROWS.bit_length()
+    for at in range(0, len(rows), WIDE_ROWS):
+        some = rows[at:at + WIDE_ROWS]
+        some_g, some_h = g[some], h[some]
+        fits = float(some_h.sum()) * (1 << digits) < 1 << 52
+        both = some_h * (1 << digits) + 1 if fits else some_h
+        for one, total in zip(joined, totals):
+            cells, size = one.codes[some].astype(np.intp), total.shape[1]
+            total[0] += np.bincount(cells, some_g, size)
+            found = np.bincount(cells, both, size)
+            if fits:
+                found = found.astype(np.int64)
+                total[1] += found >> digits
+                total[2] += found & (1 << digits) - 1
+            else:
+                total[1] += found
+                total[2] += np.bincount(cells, minlength=size)
+    out = np.empty((3, width))
+    for one, total in zip(joined, totals):
+        cube = total.reshape(3, *one.sizes)
+        for i, f in enumerate(one.features):
+            if f in start:
+                others = tuple(k + 1 for k in range(len(one.sizes)) if k != i)
+                out[:, start[f]:start[f] + one.sizes[i]] = cube.sum(others)
+    return out
+
+
+def _whole_tree(growth: Growth, request: Request, codes: np.ndarray, joined: list[_Joined], rows: np.ndarray, g: np.ndarray, h: np.ndarray,
+                sizes: np.ndarray, categorical: np.ndarray, margin: np.ndarray) -> None:
+    """Extend a tree to its end in the task that holds all rows, and add its values to their margins; the rows and sums of open
+    nodes are kept between levels."""
+    tree, features = growth.tree, request.features
+    others = np.ones(len(margin), bool)
+    others[rows] = False
+    ended = []
+    offsets, width = _offsets(sizes[features]), int(sizes[features].sum())
+
+    def summed(rows: np.ndarray) -> np.ndarray:
+        if joined and len(rows) >= WIDE_ROWS:
+            return _wide_sums(joined, rows, g, h, features, offsets, width)
+        some = codes[rows]
+        return _node_sums(some if len(features) == codes.shape[1] else some[:, features], np.arange(len(rows)), g[rows], h[rows], offsets, width)
+
+    held = {0: (rows, summed(rows))}
     while growth.nodes:
         growth.extend({n: best_split(sums, request, sizes, categorical) for n, (_, sums) in held.items()}, request.model.settings)
         following, wanted = {}, set(growth.nodes)
         for node, (rows, sums) in held.items():
-            children = (tree.left[node], tree.right[node])
-            if wanted.isdisjoint(children):
+            if tree.feature[node] < 0:
+                ended.append((node, rows))
                 continue
+            children = (tree.left[node], tree.right[node])
             code = codes[rows, tree.feature[node]]
             if node in tree.left_codes:
                 left = tree.left_codes[node][code]
@@ -385,11 +456,17 @@ def _whole_tree(growth: Growth, request: Request, codes: np.ndarray, rows: np.nd
                 left = np.where(code == 0, tree.missing_left[node], code <= tree.threshold[node])
             parts = [rows[left], rows[~left]]
             small = int(len(parts[1]) < len(parts[0]))
-            one = _node_sums(some, parts[small], g, h, offsets, width)
+            one = None if wanted.isdisjoint(children) else summed(parts[small])
             for k, child in enumerate(children):
                 if child in wanted:
                     following[child] = (parts[k], one if k == small else sums - one)
+                else:
+                    ended.append((child, parts[k]))
         held = following
+    for node, rows in [*ended, *((node, rows) for node, (rows, _) in held.items())]:
+        margin[rows] += tree.value[node]
+    rest = np.flatnonzero(others)
+    margin[rest] += np.array(tree.value)[tree.leaves(codes[rest])]
 
 
 def _gain(g: np.ndarray, h: np.ndarray, s: Settings) -> np.ndarray:
@@ -662,10 +739,10 @@ def grow(blocks: DataFrame, quantizer: Quantizer, models: list[Model]) -> list[M
     keeps the trees of those rounds, ``best()`` leaves them out.
     """
     sizes, categorical = quantizer.sizes, quantizer.categorical
-    n_blocks = blocks.count()
+    n_blocks, rows = blocks.agg(F.count("*"), F.sum("n")).first()
     if not n_blocks:
         raise ValueError("no labelled rows to learn from")
-    if n_blocks == 1:
+    if n_blocks == 1 or rows <= WHOLE_ROWS:
         return _grown_apart(blocks, quantizer, models)
     cores = blocks.sparkSession.sparkContext.defaultParallelism
     groups = max(1, min(len(models), math.ceil(cores / n_blocks)))
@@ -695,7 +772,7 @@ def _dealt(state: DataFrame, groups: int, parts: int) -> DataFrame:
 
 
 def _grown_apart(blocks: DataFrame, quantizer: Quantizer, models: list[Model]) -> list[Model]:
-    """Every model in a task of its own, which has a copy of the one block and grows all its trees."""
+    """Every model in a task of its own, which reads all blocks, keeps the rows the model uses and grows all its trees."""
     sizes, categorical = quantizer.sizes, quantizer.categorical
 
     def grown(number: int, codes: np.ndarray, labels: np.ndarray, hashes: np.ndarray, role: np.ndarray) -> Model:
@@ -708,6 +785,7 @@ def _grown_apart(blocks: DataFrame, quantizer: Quantizer, models: list[Model]) -
                               _offsets(sizes[wanted]), int(sizes[wanted].sum()))
             _start_values(model, sums, encoded, quantizer)
         grower = _Grower(number, model, sizes)
+        joined = _joined_columns(codes, sizes, grower.able) if len(codes) >= WIDE_ROWS else []
         margin = model.margins(codes)
         while not grower.done:
             grower.judge({(number, -1): _loss(labels[held], margin[held], s)} if grower.asks_loss else {})
@@ -716,24 +794,30 @@ def _grown_apart(blocks: DataFrame, quantizer: Quantizer, models: list[Model]) -
             request = grower.request()
             rows = np.flatnonzero(learned & _sampled(hashes, s.row_share, s.seed, request.round // s.row_every) if s.row_share < 1 else learned)
             g, h = _gradients(labels, margin, s)
-            _whole_tree(request.growth, request, codes, rows, g, h, sizes, categorical)
-            margin += np.array(request.growth.tree.value)[request.growth.tree.leaves(codes)]
+            _whole_tree(request.growth, request, codes, joined, rows, g, h, sizes, categorical, margin)
             grower.finish()
         return model
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list[tuple[np.ndarray, ...]]] = {}
         for batch in batches:
             for row in range(batch.num_rows):
                 number, n, codes, labels, hashes, roles = (_plain(c[row]) for c in batch.columns)
                 role = np.frombuffer(roles, np.uint8).reshape(n, -1)[:, models[number].role]
                 used = role != UNUSED
-                model = grown(number, np.frombuffer(codes, np.uint16).reshape(n, -1)[used], np.frombuffer(labels, np.uint8)[used],
-                              np.frombuffer(hashes, np.int64)[used], role[used])
-                content = zlib.compress(pickle.dumps((model.base, model.orders, model.trees, model.losses)), 1)
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([content], pa.binary())], names=["model", "content"])
-
-    copies = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(len(models) - 1))).alias("model"), "n", "codes", "labels", "hashes", "roles")
-    found = copies.repartitionById(len(models), "model").mapInArrow(add, "model int, content binary").toArrow()
+                parts.setdefault(number, []).append((
+                    np.asfortranarray(np.frombuffer(codes, np.uint16).reshape(n, -1)[used]), np.frombuffer(labels, np.uint8)[used],
+                    np.frombuffer(hashes, np.int64)[used], role[used]))
+        for number in list(parts):
+            codes, *others = zip(*parts.pop(number))
+            model = grown(number, np.concatenate(codes), *map(np.concatenate, others))
+            content = zlib.compress(pickle.dumps((model.base, model.orders, model.trees, model.losses)), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([content], pa.binary())], names=["model", "content"])
+
+    numbers = blocks.sparkSession.range(0, len(models), 1, len(models)).select(F.col("id").cast("int").alias("model"))
+    table = blocks.select("n", "codes", "labels", "hashes", "roles").coalesce(1)
+    copies = numbers.hint("shuffle_replicate_nl").crossJoin(table)  # every task reads the blocks; no copy is shuffled
+    found = copies.mapInArrow(add, "model int, content binary").toArrow()
     for number, content in zip(*(c.to_pylist() for c in found.columns)):
         model = models[number]
         model.base, model.orders, model.trees, model.losses = pickle.loads(zlib.decompress(content))

@@ -317,3 +317,41 @@ def test_sums_of_a_node_are_those_of_its_rows(heavy):
         here = rows[codes[rows, f] == code]
         assert found[:, 7 * f + code].tolist() == [g[here].sum(), h[here].sum(), len(here)]
     assert not boosting._node_sums(codes, rows[:0], g, h, np.array([0, 7, 14]), 21).any()
+
+
+def test_models_on_many_blocks_are_tasks_of_their_own_and_equal_those_of_passes(spark, parts, monkeypatch):
+    """Up to a bound of rows, however many blocks hold them, the number of jobs does not follow the rounds."""
+    train, _ = parts
+    table = train.withColumn("role0", F.when(F.col("loan_id") % 4 > 0, LEARNED).otherwise(HELD))
+    quantizer = learners.tree_quantizer(train, 64)
+    features, encode = learners.encoded_features(quantizer)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 200)
+    blocks = boosting.coded_blocks(table, quantizer, "target", "loan_id", ["role0"])
+    assert blocks.count() > 4
+    settings = Settings(rounds=5, depth=3, row_share=0.8, feature_share=0.8, patience=3)
+
+    def grown(name, rounds):
+        spark.sparkContext.setJobGroup(name, "boosting")
+        models = boosting.grow(blocks, quantizer, [Model(0, replace(settings, rounds=rounds, seed=s), features, encode) for s in (1, 2)])
+        return [([t.facts() for t in m.trees], m.losses) for m in models], len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    found, jobs = grown("many blocks", 5)
+    assert grown("many blocks, one round", 1)[1] == jobs
+    monkeypatch.setattr(boosting, "WHOLE_ROWS", 0)
+    passes, more = grown("passes", 5)
+    assert passes == found and more > jobs
+
+
+@pytest.mark.parametrize("heavy", [1.0, 1e12])
+def test_sums_by_column_are_those_by_row(heavy):
+    """Over joined columns, some of which are not chosen."""
+    rng = np.random.default_rng(6)
+    sizes, n = np.array([3, 255, 2, 7, 40, 5]), 40_000
+    codes = np.asfortranarray((rng.random((n, 6)) * sizes).astype(np.uint16))
+    g, h = rng.integers(-99, 99, n).astype(float), np.rint(rng.integers(0, 99, n) * heavy)
+    rows, features = np.flatnonzero(rng.random(n) < 0.9), np.array([0, 1, 3, 4])
+    offsets, width = boosting._offsets(sizes[features]), int(sizes[features].sum())
+    joined = boosting._joined_columns(codes, sizes, np.arange(5))
+    assert len(joined) < 5
+    found = boosting._wide_sums(joined, rows, g, h, features, offsets, width)
+    assert np.array_equal(found, boosting._node_sums(codes[:, features], rows, g, h, offsets, width))

@@ -209,8 +209,10 @@ def _score_requests(t: Tables) -> DataFrame:
 
 
 def _fit_report(t: Tables, scorer: learners.Scorer) -> DataFrame:
-    """AUC of a model on the rows it was trained on and on the validation rows."""
-    parts = [evaluation.auc(scorer.score(t.part_of_mart(s))).withColumn("split", F.lit(s)) for s in ("train", "val")]
+    """AUC of a model on the rows it was trained on and on the validation rows, which are scored once."""
+    scored = scorer.score(t.split_mart.where(F.col("split").isin("train", "val"))).select("split", "target", "score")
+    scored = written(scored, "scored")
+    parts = [evaluation.auc(scored.where(F.col("split") == s)).withColumn("split", F.lit(s)) for s in ("train", "val")]
     return parts[0].unionByName(parts[1])
 
 

@@ -355,3 +355,21 @@ def test_sums_by_column_are_those_by_row(heavy):
     assert len(joined) < 5
     found = boosting._wide_sums(joined, rows, g, h, features, offsets, width)
     assert np.array_equal(found, boosting._node_sums(codes[:, features], rows, g, h, offsets, width))
+
+
+def test_fit_report_scores_rows_once(parts):
+    train, val = parts
+    table = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    calls = []
+
+    class Once:
+        def score(self, df):
+            calls.append(df)
+            return df.withColumn("score", F.expr("loan_id % 101 / 101e0"))
+
+    tables = type("Table", (), {"split_mart": table, "part_of_mart": lambda self, s: table.where(F.col("split") == s).drop("split")})()
+    found = {r["split"]: (r["n_rows"], r["auc"]) for r in catalog._fit_report(tables, Once()).collect()}
+    for name, part in (("train", train), ("val", val)):
+        expected = auc(part.withColumn("score", F.expr("loan_id % 101 / 101e0"))).first()
+        assert found[name] == (expected["n_rows"], expected["auc"])
+    assert len(calls) == 1

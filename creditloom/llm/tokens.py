@@ -12,6 +12,7 @@ encoded whole, so that it gets the ids the library gives by default.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import string
@@ -69,9 +70,10 @@ class Pieces:
         letters = {b: b if b in plain else next(others) for b in range(256)}
 
         def bytewise(w: str) -> str:
-            return w.encode().decode("latin-1").translate(letters)
+            return w if w.isascii() and w.isalpha() else w.encode().decode("latin-1").translate(letters)
 
-        for ways in ((lambda w: bytewise(" " + w), bytewise), (lambda w: bytewise(w.lower()),) * 2):
+        space = bytewise(" ")
+        for ways in ((lambda w: space + bytewise(w), bytewise), (lambda w: bytewise(w.lower()),) * 2):
             if all([t.id for t in self.merges.tokenize(way(p[1:]))] == self.tokenizer.encode(p[skip:], add_special_tokens=False).ids
                    for p in _PROBES for skip, way in enumerate(ways)):
                 return ways
@@ -95,7 +97,7 @@ class Pieces:
         """Learn words that follow a space, or start a line; punctuation at their end is learned apart."""
         stems, needed = [], set()
         for w in words:
-            stem = w.rstrip(_TAIL)
+            stem = w.rstrip(_TAIL) if w[-1:] in _TAIL else w
             if len(stem) < len(w) and _LETTERS(stem):
                 stems.append((w, stem))
                 if stem not in known:
@@ -105,7 +107,7 @@ class Pieces:
         if self.spelled:
             merged, spell, rest = self.merges.tokenize, self.spelled[bare], []
             for w in needed:
-                if _LETTERS(w):
+                if w.isascii() and w.isalpha() or _LETTERS(w):
                     known[w] = array("I", [t.id for t in merged(spell(w))]).tobytes()
                 else:
                     rest.append(w)
@@ -120,6 +122,15 @@ class Pieces:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text; a null text has none."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing made here refers to itself, and a collection would go through all of it
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         for held in (self.known, self.bare):
             if len(held) > MAX_PIECES:  # common pieces are met early: the older half stays
                 for w in list(islice(held, MAX_PIECES // 2, None)):
@@ -136,7 +147,7 @@ class Pieces:
                 head, *rest = line.split(" ")
                 ids = list(map(known.get, rest))
                 try:
-                    lines.append((head, rest, b"".join(ids), ()))
+                    lines.append((head, len(rest) > 0, b"".join(ids), ()))  # its words are not needed again
                 except TypeError:  # some are not known
                     missing = {w for w, known_ids in zip(rest, ids) if known_ids is None}
                     new |= missing
@@ -148,7 +159,7 @@ class Pieces:
                         break
             starts.update(head for head, *_ in lines)
             parts.append(lines)
-        odd = {w for w in new if not w or len(w) > LONGEST_PIECE or not (_visible(w[0]) and _visible(w[-1]))}
+        odd = {w for w in new if len(w) > LONGEST_PIECE or not (w.isascii() and w.isalnum() or w and _visible(w[0]) and _visible(w[-1]))}
         self._remember(new - odd, known, bare=False)
         starts.discard("")
         long = {w for w in starts if len(w) > LONGEST_PIECE}

@@ -211,3 +211,19 @@ def test_mix_of_very_many_sources(spark):
     table = mixing.taken_words(*mixing.mix(docs, block_words=4))
     facts = table.agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max(F.expr("taken / size")).alias("most")).first()
     assert facts["n"] == 60_000 and abs(facts["taken"] - 300_000) < 30_000 and facts["most"] <= 3
+
+
+def test_encoding_is_not_interrupted_by_collections():
+    """Thousands of words and lists are held while a batch is encoded; none of them can be garbage."""
+    import gc
+
+    from creditloom.llm.tokens import Pieces
+    pieces, seen = Pieces(public_tokenizers.path("word_bpe_49k.json")), []
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + k % 26)}{'xyz'[k % 3]} {k * i}" for k in range(40)) + "\nline\n" * 30 for i in range(400)]
+    gc.callbacks.append(lambda phase, info: seen.append(phase))
+    try:
+        found = pieces.encode(texts)
+    finally:
+        gc.callbacks.pop()
+    assert not seen and gc.isenabled()
+    assert found[7] == np.array(pieces.whole.encode(texts[7], add_special_tokens=False).ids, "<u4").tobytes()

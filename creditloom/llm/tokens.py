@@ -2,12 +2,14 @@
 
 Byte-pair merges cross neither a space nor a line end between two visible
 characters, nor the place where letters end and punctuation begins, so the ids of
-a text are the ids of its pieces in order. Each Python worker keeps the ids of
-pieces it has met, up to a bound, and gives only new pieces to the tokenizer:
-words of common letters straight to its merges, all others in batches through all
-of its steps. White space that touches other white space is not used as a cut:
-such pieces stay joined. A text that quotes a special token, in any case, is
-encoded whole, so that it gets the ids the library gives by default.
+a text are the ids of its pieces in order. Texts are cut together: each different
+word of many texts is looked up once, and arrays lay out the ids. Each Python
+worker keeps the ids of pieces it has met, up to a bound, and gives only new
+pieces to the tokenizer: words of common letters straight to its merges, all
+others in batches through all of its steps. White space that touches other white
+space is not used as a cut: such pieces stay joined. A text that quotes a special
+token, in any case, is encoded whole, so that it gets the ids the library gives
+by default.
 """
 
 from __future__ import annotations
@@ -21,10 +23,14 @@ from collections.abc import Callable, Iterable
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-MAX_PIECES = 1_200_000
+MAX_PIECES = 800_000
 LONGEST_PIECE = 40
+# Texts are cut together until they pass this many characters, which bounds the arrays.
+MAX_CHARACTERS = 1 << 23
 _VISIBLE = frozenset(string.ascii_letters + string.digits + string.punctuation) | {
     c for c in map(chr, range(0xC0, 0x250)) if c.isalpha()}
 # Words of these letters are one pre-token and equal to their normal form, whatever the Unicode version.
@@ -44,27 +50,24 @@ class Pieces:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
-        self.whole = Tokenizer.from_file(path)  # never changed: gives the library's own ids
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.parted = Tokenizer.from_file(path)
-        added = self.parted.get_added_tokens_decoder()
+        self.whole = Tokenizer.from_file(path)  # gives the library's own ids
+        added = self.whole.get_added_tokens_decoder()
         self.mark, part = max(added.items())
         self.part = part.content
         self.quoted = re.compile("|".join(re.escape(t.content) for t in added.values()), re.IGNORECASE).search
         self.sign = os.path.commonprefix([t.content for t in added.values()])[:1]
-        self.parted.model._resize_cache(0)  # every piece is given once
+        self.merges = self.whole.model
+        self.merges._resize_cache(0)  # every piece is given once
         #: Ids of words that follow a space, and of those that start a line.
         self.known: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        #: Of punctuation behind a word of common letters, learned apart from it.
+        self.tails: dict[str, bytes] = {"": b""}
         self.spelled = self._spelling()
         self.line_end = self._learn(["\n"])["\n"]
 
     def _spelling(self) -> tuple[Callable[[str], str], Callable[[str], str]] | None:
         """How a word after a space, and one without, is written for the merges alone, if a usual way gives the tokenizer's ids."""
-        self.merges = self.tokenizer.model
-        self.merges._resize_cache(0)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level vocabularies leave as they are
         others = iter(range(256, 512))
         letters = {b: b if b in plain else next(others) for b in range(256)}
@@ -74,7 +77,7 @@ class Pieces:
 
         space = bytewise(" ")
         for ways in ((lambda w: space + bytewise(w), bytewise), (lambda w: bytewise(w.lower()),) * 2):
-            if all([t.id for t in self.merges.tokenize(way(p[1:]))] == self.tokenizer.encode(p[skip:], add_special_tokens=False).ids
+            if all([t.id for t in self.merges.tokenize(way(p[1:]))] == self.whole.encode(p[skip:], add_special_tokens=False).ids
                    for p in _PROBES for skip, way in enumerate(ways)):
                 return ways
         return None
@@ -84,7 +87,7 @@ class Pieces:
         learned = dict.fromkeys(plain, b"")  # in the given order
         for at in range(0, len(plain), 20_000):
             some = plain[at:at + 20_000]
-            [found] = self.parted.encode_batch_fast([self.part.join(some)], add_special_tokens=False)
+            [found] = self.whole.encode_batch_fast([self.part.join(some)], add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
             content, start = ids.tobytes(), 0
@@ -93,32 +96,17 @@ class Pieces:
                 start = end + 1
         return learned
 
-    def _remember(self, words: Iterable[str], known: dict[str, bytes], bare: bool) -> None:
-        """Learn words that follow a space, or start a line; punctuation at their end is learned apart."""
-        stems, needed = [], set()
-        for w in words:
-            stem = w.rstrip(_TAIL) if w[-1:] in _TAIL else w
-            if len(stem) < len(w) and _LETTERS(stem):
-                stems.append((w, stem))
-                if stem not in known:
-                    needed.add(stem)
-            else:
-                needed.add(w)
+    def _remember(self, words: set[str], known: dict[str, bytes], bare: bool) -> None:
+        """Learn words that follow a space, or start a line."""
+        rest = words
         if self.spelled:
             merged, spell, rest = self.merges.tokenize, self.spelled[bare], []
-            for w in needed:
+            for w in words:
                 if w.isascii() and w.isalpha() or _LETTERS(w):
                     known[w] = array("I", [t.id for t in merged(spell(w))]).tobytes()
                 else:
                     rest.append(w)
-            needed = rest
-        known.update(zip(needed, self._learn([w if bare else " " + w for w in needed]).values()))
-        tails = self.tails
-        if len(tails) > MAX_PIECES:
-            tails.clear()
-        tails.update(self._learn({w[len(stem):] for w, stem in stems}.difference(tails)))
-        for w, stem in stems:
-            known[w] = known[stem] + tails[w[len(stem):]]
+        known.update(zip(rest, self._learn([w if bare else " " + w for w in rest]).values()))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text; a null text has none."""
@@ -131,59 +119,83 @@ class Pieces:
                 gc.enable()
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
-        for held in (self.known, self.bare):
-            if len(held) > MAX_PIECES:  # common pieces are met early: the older half stays
-                for w in list(islice(held, MAX_PIECES // 2, None)):
-                    del held[w]
-        known, bare = self.known, self.bare
-        parts, new, starts, whole = [], set(), set(), {}
+        out, marked, places, held = [b""] * len(texts), [], [], 0
         for i, text in enumerate(texts):
-            text = text or ""
-            if self.sign in text and self.quoted(text):
-                parts.append(None)
-                continue
-            lines = []
-            for line in text.split("\n"):
-                head, *rest = line.split(" ")
-                ids = list(map(known.get, rest))
-                try:
-                    lines.append((head, len(rest) > 0, b"".join(ids), ()))  # its words are not needed again
-                except TypeError:  # some are not known
-                    missing = {w for w, known_ids in zip(rest, ids) if known_ids is None}
-                    new |= missing
-                    lines.append((head, rest, ids, missing))
-            if len(lines) > 1 or lines[0][1]:
-                for k, (head, *_) in enumerate(lines):
-                    if not head or not _visible(head[-1]) or (k and not _visible(head[0])):
-                        whole[i] = None
-                        break
-            starts.update(head for head, *_ in lines)
-            parts.append(lines)
-        odd = {w for w in new if len(w) > LONGEST_PIECE or not (w.isascii() and w.isalnum() or w and _visible(w[0]) and _visible(w[-1]))}
-        self._remember(new - odd, known, bare=False)
-        starts.discard("")
-        long = {w for w in starts if len(w) > LONGEST_PIECE}
-        self._remember(starts.difference(bare, long), bare, bare=True)
-        first = self._learn(long)
-        first[""] = b""
-        out = []
-        for i, lines in enumerate(parts):
-            if lines is None:
-                out.append(np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes())
+            if not text:
                 continue
-            if i in whole or not all(odd.isdisjoint(missing) for *_, missing in lines):
-                whole[i] = _cut(texts[i])
-                out.append(b"")
+            if self.sign in text and self.quoted(text):
+                out[i] = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
                 continue
-            out.append(self.line_end.join([
-                (first[head] if head in first else bare[head]) + (
-                    b"".join([known[w] if known_ids is None else known_ids for w, known_ids in zip(rest, ids)]) if missing else ids)
-                for head, rest, ids, missing in lines]))
-        if whole:
+            marked.append("\n\n" + text.replace("\n", " \n"))  # one cut finds all words and tells where they stand
+            places.append(i)
+            held += len(text)
+            if held > MAX_CHARACTERS:
+                self._encode_marked(texts, marked, places, out)
+                marked, places, held = [], [], 0
+        if marked:
+            self._encode_marked(texts, marked, places, out)
+        return out
+
+    def _encode_marked(self, texts: list[str | None], marked: list[str], places: list[int], out: list[bytes]) -> None:
+        """Put the ids of the texts at ``places`` into ``out``: those of the different words, laid out in the order of the words."""
+        for held in (self.known, self.bare, self.tails):
+            if len(held) > MAX_PIECES:  # common pieces are met early: the older half stays
+                for w in list(islice(held, MAX_PIECES // 2, None)):
+                    del held[w]
+        known, bare, tails = self.known, self.bare, self.tails
+        split = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(known.get, words))
+        new, passing, odd = [], {}, []
+        for k in [k for k, found in enumerate(ids) if found is None]:
+            w = words[k]
+            body = w.lstrip("\n")
+            mark = len(w) - len(body)  # 0 after a space, 1 at the start of a line, 2 at the start of a text
+            if not (w.isascii() and w.isalnum() or body and _visible(body[-1]) and (mark == 2 or _visible(body[0]))):
+                odd.append(k)
+            elif len(body) > LONGEST_PIECE:
+                passing[k] = mark, body if mark else " " + w
+            else:
+                stem = body.rstrip(_TAIL) if body[-1] in _TAIL else body
+                if not _LETTERS(stem):
+                    stem = body
+                new.append((k, mark, stem, body[len(stem):]))
+        self._remember({stem for _, mark, stem, _ in new if not mark}.difference(known), known, bare=False)
+        self._remember({stem for _, mark, stem, _ in new if mark}.difference(bare), bare, bare=True)
+        tails.update(self._learn({tail for *_, tail in new}.difference(tails)))
+        for k, mark, stem, tail in new:
+            found = (bare if mark else known)[stem] + tails[tail]
+            if tail and not mark:
+                known[words[k]] = found
+            ids[k] = self.line_end + found if mark == 1 else found
+        learned = self._learn({piece for _, piece in passing.values()})  # not remembered
+        for k, (mark, piece) in passing.items():
+            ids[k] = self.line_end + learned[piece] if mark == 1 else learned[piece]
+        for k in odd:
+            ids[k] = b""
+
+        at, bounds = coded.indices.to_numpy(), split.offsets.to_numpy()
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        n = sizes[at]
+        ends = np.cumsum(n)
+        shift = (np.cumsum(sizes) - sizes)[at]
+        shift -= ends
+        shift += n
+        taken = np.repeat(shift, n)
+        taken += np.arange(len(taken))
+        content = np.frombuffer(b"".join(ids), "<u4")[taken].tobytes()
+        del n, shift, taken
+        cuts = (4 * np.append(0, ends)[bounds]).tolist()
+        for i, start, end in zip(places, cuts, cuts[1:]):
+            out[i] = content[start:end]
+        if odd:
+            is_odd = np.zeros(len(words), bool)
+            is_odd[odd] = True
+            whole = {places[k]: _cut(texts[places[k]]) for k in np.flatnonzero(np.add.reduceat(is_odd[at], bounds[:-1])).tolist()}
             learned = self._learn({p for pieces in whole.values() for p in pieces if p[0] != " " or p[1:] not in known})
             for i, pieces in whole.items():
                 out[i] = b"".join([learned[p] if p in learned else known[p[1:]] for p in pieces])
-        return out
 
 
 def _visible(c: str) -> bool:

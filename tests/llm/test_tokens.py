@@ -227,3 +227,24 @@ def test_encoding_is_not_interrupted_by_collections():
         gc.callbacks.pop()
     assert not seen and gc.isenabled()
     assert found[7] == np.array(pieces.whole.encode(texts[7], add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_a_word_is_looked_up_once_for_many_texts(path, monkeypatch):
+    """Looking up every occurrence took most of the time of tokenizing."""
+    from creditloom.llm import tokens
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counting.asked += 1
+            return super().get(*key)
+
+    pieces = tokens.Pieces(path)
+    pieces.known, pieces.bare = Counting(), Counting()
+    texts = ["The first words, and the first words.\nThe words", "", None, "words \u4e2d", "q" * 60 + " words " + "z" * 60 + "\n" + "q" * 60 + " and"] * 100
+    wanted = [np.array(pieces.whole.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert pieces.encode(texts) == wanted and Counting.asked < 40
+    monkeypatch.setattr(tokens, "MAX_CHARACTERS", 100)
+    assert pieces.encode(texts) == wanted and max(map(len, pieces.known)) <= tokens.LONGEST_PIECE

@@ -7,10 +7,15 @@ linked; the result is each text's set size and component. Nothing is missed:
 2. Routing. Sizes fall into bands, so that linked nodes lie in the same or in
    neighbouring bands. For a pair of bands the symmetric difference of linked
    sets is at most ``d``. Hashes are dealt into ``d + s`` parts: at least ``s``
-   parts of linked sets are equal. The key of a part is the hash of its rare
-   shingles; a part without any gives no key, but in a set with ``s`` or more
-   such parts it gives the hash of all its shingles. So linked nodes share a
-   key in any case, while a passage that many texts share connects few others.
+   parts of linked sets are equal. The key of a part is the hash of its
+   shingles. Parts have levels: those with several shingles, a rare one among
+   them, say most, then come single rare ones, common ones, single common ones,
+   and parts without any. The key of a lower level is sent only by a set of which
+   ``s`` or more parts lie there or below: if the best of the parts that linked
+   sets share has this level, that holds for both. A set with ``s`` or more empty
+   parts is dealt anew, which the other does too if it shares only empty ones;
+   only after the last deal are empty parts keys. So linked nodes share a key in
+   any case, while passages and lines that many texts share connect few others.
    (Which shingles are rare follows from counts over all texts in hashed
    buckets; it decides the work, never the result.) Nodes that share a key are
    connected by a star, not in pairs.
@@ -32,6 +37,7 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +57,8 @@ FANOUT = 16
 TASK_HASHES = 2_000_000
 SPARE_PARTS = 3
 BUCKETS = 1 << 17
+DEALS = 3
+EMPTY = 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,8 +76,8 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(40)).astype(np.int64) % BUCKETS
 
 
-def frequent_buckets(docs: DataFrame, words: int, text: str) -> np.ndarray:
-    """Buckets that hold clearly more shingles than an even spread would give, counted over all texts."""
+def bucket_counts(docs: DataFrame, words: int, text: str) -> np.ndarray:
+    """Shingles of all texts by bucket."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
@@ -83,8 +91,18 @@ def frequent_buckets(docs: DataFrame, words: int, text: str) -> np.ndarray:
     found = np.zeros(BUCKETS)
     for r in counts.toLocalIterator():  # at most BUCKETS rows
         found[r["bucket"]] = r["n"]
-    even = found.mean()
-    return found > even + 8 * np.sqrt(even) + 50
+    return found
+
+
+def frequent_buckets(counts: np.ndarray) -> np.ndarray:
+    """Buckets that hold clearly more shingles than an even spread would give."""
+    even = counts.mean()
+    return counts > even + 8 * np.sqrt(even) + 50
+
+
+def _part_levels(counts: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """How little a part says, from its shingles and its rare ones: 0 rare and others, 1 one rare, 2 some common, 3 one common, 4 none."""
+    return np.where(rare > 0, np.where(counts > 1, 0, 1), np.where(counts > 1, 2, np.where(counts > 0, 3, EMPTY)))
 
 
 def routing_keys(sets: Sets, percent: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -92,32 +110,38 @@ def routing_keys(sets: Sets, percent: int, frequent: np.ndarray | None = None) -
     frequent = np.zeros(BUCKETS, bool) if frequent is None else frequent
     tops = size_bands(percent, int(sets.sizes.max(initial=1)))
     band = np.searchsorted(tops, sets.sizes)
+    rare = ~frequent[_buckets(sets.hashes)]
     found_keys, found_owners = [], []
     for lower in (0, 1):  # a set is in the lower or in the upper band of a pair
         pair = band - lower
-        usable = (sets.sizes > 0) & (pair >= 0)
         low = np.maximum(pair, 0)
         differ = (100 - percent) * (tops[low] + tops[low + 1]) // (100 + percent)
         spare = SPARE_PARTS + differ // 12
-        parts = np.where(usable & (differ > 0), differ + spare, 0)
-        base = np.cumsum(parts) - parts
-        mine = parts[sets.owner] > 0
-        owner, scrambled = sets.owner[mine], mixed(sets.hashes[mine], 11)
-        rare = ~frequent[_buckets(sets.hashes[mine])]
-        place = base[owner] + (scrambled >> np.uint64(20)).astype(np.int64) % parts[owner]
-        content = mixed(scrambled, 13)
-        whole, chosen = np.zeros(int(parts.sum()), np.uint64), np.zeros(int(parts.sum()), np.uint64)
-        np.add.at(whole, place, content)
-        np.add.at(chosen, place[rare], content[rare])
-        has_rare = np.bincount(place[rare], minlength=len(whole)) > 0
-        holder = np.repeat(np.arange(len(parts)), parts)
-        number = np.arange(len(whole)) - base[holder]
-        without = np.bincount(holder[~has_rare], minlength=len(parts))
-        sent = has_rare | (without >= spare)[holder]
-        salt = (pair[holder].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64)
-        keys = mixed(np.where(has_rare, chosen, whole) + mixed(salt, 17) + has_rare.astype(np.uint64), 19)
-        found_keys.append(keys[sent])
-        found_owners.append(holder[sent])
+        dealt = (sets.sizes > 0) & (pair >= 0) & (differ > 0)
+        for deal in range(DEALS):
+            parts = np.where(dealt, differ + spare, 0)
+            base = np.cumsum(parts) - parts
+            mine = np.flatnonzero(parts[sets.owner] > 0)
+            owner, scrambled = sets.owner[mine], mixed(sets.hashes[mine], 11 + 20 * deal)
+            place = base[owner] + (scrambled >> np.uint64(20)).astype(np.int64) % parts[owner]
+            content = np.zeros(int(parts.sum()), np.uint64)
+            np.add.at(content, place, mixed(scrambled, 13))
+            level = _part_levels(np.bincount(place, minlength=len(content)), np.bincount(place[rare[mine]], minlength=len(content)))
+            holder = np.repeat(np.arange(len(parts)), parts)
+            number = np.arange(len(content)) - base[holder]
+            sent = level == 0
+            for at_least in range(1, EMPTY + 1):
+                enough = np.bincount(holder[level >= at_least], minlength=len(parts)) >= spare
+                sent |= (level == at_least) & enough[holder]
+            dealt = dealt & enough  # with too many empty parts a set is dealt again
+            if deal < DEALS - 1:
+                sent &= level < EMPTY
+            salt = (pair[holder].astype(np.uint64) << np.uint64(32)) + number.astype(np.uint64) + (np.uint64(deal) << np.uint64(24))
+            keys = mixed(content + mixed(salt, 17), 19)
+            found_keys.append(keys[sent])
+            found_owners.append(holder[sent])
+            if not dealt.any():
+                break
     return np.concatenate(found_keys), np.concatenate(found_owners)
 
 
@@ -142,7 +166,9 @@ def set_table(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
 
 def candidate_edges(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
     """``a, b``: stars over the nodes that share a routing key."""
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_buckets(docs, words, text))  # one flag per bucket
+    counts = bucket_counts(docs, words, text)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_buckets(counts))  # one flag per bucket
+    parts = math.ceil(counts.sum() / TASK_HASHES)  # a set has fewer keys than shingles, but for very small ones
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_keys, held_nodes, size = [], [], 0
@@ -194,7 +220,10 @@ def candidate_edges(docs: DataFrame, words: int, percent: int, text: str) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(route, "key long, node long")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(connect, "a long, b long")
+    # More partitions than usual where the keys of one would not be sorted in memory; else adaptive execution chooses.
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, "key") if parts > usual else rows.repartition("key")
+    return dealt.sortWithinPartitions("key").mapInArrow(connect, "a long, b long")
 
 
 class Tree:

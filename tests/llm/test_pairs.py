@@ -107,6 +107,17 @@ def test_linked_sets_share_a_key_whatever_is_frequent(percent):
             assert set(keys[owners == 0]) & set(keys[owners == 1])
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sets_without_common_shingles_share_no_key(percent):
+    rng = np.random.default_rng(percent)
+    frequent = rng.random(signature_tree.BUCKETS) < 0.4
+    drawn = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in rng.integers(60, 70, 300)]
+    sizes = np.array([len(x) for x in drawn])
+    sets = shingles.Sets(np.concatenate(drawn), np.repeat(np.arange(len(drawn)), sizes), sizes)
+    keys, owners = signature_tree.routing_keys(sets, percent, frequent)
+    assert len(np.unique(keys)) == len(np.unique(np.stack([keys, owners.astype(np.uint64)]), axis=1).T)
+
+
 def test_no_documents_no_components(nothing):
     assert signature_tree.jaccard_components(nothing).count() == 0
     assert signature_tree.representatives(nothing).count() == 0

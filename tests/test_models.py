@@ -342,6 +342,33 @@ def test_models_on_many_blocks_are_tasks_of_their_own_and_equal_those_of_passes(
     assert passes == found and more > jobs
 
 
+@pytest.mark.parametrize("bins", [64, 400])
+def test_models_that_fill_the_cores_are_tasks_beyond_the_bound_for_a_few(spark, parts, monkeypatch, bins):
+    """Whether a code takes one byte or two, they equal those of passes; the job that reads all blocks keeps its session's batches."""
+    train = parts[0].withColumn("unrelated", F.col("loan_id") * F.lit(1.5))
+    table = train.withColumn("role0", F.when(F.col("loan_id") % 4 > 0, LEARNED).otherwise(HELD))
+    quantizer = learners.tree_quantizer(train, bins)
+    assert (quantizer.sizes.max() > 256) == (bins > 256)
+    features, encode = learners.encoded_features(quantizer)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 200)
+    monkeypatch.setattr(boosting, "WHOLE_ROWS", 300)
+    blocks = boosting.coded_blocks(table, quantizer, "target", "loan_id", ["role0"])
+    seeds = range(max(2, math.ceil(spark.sparkContext.defaultParallelism / 2)))
+
+    def grown(name, rounds):
+        spark.sparkContext.setJobGroup(name, "boosting")
+        settings = Settings(rounds=rounds, depth=3, patience=3)
+        models = boosting.grow(blocks, quantizer, [Model(0, replace(settings, seed=s), features, encode) for s in seeds])
+        return [([t.facts() for t in m.trees], m.losses) for m in models], len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    before = spark.conf.get(boosting.BATCH_ROWS, None)
+    found, jobs = grown(f"filled {bins}", 3)
+    assert grown(f"filled {bins}, one round", 1)[1] == jobs and spark.conf.get(boosting.BATCH_ROWS, None) == before
+    monkeypatch.setattr(boosting, "SHARED_ROWS", 0)
+    passes, more = grown(f"filled {bins}, passes", 3)
+    assert passes == found and more > jobs
+
+
 @pytest.mark.parametrize("heavy", [1.0, 1e12])
 def test_sums_by_column_are_those_by_row(heavy):
     """Over joined columns, some of which are not chosen."""
